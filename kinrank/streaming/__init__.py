@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload this library re-expresses is batch only — it has no streams,
+watermarks, windows over time or stateful operators — so nothing is built
+here. The stateless predictors are plain DataFrame transformations; a
+streaming ``pairs`` frame can be joined with their precomputed static tables
+by ordinary stream-static joins without any code from this package.
+"""
