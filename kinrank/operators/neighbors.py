@@ -7,7 +7,7 @@ included, sorted by similarity with ties to the larger id):
     negative s:  pos = (N - 1 - n_neg(u)) + rank among negatives by (s desc, neighbor desc)
 
 with ``N`` the number of train users; zero-similarity users fill the slots in
-between without being materialised. Keep ``pos <= k``. Both branches are a
+between without being materialised. Keep ``pos <= k``. The ranking is one
 ``row_number() <= k`` filter, which Spark plans as a partial top-k before the
 shuffle (WindowGroupLimit), so no task receives a user's whole neighbour list.
 Similarities are compared at 9 decimals (``rank_key``).
@@ -22,6 +22,7 @@ from kinrank.functions.formulas import rank_key
 from kinrank.operators.pairs import HotItems
 from kinrank.operators.similarity import NEIGHBOR, directed, pair_stats
 from kinrank.operators.stats import Prepared
+from kinrank.session import materialize
 from kinrank.sources.schema import USER
 
 # The bucket hash (multiplicative hash reduced modulo the
@@ -40,21 +41,33 @@ def bucket_hash(user: Column, bucket) -> Column:
 
 
 def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
-    """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` (non-zero only)."""
+    """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` (non-zero only).
+
+    One ``row_number() <= k`` over all non-zero similarities ordered by
+    (s desc, neighbor desc): positives come first, so for them ``pos = rn``.
+    A negative can only appear in that top-k when the user has fewer than
+    ``k`` positives; its position is shifted by the zeros,
+    ``pos = rn + N - 1 - n_nonzero(u)``. ``n_nonzero`` is counted only for
+    users with a negative in their top-k, not for everyone.
+
+    ``sims_dir`` should be a written table (see ``nonzero``): it is scanned
+    twice. The top-k (``k`` rows per user) is written once as well, since
+    three branches read it.
+    """
     nz = sims_dir.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
     win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
-    pos_side = (nz.filter(F.col("_sr") > 0)
-                  .withColumn("_rn", F.row_number().over(win))
-                  .filter(F.col("_rn") <= k)
-                  .select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim"))
-    neg = nz.filter(F.col("_sr") < 0)
-    n_neg = neg.groupBy(USER).agg(F.count(F.lit(1)).alias("_nneg"))
-    neg_side = (neg.withColumn("_rn", F.row_number().over(win))
-                   .filter(F.col("_rn") <= k)
-                   .join(n_neg, USER)
-                   .withColumn("pos", (n_users - 1 - F.col("_nneg") + F.col("_rn")).cast("bigint"))
-                   .filter(F.col("pos") <= k)
-                   .select(USER, "pos", NEIGHBOR, "sim"))
+    top = materialize(nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k),
+                      "knn-top")
+    pos_side = (top.filter(F.col("_sr") > 0)
+                   .select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim"))
+    neg_top = top.filter(F.col("_sr") < 0)
+    short = neg_top.select(USER).distinct()
+    n_nz = (nz.join(short, USER, "left_semi")
+              .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
+    neg_side = (neg_top.join(n_nz, USER)
+                       .withColumn("pos", (n_users - 1 - F.col("_nnz") + F.col("_rn")).cast("bigint"))
+                       .filter(F.col("pos") <= k)
+                       .select(USER, "pos", NEIGHBOR, "sim"))
     return pos_side.unionByName(neg_side)
 
 
@@ -68,7 +81,13 @@ def knn(prep: Prepared, k: int, hot: HotItems | None = None,
     else:
         p = pair_stats(prep, hot, left_users=users, directed=True)
         sims = p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col("cos").alias("sim"))
-    return positions(sims, prep.n_users(), k)
+    return positions(nonzero(sims, "knn-sims"), prep.n_users(), k)
+
+
+def nonzero(sims_dir: DataFrame, name: str) -> DataFrame:
+    """The non-zero directed similarities, written once (the ranking reads
+    them in more than one branch)."""
+    return materialize(sims_dir.filter(rank_key(F.col("sim")) != 0), name)
 
 
 def bucket_arrays(users: DataFrame, n_buckets: int, replication: int) -> DataFrame:
@@ -109,4 +128,4 @@ def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
     """Approximate kNN: positions over co-bucketed pairs, ``N`` = all train
     users (users sharing no bucket count as zero-similarity candidates)."""
     sims = directed(approx_similarities(prep, n_buckets, replication, hot), "cos")
-    return positions(sims, prep.n_users(), k)
+    return positions(nonzero(sims, "approx-sims"), prep.n_users(), k)

@@ -66,22 +66,30 @@ def item_average_deviation(dev: DataFrame) -> DataFrame:
 
 class Prepared:
     """The training-side frames every predictor shares, built once per train
-    table. They are lazy DataFrames; call :meth:`persist` to keep them."""
-
-    def __init__(self, train: DataFrame):
-        self.train = train.select(USER, ITEM, RATING)
+    table: ``ustats`` (per user) and ``w`` (one row per rating with
+    ``rating, n_user, user_avg, dev, norm, w``; ``dev`` is the same frame).
+
+    With ``materialize`` (the default) both are written once as parquet to
+    the checkpoint folder: every later branch scans them instead of
+    recomputing the joins and aggregates behind them.
+    """
+
+    def __init__(self, train: DataFrame, materialize: bool = True):
+        from kinrank.session import materialize as write
+        train = train.select(USER, ITEM, RATING)
+        ustats = user_stats(train)
+        if materialize:
+            ustats = write(ustats, "ustats")
+        w = normalized(deviations(train, ustats))
+        if materialize:
+            w = write(w, "prepared")
+        self.ustats = ustats
+        self.w = w
+        self.dev = w
+        self.train = w.select(USER, ITEM, RATING)
         self.g = global_scalar(self.train)
-        self.ustats = user_stats(self.train)
-        self.dev = deviations(self.train, self.ustats)
-        self._w = None
         self._idev = None
 
-    @property
-    def w(self) -> DataFrame:
-        if self._w is None:
-            self._w = normalized(self.dev)
-        return self._w
-
     @property
     def item_dev(self) -> DataFrame:
         if self._idev is None:
@@ -91,9 +99,3 @@ class Prepared:
     def n_users(self) -> Column:
         """Number of distinct train users, as a scalar subquery column."""
         return self.ustats.agg(F.count(F.lit(1))).scalar()
-
-    def persist(self) -> "Prepared":
-        self.ustats = self.ustats.persist()
-        self.dev = self.dev.persist()
-        self._w = self.w.persist()
-        return self

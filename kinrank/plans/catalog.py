@@ -47,13 +47,20 @@ class Ctx:
         self.train, self.test = fx.split(self.ratings)
         if with_personal:
             self.train = rc.union_personal(self.ratings, fx.personal(spark, sf_dir))
-        self.prep = ss.Prepared(self.train)
+        self._prep = None
         self._hot = None
 
+    @property
+    def prep(self) -> ss.Prepared:
+        """Prepared tables, written on first use only."""
+        if self._prep is None:
+            self._prep = ss.Prepared(self.train)
+        return self._prep
+
     @property
     def hot(self) -> HotItems:
         if self._hot is None:
-            self._hot = HotItems(self.train)
+            self._hot = HotItems(self.prep.train)
         return self._hot
 
     def pairs(self) -> DataFrame:

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the operators rely on. AQE re-plans joins with runtime
 # sizes (a broadcast only after the build side is measured) and splits skewed
@@ -62,3 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     (shared storage on a cluster). Each call gets its own sub-folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"kinrank-{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage where one intermediate feeds several branches of a plan
+    (otherwise every branch recomputes it up to the shared shuffle), and the
+    written files survive executor loss, unlike a local checkpoint.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
