@@ -72,12 +72,13 @@ def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
 
 
 def knn(prep: Prepared, k: int, hot: HotItems | None = None,
-        users: DataFrame | None = None) -> DataFrame:
+        users: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Exact kNN by adjusted cosine: ``user_id, pos, neighbor_id, sim``.
     ``users`` restricts the users whose neighbours are wanted; the
-    restriction is applied to the left side of the pair join."""
+    restriction is applied to the left side of the pair join. ``stats``: a
+    ``pair_stats`` table already computed (e.g. shared with other predictors)."""
     if users is None:
-        sims = directed(pair_stats(prep, hot), "cos")
+        sims = directed(stats if stats is not None else pair_stats(prep, hot), "cos")
     else:
         p = pair_stats(prep, hot, left_users=users, directed=True)
         sims = p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col("cos").alias("sim"))

@@ -5,6 +5,11 @@ pairs. Two things keep it distributed:
 
 * **u < v**: each unordered pair is emitted once (half the join output); the
   mirror is a cheap union of the aggregated result.
+* **partitions sized by pair work**: AQE sizes post-shuffle partitions by
+  the bytes read, but this join's output is quadratic in the raters per item.
+  The same pass that finds hot items sums ``n(n-1)/2``; the rows are
+  hash-partitioned by the join key into ``max(shuffle partitions,
+  pairs / pairs_per_task)`` partitions (both sides read one exchange).
 * **block salting for hot items**: an item with more than ``block`` raters is
   split into ``S = ceil(n / block)`` rater blocks by a hash of the user. Left
   rows are replicated over the ``S`` right blocks and right rows over the
@@ -24,19 +29,28 @@ from kinrank.sources.schema import ITEM, USER
 
 DEFAULT_BLOCK = 4096
 BROADCAST_ROWS = 200_000
+PAIRS_PER_TASK = 1_000_000
 
 
 class HotItems:
-    """Items with more raters than ``block``, with their block count."""
+    """Items with more raters than ``block``, with their block count, and the
+    total pair work ``sum n(n-1)/2`` — one aggregation job over the item
+    counts, run before the pair join is planned."""
 
     def __init__(self, ratings: DataFrame, block: int = DEFAULT_BLOCK,
-                 broadcast_rows: int = BROADCAST_ROWS):
+                 broadcast_rows: int = BROADCAST_ROWS, pairs_per_task: int = PAIRS_PER_TASK):
         self.block = block
         counts = ratings.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n"))
         self.table = (counts.filter(F.col("_n") > block)
                             .select(ITEM, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_S")))
-        self.n = self.table.count()  # size check before any broadcast
+        row = counts.agg(F.sum(F.when(F.col("_n") > block, 1).otherwise(0)).alias("hot"),
+                         F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("pairs")).first()
+        self.n = int(row["hot"] or 0)  # size check before any broadcast
+        self.pairs = float(row["pairs"] or 0.0)
         self.broadcastable = self.n <= broadcast_rows
+        spark = ratings.sparkSession
+        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.partitions = max(base, int(-(-self.pairs // pairs_per_task)))
 
     def attach(self, rows: DataFrame) -> DataFrame:
         side = F.broadcast(self.table) if self.broadcastable else self.table
@@ -63,6 +77,11 @@ def corated(rows: DataFrame, payload: list[str], keys: list[str] | None = None,
         left = left.join(left_users.select(F.col(USER).alias("u")), "u", "left_semi")
     cond = (F.col("u") != F.col("v")) if directed else (F.col("u") < F.col("v"))
     if hot is None or hot.n == 0:
+        if hot is not None and left_users is None:
+            # one exchange, sized by pair work, feeds both sides of the join
+            both = rows.repartition(hot.partitions, *jk)
+            left = both.select(F.col(USER).alias("u"), *jk, *[F.col(c).alias(f"{c}_u") for c in payload])
+            right = both.select(F.col(USER).alias("v"), *jk, *[F.col(c).alias(f"{c}_v") for c in payload])
         return left.join(right, jk).filter(cond)
     # salted join: key (item, keys..., _lb, _rb)
     left = hot.attach(left)
@@ -71,5 +90,7 @@ def corated(rows: DataFrame, payload: list[str], keys: list[str] | None = None,
                 .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.col("_S") - 1))))
     right = (right.withColumn("_rb", F.pmod(F.xxhash64("v"), F.col("_S")).cast("int"))
                   .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_S") - 1))))
-    return (left.drop("_S").join(right.drop("_S"), jk + ["_lb", "_rb"])
-                .filter(cond).drop("_lb", "_rb"))
+    key = jk + ["_lb", "_rb"]
+    left = left.drop("_S").repartition(hot.partitions, *key)
+    right = right.drop("_S").repartition(hot.partitions, *key)
+    return left.join(right, key).filter(cond).drop("_lb", "_rb")

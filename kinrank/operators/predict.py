@@ -95,18 +95,50 @@ def weighted_deviation(prep: Prepared, pairs: DataFrame, nbrs: DataFrame,
 
 
 def full_neighbourhood(prep: Prepared, kind: str, hot: HotItems | None = None) -> DataFrame:
-    """Every co-rated user with its similarity (and the user itself)."""
+    """Every co-rated user with its similarity (and the user itself), as a
+    directed ``user_id, neighbor_id, sim`` table."""
     col = "cos" if kind == "cosine" else "jac"
     nb = directed(pair_stats(prep, hot), col).unionByName(self_similarity(prep, kind))
     return nb.filter(rank_key(F.col("sim")) != 0)
 
 
-def predict_cosine(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None) -> DataFrame:
-    return finish(prep, pairs, weighted_deviation(prep, pairs, full_neighbourhood(prep, "cosine", hot)))
+def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
+                            hot: HotItems | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """``d`` over every rater of the item, weighted by the full cosine or
+    Jaccard similarity.
+
+    The similarity stays in its ``u < v`` form, hash-partitioned by
+    ``(u, v)`` from its aggregation; candidate rows are keyed by
+    ``(least, greatest)`` of (user, rater) so the join reuses that
+    partitioning instead of mirroring and reshuffling every pair. The
+    diagonal (a user rating the item itself) joins the per-user
+    self-similarity.
+    """
+    col = "cos" if kind == "cosine" else "jac"
+    stats = stats if stats is not None else pair_stats(prep, hot)
+    sims = (stats.select("u", "v", F.col(col).alias("sim"))
+            .filter(rank_key(F.col("sim")) != 0))
+    raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
+    cand = pairs.select(USER, ITEM).join(raters, ITEM)
+    other = (cand.filter(F.col(USER) != F.col(NEIGHBOR))
+                 .withColumn("u", F.least(USER, NEIGHBOR)).withColumn("v", F.greatest(USER, NEIGHBOR))
+                 .join(sims, ["u", "v"])
+                 .select(USER, ITEM, "sim", "dev"))
+    diag = self_similarity(prep, kind).filter(rank_key(F.col("sim")) != 0).select(USER, "sim")
+    own = cand.filter(F.col(USER) == F.col(NEIGHBOR)).join(diag, USER).select(USER, ITEM, "sim", "dev")
+    agg = other.unionByName(own).groupBy(USER, ITEM).agg(
+        F.sum(F.col("sim") * F.col("dev")).alias("_num"), F.sum(F.abs(F.col("sim"))).alias("_den"))
+    return agg.select(USER, ITEM, safe_ratio(F.col("_num"), F.col("_den")).alias("d"))
+
+
+def predict_cosine(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None,
+                   stats: DataFrame | None = None) -> DataFrame:
+    return finish(prep, pairs, weighted_deviation_full(prep, pairs, "cosine", hot, stats))
 
 
-def predict_jaccard(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None) -> DataFrame:
-    return finish(prep, pairs, weighted_deviation(prep, pairs, full_neighbourhood(prep, "jaccard", hot)))
+def predict_jaccard(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None,
+                    stats: DataFrame | None = None) -> DataFrame:
+    return finish(prep, pairs, weighted_deviation_full(prep, pairs, "jaccard", hot, stats))
 
 
 def _keep_known(prep: Prepared, pairs: DataFrame, predictor) -> DataFrame:

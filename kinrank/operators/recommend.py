@@ -27,6 +27,7 @@ from kinrank.operators.pairs import HotItems
 from kinrank.operators.predict import PRED
 from kinrank.operators.similarity import NEIGHBOR
 from kinrank.operators.stats import Prepared
+from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
 
 
@@ -52,21 +53,29 @@ def union_personal(ratings: DataFrame, personal: DataFrame) -> DataFrame:
     return ratings.select(USER, ITEM, "rating").unionByName(personal.select(USER, ITEM, "rating"))
 
 
-def recommend(prep: Prepared, users: DataFrame, n: int, k: int,
+def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
               hot: HotItems | None = None, nbrs: DataFrame | None = None) -> DataFrame:
     """``user_id, rank, item_id, prediction`` — the top ``n`` unrated items of
-    each user in ``users`` (one column ``user_id``)."""
-    users = users.select(USER).distinct()
-    nb = nbrs if nbrs is not None else knn(prep, k, hot, users=users)
-    nb = nb.join(users, USER, "left_semi").select(USER, NEIGHBOR, "sim")
-    rated = prep.train.select(USER, ITEM).join(users, USER, "left_semi")
+    each user in ``users`` (one column ``user_id``; ``None`` = every train
+    user, which takes the undirected kNN path and skips the restriction)."""
+    if users is None:
+        users = prep.ustats.select(USER)
+        nb = nbrs if nbrs is not None else knn(prep, k, hot)
+        nb = nb.select(USER, NEIGHBOR, "sim")
+        rated = prep.train.select(USER, ITEM)
+    else:
+        users = users.select(USER).distinct()
+        nb = nbrs if nbrs is not None else knn(prep, k, hot, users=users)
+        nb = nb.join(users, USER, "left_semi").select(USER, NEIGHBOR, "sim")
+        rated = prep.train.select(USER, ITEM).join(users, USER, "left_semi")
     raters = prep.dev.select(F.col(USER).alias(NEIGHBOR), ITEM, "dev")
 
-    reach = (nb.join(raters, NEIGHBOR)
-               .join(rated, [USER, ITEM], "left_anti")
-               .groupBy(USER, ITEM)
-               .agg(F.sum(F.col("sim") * F.col("dev")).alias("_num"),
-                    F.sum(F.abs(F.col("sim"))).alias("_den")))
+    # written once: the scores, the per-user counts and the fill's anti-join read it
+    reach = materialize(nb.join(raters, NEIGHBOR)
+                          .join(rated, [USER, ITEM], "left_anti")
+                          .groupBy(USER, ITEM)
+                          .agg(F.sum(F.col("sim") * F.col("dev")).alias("_num"),
+                               F.sum(F.abs(F.col("sim"))).alias("_den")), "reach")
     ua = users.join(prep.ustats.select(USER, "user_avg"), USER, "left")
     base = F.coalesce(F.col("user_avg"), prep.g)
     scored = (reach.join(ua, USER)
@@ -77,7 +86,7 @@ def recommend(prep: Prepared, users: DataFrame, n: int, k: int,
     seen = rated.unionByName(reach.select(USER, ITEM))
     m = seen.groupBy(USER).agg(F.count(F.lit(1)).alias("_m"))
     index = dense_index(prep.train, ITEM, "_rank")
-    n_items = index.agg(F.max("_rank")).scalar()
+    n_items = prep.train.select(ITEM).distinct().agg(F.count(F.lit(1))).scalar()
     span = (users.join(m, USER, "left")
                  .select(USER, F.explode(F.sequence(
                      F.lit(1).cast("bigint"),

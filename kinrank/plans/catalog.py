@@ -21,7 +21,7 @@ from kinrank.operators import sets as st
 from kinrank.operators import similarity as sim
 from kinrank.operators import stats as ss
 from kinrank.operators.pairs import HotItems
-from kinrank.session import scratch_path
+from kinrank.session import materialize, scratch_path
 from kinrank.sources import fixtures as fx
 from kinrank.sources import readers as rd
 from kinrank.sources.schema import ITEM, RATING, USER
@@ -41,8 +41,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Ctx:
     """Frames shared inside one query build (not across queries)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, with_personal: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, with_personal: bool = False,
+                 heavy: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
+        # pair-based queries write the prepared tables once: there they feed
+        # the pair join, the rater join, the fallbacks and the size check
+        self.heavy = heavy
         self.ratings = fx.ratings(spark, sf_dir)
         self.train, self.test = fx.split(self.ratings)
         if with_personal:
@@ -54,7 +58,7 @@ class Ctx:
     def prep(self) -> ss.Prepared:
         """Prepared tables, written on first use only."""
         if self._prep is None:
-            self._prep = ss.Prepared(self.train)
+            self._prep = ss.Prepared(self.train, materialize=self.heavy)
         return self._prep
 
     @property
@@ -121,7 +125,7 @@ def q_raters_by_item(spark, d):
 
 
 def q_common_items(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     return sim.common_items(c.prep, c.hot)
 
 
@@ -145,12 +149,12 @@ def _nonzero(df: DataFrame) -> DataFrame:
 
 
 def q_cosine_similarity(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     return _nonzero(sim.cosine_similarity(c.prep, c.hot))
 
 
 def q_jaccard_similarity(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     return _nonzero(sim.jaccard_similarity(c.prep, c.hot))
 
 
@@ -159,7 +163,7 @@ def _nb_out(df: DataFrame) -> DataFrame:
 
 
 def q_knn_neighbors(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     return _nb_out(nbm.knn(c.prep, K, c.hot))
 
 
@@ -169,12 +173,12 @@ def q_user_buckets(spark, d):
 
 
 def q_approx_knn_neighbors(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     return _nb_out(nbm.approx_knn(c.prep, K, N_BUCKETS, REPLICATION, c.hot))
 
 
 def q_weighted_deviation_knn(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     p = c.pairs()
     wd = pr.weighted_deviation(c.prep, p, nbm.knn(c.prep, K, c.hot))
     return (p.join(wd, [USER, ITEM], "left")
@@ -211,9 +215,12 @@ PREDICTORS = ["global", "user_avg", "item_avg", "baseline", "uniform", "cosine",
               "knn", "approx_knn"]
 
 
+HEAVY = {"cosine", "jaccard", "knn", "approx_knn"}
+
+
 def _predict_query(kind: str) -> Query:
     def q(spark, d):
-        c = Ctx(spark, d)
+        c = Ctx(spark, d, heavy=kind in HEAVY)
         return _preds(_predictor(kind)(c, c.pairs()))
     q.__name__ = f"q_predict_{kind}"
     return q
@@ -221,27 +228,27 @@ def _predict_query(kind: str) -> Query:
 
 def _mae_query(kind: str) -> Query:
     def q(spark, d):
-        c = Ctx(spark, d)
+        c = Ctx(spark, d, heavy=kind in HEAVY)
         return _mae(_predictor(kind)(c, c.test))
     q.__name__ = f"q_mae_{kind}"
     return q
 
 
 def q_predict_knn_keep_known(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     pairs = c.ratings.select(USER, ITEM).unionByName(fx.cold_pairs(spark))
     return _preds(pr.predict_knn(c.prep, pairs, K, keep_known=True, hot=c.hot))
 
 
 def q_mae_knn_sweep(spark, d):
-    c = Ctx(spark, d)
+    c = Ctx(spark, d, heavy=True)
     preds = pr.predict_knn_sweep(c.prep, c.test, SWEEP_KS, hot=c.hot)
     return ev.mae(preds, by=["k"]).select(F.col("k").cast("bigint").alias("k"), "n", out("mae").alias("mae"))
 
 
 # ---------------------------------------------------------------- recommendation
 def _personal_top(spark, d) -> DataFrame:
-    c = Ctx(spark, d, with_personal=True)
+    c = Ctx(spark, d, with_personal=True, heavy=True)
     users = spark.createDataFrame([(fx.PERSONAL_USER,)], f"{USER} bigint")
     return rc.recommend(c.prep, users, N_REC, K_REC, hot=c.hot)
 
@@ -251,8 +258,8 @@ def q_recommend_top_n(spark, d):
 
 
 def q_recommend_top_n_all(spark, d):
-    c = Ctx(spark, d)
-    return (rc.recommend(c.prep, c.prep.ustats.select(USER), N_REC, K, hot=c.hot)
+    c = Ctx(spark, d, heavy=True)
+    return (rc.recommend(c.prep, None, N_REC, K, hot=c.hot)
               .select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED)))
 
 
@@ -264,20 +271,39 @@ def q_recommend_with_titles(spark, d):
 
 # ---------------------------------------------------------------- report
 def q_metrics_report(spark, d):
-    c = Ctx(spark, d)
+    """Averages, the MAE of seven predictors over the test set and their
+    prediction for (user 1, item 1). Each predictor runs once over
+    test + probe; cosine, Jaccard and kNN share one written pair table."""
+    c = Ctx(spark, d, heavy=True)
     p = c.prep
+    stats = materialize(sim.pair_stats(p, c.hot), "pair-stats")
+    nbrs = nbm.knn(p, K, c.hot, stats=stats)
     probe = spark.createDataFrame([(1, 1)], f"{USER} bigint, {ITEM} bigint")
+    both = (c.test.select(USER, ITEM, RATING, F.lit(False).alias("_probe"))
+            .unionByName(probe.select(USER, ITEM, F.lit(None).cast("double").alias(RATING),
+                                      F.lit(True).alias("_probe"))))
+    build = {
+        "global": lambda x: pr.predict_global(p, x),
+        "user_avg": lambda x: pr.predict_user_avg(p, x),
+        "item_avg": lambda x: pr.predict_item_avg(p, x),
+        "baseline": lambda x: pr.predict_baseline(p, x),
+        "cosine": lambda x: pr.predict_cosine(p, x, stats=stats),
+        "jaccard": lambda x: pr.predict_jaccard(p, x, stats=stats),
+        "knn": lambda x: pr.predict_knn(p, x, K, nbrs=nbrs),
+    }
     rows = [
         ("averages", "global_avg", ss.global_average(c.train), "avg_rating"),
         ("averages", "user_1_avg", p.ustats.filter(F.col(USER) == 1), "user_avg"),
         ("averages", "item_1_avg", ss.item_stats(c.train).filter(F.col(ITEM) == 1), "item_avg"),
         ("averages", "item_1_avg_dev", p.item_dev.filter(F.col(ITEM) == 1), "avg_dev"),
     ]
-    for kind in ["global", "user_avg", "item_avg", "baseline", "cosine", "jaccard", "knn"]:
-        rows.append(("mae", kind, ev.mae(_predictor(kind)(c, c.test)), "mae"))
-    for kind in ["baseline", "cosine", "knn"]:
-        rows.append(("prediction_1_1", kind, _predictor(kind)(c, probe), pr.PRED))
-    rep = ev.report(rows)
+    probes = []
+    for kind, fn in build.items():
+        preds = fn(both)
+        rows.append(("mae", kind, ev.mae(preds.filter(~F.col("_probe"))), "mae"))
+        if kind in ("baseline", "cosine", "knn"):
+            probes.append(("prediction_1_1", kind, preds.filter(F.col("_probe")), pr.PRED))
+    rep = ev.report(rows + probes)
     return rep.select("section", "metric", out("value").alias("value"))
 
 

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames the driver no longer references are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,14 +66,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"kinrank-{name}-{uuid.uuid4().hex}")
 
 
+MATERIALIZE_MODE = os.environ.get("KINRANK_MATERIALIZE", "checkpoint")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the checkpoint folder and read it back.
+    """Cut the lineage of ``df`` where one intermediate feeds several
+    branches of a plan (otherwise every branch recomputes it up to the shared
+    shuffle).
 
-    Cuts the lineage where one intermediate feeds several branches of a plan
-    (otherwise every branch recomputes it up to the shared shuffle), and the
-    written files survive executor loss, unlike a local checkpoint.
+    A reliable, eager ``checkpoint()`` into the shared checkpoint folder: one
+    job, the files survive executor loss (never a local checkpoint), the
+    plan's output partitioning is kept, and with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go once the
+    frame is no longer referenced. ``KINRANK_MATERIALIZE=parquet`` writes a
+    parquet table in the same folder instead.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    ensure_checkpoint_dir(spark)
+    if MATERIALIZE_MODE == "parquet":
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return df.checkpoint(eager=True)
