@@ -50,8 +50,8 @@ def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
     ``pos = rn + N - 1 - n_nonzero(u)``. ``n_nonzero`` is counted only for
     users with a negative in their top-k, not for everyone.
 
-    ``sims_dir`` should be a written table (see ``nonzero``): it is scanned
-    twice. The top-k (``k`` rows per user) is written once as well, since
+    ``sims_dir`` should read a written table (see ``nonzero``): it is
+    scanned twice. The top-k (``k`` rows per user) is written once as well, since
     three branches read it.
     """
     nz = sims_dir.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
@@ -78,17 +78,21 @@ def knn(prep: Prepared, k: int, hot: HotItems | None = None,
     restriction is applied to the left side of the pair join. ``stats``: a
     ``pair_stats`` table already computed (e.g. shared with other predictors)."""
     if users is None:
-        sims = directed(stats if stats is not None else pair_stats(prep, hot), "cos")
+        if stats is None:
+            stats = nonzero(pair_stats(prep, hot).select("u", "v", "cos"), "cos", "knn-sims")
+        sims = directed(stats, "cos")
     else:
         p = pair_stats(prep, hot, left_users=users, directed=True)
-        sims = p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col("cos").alias("sim"))
-    return positions(nonzero(sims, "knn-sims"), prep.n_users(), k)
+        sims = nonzero(p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR),
+                                F.col("cos").alias("sim")), "sim", "knn-sims")
+    return positions(sims, prep.n_users(), k)
 
 
-def nonzero(sims_dir: DataFrame, name: str) -> DataFrame:
-    """The non-zero directed similarities, written once (the ranking reads
-    them in more than one branch)."""
-    return materialize(sims_dir.filter(rank_key(F.col("sim")) != 0), name)
+def nonzero(sims: DataFrame, col: str, name: str) -> DataFrame:
+    """Non-zero similarities, written once: the ranking reads them in more
+    than one branch. Written in ``u < v`` form where possible (half the rows
+    of the directed table; the mirror is applied on read)."""
+    return materialize(sims.filter(rank_key(F.col(col)) != 0), name)
 
 
 def bucket_arrays(users: DataFrame, n_buckets: int, replication: int) -> DataFrame:
@@ -128,5 +132,6 @@ def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
                hot: HotItems | None = None) -> DataFrame:
     """Approximate kNN: positions over co-bucketed pairs, ``N`` = all train
     users (users sharing no bucket count as zero-similarity candidates)."""
-    sims = directed(approx_similarities(prep, n_buckets, replication, hot), "cos")
-    return positions(nonzero(sims, "approx-sims"), prep.n_users(), k)
+    stats = nonzero(approx_similarities(prep, n_buckets, replication, hot).select("u", "v", "cos"),
+                    "cos", "approx-sims")
+    return positions(directed(stats, "cos"), prep.n_users(), k)
