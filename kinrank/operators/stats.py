@@ -80,14 +80,17 @@ class Prepared:
         ustats = user_stats(train)
         if materialize:
             ustats = write(ustats, "ustats")
-        w = normalized(deviations(train, ustats))
+        dev = deviations(train, ustats)
+        w = normalized(dev)
         if materialize:
             w = write(w, "prepared")
+            dev = w  # one written table serves both
         self.ustats = ustats
         self.w = w
-        self.dev = w
-        self.train = w.select(USER, ITEM, RATING)
-        self.g = global_scalar(self.train)
+        self.dev = dev
+        # the plain input: averages and counts over it need none of the joins above
+        self.train = train
+        self.g = global_scalar(train)
         self._idev = None
 
     @property
