@@ -30,6 +30,7 @@ from kinrank.sources.schema import ITEM, USER
 DEFAULT_BLOCK = 4096
 BROADCAST_ROWS = 200_000
 PAIRS_PER_TASK = 1_000_000
+MAX_PAIR_PARTITIONS = 200_000
 
 
 class HotItems:
@@ -44,13 +45,16 @@ class HotItems:
         self.table = (counts.filter(F.col("_n") > block)
                             .select(ITEM, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_S")))
         row = counts.agg(F.sum(F.when(F.col("_n") > block, 1).otherwise(0)).alias("hot"),
-                         F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("pairs")).first()
+                         F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("pairs"),
+                         F.count(F.lit(1)).alias("items"), F.sum("_n").alias("rows")).first()
         self.n = int(row["hot"] or 0)  # size check before any broadcast
         self.pairs = float(row["pairs"] or 0.0)
+        self.avg_raters = float(row["rows"] or 0) / max(1, int(row["items"] or 0))
         self.broadcastable = self.n <= broadcast_rows
         spark = ratings.sparkSession
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.partitions = max(base, int(-(-self.pairs // pairs_per_task)))
+        self.partitions = min(max(base, int(-(-self.pairs // pairs_per_task))),
+                              max(base, MAX_PAIR_PARTITIONS))
 
     def attach(self, rows: DataFrame) -> DataFrame:
         side = F.broadcast(self.table) if self.broadcastable else self.table

@@ -82,13 +82,26 @@ def predict_uniform(prep: Prepared, pairs: DataFrame) -> DataFrame:
 
 
 def weighted_deviation(prep: Prepared, pairs: DataFrame, nbrs: DataFrame,
-                       extra_keys: list[str] | None = None) -> DataFrame:
+                       extra_keys: list[str] | None = None, per_user: int | None = None,
+                       hot: HotItems | None = None) -> DataFrame:
     """``user_id, item_id, *extra_keys, d`` for pairs with at least one
-    weighted rater. ``nbrs``: ``user_id, neighbor_id, sim, *extra_keys``."""
+    weighted rater. ``nbrs``: ``user_id, neighbor_id, sim, *extra_keys``.
+
+    Join order: with at most ``per_user`` neighbours per user (kNN) and fewer
+    of them than the average raters of an item, pairs go to their user's
+    neighbours first and then look up the neighbour's deviation on the
+    unique key ``(neighbor, item)``: the intermediate is ``pairs x k`` and a
+    hot item cannot inflate it. Otherwise pairs meet the item's raters first
+    and then the neighbour table on ``(user, neighbor)``.
+    """
     extra_keys = list(extra_keys or [])
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
-    cand = (pairs.select(USER, ITEM).join(raters, ITEM)
-                 .join(nbrs.select(USER, NEIGHBOR, "sim", *extra_keys), [USER, NEIGHBOR]))
+    nb = nbrs.select(USER, NEIGHBOR, "sim", *extra_keys)
+    if per_user is not None and hot is not None and per_user < hot.avg_raters:
+        cand = (pairs.select(USER, ITEM).join(nb, USER)
+                     .join(raters, [NEIGHBOR, ITEM]))
+    else:
+        cand = pairs.select(USER, ITEM).join(raters, ITEM).join(nb, [USER, NEIGHBOR])
     agg = cand.groupBy(USER, ITEM, *extra_keys).agg(
         F.sum(F.col("sim") * F.col("dev")).alias("_num"), F.sum(F.abs(F.col("sim"))).alias("_den"))
     return agg.select(USER, ITEM, *extra_keys, safe_ratio(F.col("_num"), F.col("_den")).alias("d"))
@@ -155,7 +168,7 @@ def predict_knn(prep: Prepared, pairs: DataFrame, k: int, keep_known: bool = Fal
     nb = nbrs if nbrs is not None else knn(prep, k, hot)
 
     def run(p):
-        return finish(prep, p, weighted_deviation(prep, p, nb))
+        return finish(prep, p, weighted_deviation(prep, p, nb, per_user=k, hot=hot))
     return _keep_known(prep, pairs, run) if keep_known else run(pairs)
 
 
@@ -163,7 +176,7 @@ def predict_approx_knn(prep: Prepared, pairs: DataFrame, k: int, n_buckets: int,
                        replication: int, keep_known: bool = False,
                        hot: HotItems | None = None) -> DataFrame:
     nb = approx_knn(prep, k, n_buckets, replication, hot)
-    return predict_knn(prep, pairs, k, keep_known=keep_known, nbrs=nb)
+    return predict_knn(prep, pairs, k, keep_known=keep_known, hot=hot, nbrs=nb)
 
 
 def predict_knn_sweep(prep: Prepared, pairs: DataFrame, ks: list[int],

@@ -31,3 +31,17 @@ def grouped_lists(df: DataFrame, key: str, member: str, chunk: int, name: str) -
         F.count(F.lit(1)).alias("n"),
         F.array_join(F.transform(F.array_sort(F.collect_list(member)), lambda x: x.cast("string")),
                      ",").alias(name))
+
+
+def restrict_users(df: DataFrame, users: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``user_id`` is in ``users`` (a left-semi join;
+    each kept row stays whole, nothing from ``users`` is added)."""
+    return df.join(users.select(USER).distinct(), USER, "left_semi")
+
+
+def for_user(df: DataFrame, user_id: int) -> DataFrame:
+    return df.filter(F.col(USER) == F.lit(user_id))
+
+
+def for_item(df: DataFrame, item_id: int) -> DataFrame:
+    return df.filter(F.col(ITEM) == F.lit(item_id))

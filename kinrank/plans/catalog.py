@@ -180,7 +180,7 @@ def q_approx_knn_neighbors(spark, d):
 def q_weighted_deviation_knn(spark, d):
     c = Ctx(spark, d, heavy=True)
     p = c.pairs()
-    wd = pr.weighted_deviation(c.prep, p, nbm.knn(c.prep, K, c.hot))
+    wd = pr.weighted_deviation(c.prep, p, nbm.knn(c.prep, K, c.hot), per_user=K, hot=c.hot)
     return (p.join(wd, [USER, ITEM], "left")
              .select(USER, ITEM, out(F.coalesce(F.col("d"), F.lit(0.0))).alias("wdev")))
 
@@ -289,7 +289,7 @@ def q_metrics_report(spark, d):
         "baseline": lambda x: pr.predict_baseline(p, x),
         "cosine": lambda x: pr.predict_cosine(p, x, stats=stats),
         "jaccard": lambda x: pr.predict_jaccard(p, x, stats=stats),
-        "knn": lambda x: pr.predict_knn(p, x, K, nbrs=nbrs),
+        "knn": lambda x: pr.predict_knn(p, x, K, hot=c.hot, nbrs=nbrs),
     }
     rows = [
         ("averages", "global_avg", ss.global_average(c.train), "avg_rating"),

@@ -141,8 +141,12 @@ def test_predictors_match_brute(prep, brute, pairs, kind):
 
 
 @pytest.mark.parametrize("k", [1, 2, 3, 7])
-def test_knn_predictor_matches_brute(prep, brute, pairs, k):
-    for r in pr.predict_knn(prep, pairs, k).collect():
+@pytest.mark.parametrize("user_first", [False, True])
+def test_knn_predictor_matches_brute(prep, brute, pairs, k, user_first):
+    # with the size statistics, k below the average raters per item (about
+    # 3.2 here) takes the pairs -> neighbours -> (neighbor, item) join order
+    hot = HotItems(prep.train) if user_first else None
+    for r in pr.predict_knn(prep, pairs, k, hot=hot).collect():
         want = brute.predict("knn", r.user_id, r.item_id, k)
         assert math.isclose(r.prediction, want, abs_tol=1e-9), (k, r, want)
 
@@ -206,3 +210,17 @@ def test_dense_index(spark):
 
 def test_zero_norm_user_has_no_cosine_neighbours(prep):
     assert nbm.knn(prep, 3).filter(F.col("user_id") == 1).count() == 0
+
+
+def test_report_sink_and_user_restriction(spark, table, prep):
+    from kinrank.operators import evaluate as ev
+    from kinrank.operators import sets as st
+    rep = ev.report([("averages", "global_avg", table.agg(F.avg("rating").alias("g")), "g")])
+    path = scratch_path(spark, "report")
+    ev.write_report(rep, path)
+    back = spark.read.json(path).collect()
+    assert [(r.section, r.metric) for r in back] == [("averages", "global_avg")]
+    users = spark.createDataFrame([(3,), (3,), (7,)], "user_id bigint")
+    got = sorted((r.user_id, r.item_id) for r in st.restrict_users(table, users).collect())
+    assert got == sorted((u, i) for u, i, _ in TRAIN if u in (3, 7))
+    assert st.for_item(st.for_user(table, 3), 2).collect()[0].rating == 5.0
