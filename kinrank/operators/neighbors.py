@@ -47,28 +47,22 @@ def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
     (s desc, neighbor desc): positives come first, so for them ``pos = rn``.
     A negative can only appear in that top-k when the user has fewer than
     ``k`` positives; its position is shifted by the zeros,
-    ``pos = rn + N - 1 - n_nonzero(u)``. ``n_nonzero`` is counted only for
-    users with a negative in their top-k, not for everyone.
+    ``pos = rn + N - 1 - n_nonzero(u)``. ``n_nonzero`` is one partial
+    aggregation per user joined to the top-k on ``user_id`` (both sides are
+    hash-partitioned by user, so the join adds no shuffle of the top-k).
 
     ``sims_dir`` should read a written table (see ``nonzero``): it is
-    scanned twice. The top-k (``k`` rows per user) is written once as well, since
-    three branches read it.
+    scanned twice, once for the ranking and once for the counts.
     """
     nz = sims_dir.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
     win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
-    top = materialize(nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k),
-                      "knn-top")
-    pos_side = (top.filter(F.col("_sr") > 0)
-                   .select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim"))
-    neg_top = top.filter(F.col("_sr") < 0)
-    short = neg_top.select(USER).distinct()
-    n_nz = (nz.join(short, USER, "left_semi")
-              .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
-    neg_side = (neg_top.join(n_nz, USER)
-                       .withColumn("pos", (n_users - 1 - F.col("_nnz") + F.col("_rn")).cast("bigint"))
-                       .filter(F.col("pos") <= k)
-                       .select(USER, "pos", NEIGHBOR, "sim"))
-    return pos_side.unionByName(neg_side)
+    top = nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k)
+    n_nz = nz.groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
+    shift = F.when(F.col("_sr") > 0, F.lit(0)).otherwise(n_users - 1 - F.col("_nnz"))
+    return (top.join(n_nz, USER)
+               .withColumn("pos", (F.col("_rn") + shift).cast("bigint"))
+               .filter(F.col("pos") <= k)
+               .select(USER, "pos", NEIGHBOR, "sim"))
 
 
 def knn(prep: Prepared, k: int, hot: HotItems | None = None,

@@ -181,13 +181,28 @@ def predict_approx_knn(prep: Prepared, pairs: DataFrame, k: int, n_buckets: int,
 
 def predict_knn_sweep(prep: Prepared, pairs: DataFrame, ks: list[int],
                       hot: HotItems | None = None) -> DataFrame:
-    """Predictions for every k in ``ks`` from one ranking at ``max(ks)``:
-    each neighbour row is copied to the ks that keep it (``pos <= k``), one
-    aggregation by ``(k, user, item)``. Output: pairs columns, ``k``, prediction."""
-    nb = knn(prep, max(ks), hot)
-    ks_arr = F.array(*[F.lit(int(k)) for k in sorted(ks)])
-    nb_k = nb.withColumn("k", F.explode(F.filter(ks_arr, lambda k: k >= F.col("pos"))))
-    d = weighted_deviation(prep, pairs, nb_k, extra_keys=["k"])
+    """Predictions for every k in ``ks`` from one ranking at ``max(ks)``.
+
+    Each (pair, neighbour) row is summed into the first grid step whose k
+    keeps it (``j = #{k in ks : k < pos}``), giving at most ``len(ks)``
+    partial sums per pair; those are then spread to every k from step ``j``
+    on and summed again. The neighbour table itself is never copied per k.
+    Output: pairs columns, ``k``, prediction."""
+    ks = sorted(int(k) for k in ks)
+    nb = knn(prep, ks[-1], hot)
+    ks_arr = F.array(*[F.lit(k) for k in ks])
+    raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
+    cand = (pairs.select(USER, ITEM).join(raters, ITEM)
+                 .join(nb.select(USER, NEIGHBOR, "sim", "pos"), [USER, NEIGHBOR]))
+    step = F.size(F.filter(ks_arr, lambda k: k < F.col("pos")))
+    part = (cand.withColumn("_j", step)
+                .groupBy(USER, ITEM, "_j")
+                .agg(F.sum(F.col("sim") * F.col("dev")).alias("_num"),
+                     F.sum(F.abs(F.col("sim"))).alias("_den")))
+    spread = part.withColumn("k", F.explode(F.slice(ks_arr, F.col("_j") + 1, F.lit(len(ks)) - F.col("_j"))))
+    d = (spread.groupBy(USER, ITEM, "k")
+               .agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"))
+               .select(USER, ITEM, "k", safe_ratio(F.col("_num"), F.col("_den")).alias("d")))
     pk = pairs.withColumn("k", F.explode(ks_arr))
     x = _with_user(prep, pk).join(d, [USER, ITEM, "k"], "left")
     dev = F.coalesce(F.col("d"), F.lit(0.0))
