@@ -5,8 +5,10 @@ of ``u`` rated predicts exactly ``ua(u)`` (d = 0), so such items only matter
 as ties at that value, broken by the smaller item id. Per user:
 
 1. *reached* items: rated by a neighbour, not by ``u`` -> scored;
-2. *fill* items: the ``n`` smallest-id items outside ``rated(u) + reached(u)``
-   -> ``ua(u)`` (or the global average for an unknown user). They lie among
+2. *fill* items, only for users with fewer than ``n`` reached items ranked
+   strictly above ``ua(u)``: the ``n`` smallest-id items outside
+   ``rated(u) + reached(u)`` -> ``ua(u)`` (or the global average for an
+   unknown user). They lie among
    the first ``m_u + n`` items in id order (``m_u = |rated + reached|``), so
    each user explodes only that many item ranks and equi-joins a dense item
    index;
@@ -82,12 +84,22 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
                    .select(USER, ITEM, predict_from(F.col("user_avg"),
                                                     safe_ratio(F.col("_num"), F.col("_den"))).alias(PRED)))
 
-    # fill: smallest-id items outside rated + reached
-    seen = rated.unionByName(reach.select(USER, ITEM))
+    # fill: smallest-id items outside rated + reached, predicted ua(u). They can
+    # enter the top n only for a user with fewer than n reached items ranked
+    # strictly above ua(u) (same rounded key as the final ordering), so the
+    # fill is computed for those users alone.
+    above = (scored.join(ua, USER)
+                   .groupBy(USER)
+                   .agg(F.sum(F.when(rank_key(F.col(PRED)) > rank_key(F.col("user_avg")), 1)
+                             .otherwise(0)).alias("_above")))
+    needy = (users.join(above, USER, "left")
+                  .filter(F.coalesce(F.col("_above"), F.lit(0)) < n).select(USER))
+    seen = (rated.unionByName(reach.select(USER, ITEM))
+                 .join(needy, USER, "left_semi"))
     m = seen.groupBy(USER).agg(F.count(F.lit(1)).alias("_m"))
     index = dense_index(prep.train, ITEM, "_rank")
     n_items = prep.train.select(ITEM).distinct().agg(F.count(F.lit(1))).scalar()
-    span = (users.join(m, USER, "left")
+    span = (needy.join(m, USER, "left")
                  .select(USER, F.explode(F.sequence(
                      F.lit(1).cast("bigint"),
                      F.least(F.coalesce(F.col("_m"), F.lit(0)) + n, n_items).cast("bigint"))).alias("_rank")))
