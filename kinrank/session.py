@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # checkpoint files of frames the driver no longer references are deleted
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # checkpointed rows (UnsafeRow implements KryoSerializable) are written and
+    # read back with Kryo instead of Java serialization
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
