@@ -60,16 +60,20 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
     """``user_id, rank, item_id, prediction`` — the top ``n`` unrated items of
     each user in ``users`` (one column ``user_id``; ``None`` = every train
     user, which takes the undirected kNN path and skips the restriction)."""
+    # ``rated`` comes from the deviation table (the prepared, written one in
+    # pair-based use), not from the raw input: if that input is a union with
+    # a branch whose user id is a literal, a semi-join pushed into that branch
+    # would lose its equi-join key and turn into a nested-loop join.
     if users is None:
         users = prep.ustats.select(USER)
         nb = nbrs if nbrs is not None else knn(prep, k, hot)
         nb = nb.select(USER, NEIGHBOR, "sim")
-        rated = prep.train.select(USER, ITEM)
+        rated = prep.dev.select(USER, ITEM)
     else:
         users = users.select(USER).distinct()
         nb = nbrs if nbrs is not None else knn(prep, k, hot, users=users)
         nb = nb.join(users, USER, "left_semi").select(USER, NEIGHBOR, "sim")
-        rated = prep.train.select(USER, ITEM).join(users, USER, "left_semi")
+        rated = prep.dev.select(USER, ITEM).join(users, USER, "left_semi")
     raters = prep.dev.select(F.col(USER).alias(NEIGHBOR), ITEM, "dev")
 
     # written once: the scores, the per-user counts and the fill's anti-join read it
@@ -97,8 +101,8 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
     seen = (rated.unionByName(reach.select(USER, ITEM))
                  .join(needy, USER, "left_semi"))
     m = seen.groupBy(USER).agg(F.count(F.lit(1)).alias("_m"))
-    index = dense_index(prep.train, ITEM, "_rank")
-    n_items = prep.train.select(ITEM).distinct().agg(F.count(F.lit(1))).scalar()
+    index = dense_index(prep.dev.select(ITEM), ITEM, "_rank")
+    n_items = prep.dev.select(ITEM).distinct().agg(F.count(F.lit(1))).scalar()
     span = (needy.join(m, USER, "left")
                  .select(USER, F.explode(F.sequence(
                      F.lit(1).cast("bigint"),
