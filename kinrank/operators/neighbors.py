@@ -40,7 +40,8 @@ def bucket_hash(user: Column, bucket) -> Column:
     return (h1 * h1) % HASH_MOD
 
 
-def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
+def positions(sims_dir: DataFrame, n_users: Column, k: int,
+              n_nonzero: DataFrame | None = None) -> DataFrame:
     """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` (non-zero only).
 
     One ``row_number() <= k`` over all non-zero similarities ordered by
@@ -52,12 +53,13 @@ def positions(sims_dir: DataFrame, n_users: Column, k: int) -> DataFrame:
     hash-partitioned by user, so the join adds no shuffle of the top-k).
 
     ``sims_dir`` should read a written table (see ``nonzero``): it is
-    scanned twice, once for the ranking and once for the counts.
+    scanned twice, once for the ranking and once for the counts, unless the
+    counts come in as ``n_nonzero`` (``user_id, _nnz``).
     """
     nz = sims_dir.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
     win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
     top = nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k)
-    n_nz = nz.groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
+    n_nz = n_nonzero if n_nonzero is not None else nz.groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
     shift = F.when(F.col("_sr") > 0, F.lit(0)).otherwise(n_users - 1 - F.col("_nnz"))
     return (top.join(n_nz, USER)
                .withColumn("pos", (F.col("_rn") + shift).cast("bigint"))
@@ -74,14 +76,21 @@ def knn(prep: Prepared, k: int, hot: HotItems | None = None,
     if users is None:
         if stats is None:
             stats = nonzero(pair_stats(prep, hot).select("u", "v", "cos"), "cos", "knn-sims")
-        sims = directed(stats, "cos")
-    else:
-        p = pair_stats(prep, hot, left_users=users, directed=True)
-        sims = nonzero(p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR),
-                                F.col("cos").alias("sim")), "sim", "knn-sims")
+        return positions(directed(stats, "cos"), prep.n_users(), k, undirected_counts(stats, "cos"))
+    p = pair_stats(prep, hot, left_users=users, directed=True)
+    sims = nonzero(p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR),
+                            F.col("cos").alias("sim")), "sim", "knn-sims")
     return positions(sims, prep.n_users(), k)
 
 
+def undirected_counts(stats: DataFrame, col: str) -> DataFrame:
+    """``user_id, _nnz``: non-zero similarities per user, from one scan of a
+    ``u < v`` table (each row counts for both of its users)."""
+    return (stats.filter(rank_key(F.col(col)) != 0)
+                 .select(F.explode(F.array("u", "v")).alias(USER))
+                 .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
+
+
 def nonzero(sims: DataFrame, col: str, name: str) -> DataFrame:
     """Non-zero similarities, written once: the ranking reads them in more
     than one branch. Written in ``u < v`` form where possible (half the rows
@@ -128,4 +137,4 @@ def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
     users (users sharing no bucket count as zero-similarity candidates)."""
     stats = nonzero(approx_similarities(prep, n_buckets, replication, hot).select("u", "v", "cos"),
                     "cos", "approx-sims")
-    return positions(directed(stats, "cos"), prep.n_users(), k)
+    return positions(directed(stats, "cos"), prep.n_users(), k, undirected_counts(stats, "cos"))
