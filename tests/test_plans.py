@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from kinrank.plans import catalog
 from kinrank.functions.formulas import rank_key
 from kinrank.operators import similarity as sim
 from kinrank.operators.stats import Prepared
@@ -26,7 +27,7 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.registry()))
 def test_no_cross_products_or_python_in_plans(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
