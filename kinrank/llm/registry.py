@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from kinrank.llm import lines
+from kinrank.llm import lines, packing, rules
 
 
 def queries() -> dict:
     return {
+        "op1_pack": packing.q_pack,
         "op3_line_dedup": lines.q_line_dedup,
+        "op10_host_rules": rules.q_host_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": lines.SQL,
+        "op10_host_rules": rules.SQL,
     }
