@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from kinrank.llm import lines, packing, rules, simhash
+from kinrank.llm import bpe, lines, packing, rules, simhash
 
 
 def queries() -> dict:
     return {
         "op1_pack": packing.q_pack,
         "op3_line_dedup": lines.q_line_dedup,
+        "op4_bpe": bpe.q_bpe,
         "op8_simhash": simhash.q_simhash,
         "op10_host_rules": rules.q_host_rules,
     }
