@@ -36,7 +36,7 @@ UNKNOWN = "und"
 _MULT = [np.uint32(m) for m in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)]
 
 
-def presence(block: A.Block, dims: int = DIMS) -> np.ndarray:
+def presence(block: A.Block, dims: int = DIMS, sizes: tuple[int, ...] = SIZES) -> np.ndarray:
     """0/1 matrix (texts x dims) of the n-grams that each text has."""
     out = np.zeros((block.n, dims), dtype=np.uint8)
     flat = out.ravel()
@@ -45,13 +45,13 @@ def presence(block: A.Block, dims: int = DIMS) -> np.ndarray:
     row = np.repeat(np.arange(block.n, dtype=np.int64) * dims, np.diff(block.off))
     left = np.repeat(block.off[1:], np.diff(block.off)) - np.arange(len(data))  # bytes of the text from here on
     h = np.zeros(len(data), dtype=np.uint32)
-    for n in range(1, max(SIZES) + 1):
+    for n in range(1, max(sizes) + 1):
         m = len(data) - n + 1
         if m <= 0:
             break
         h = (h[:m] ^ data[n - 1:]) * _MULT[n - 1]
         h ^= h >> np.uint32(15)
-        if n in SIZES:
+        if n in sizes:
             at = row[:m] + ((h * _MULT[0]) >> shift)
             flat[at[left[:m] >= n]] = 1
     return out
