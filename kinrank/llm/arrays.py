@@ -137,3 +137,45 @@ def sums(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.zeros(len(flags) + 1, dtype=np.int64)
     np.cumsum(flags, out=total[1:])
     return total[off[1:]] - total[off[:-1]]
+
+
+def string_array(data: np.ndarray, off: np.ndarray) -> pa.Array:
+    """Bytes and offsets as an Arrow string array."""
+    kind, make = (np.int32, pa.StringArray) if off[-1] < 1 << 31 else (np.int64, pa.LargeStringArray)
+    return make.from_buffers(len(off) - 1, pa.py_buffer(off.astype(kind)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Flags of the places inside any of the ranges."""
+    step = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(step, starts, 1)
+    np.add.at(step, ends, -1)
+    return np.cumsum(step[:n]) > 0
+
+
+def keep_bytes(block: Block, keep: np.ndarray) -> pa.Array:
+    """The texts with the flagged bytes alone."""
+    total = np.zeros(len(keep) + 1, dtype=np.int64)
+    np.cumsum(keep, out=total[1:])
+    return string_array(block.data[keep], total[block.off])
+
+
+def join_words(block: Block, starts: np.ndarray, ends: np.ndarray, off: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """The kept words of each text joined by one space."""
+    at = np.flatnonzero(keep)
+    doc = text_of(off, at)
+    later = np.concatenate([[False], doc[1:] == doc[:-1]]) if len(at) else np.zeros(0, bool)
+    data = block.data.copy()
+    # the byte before a later word of a text is white space
+    data[starts[at[later]] - 1] = 32
+    return keep_bytes(Block(data, block.off), covered(starts[at] - later, ends[at], len(data)))
+
+
+def cut_words(block: Block, starts: np.ndarray, ends: np.ndarray, off: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """The texts without the words that are not kept and the white space after
+    each; all other bytes stay."""
+    at = np.flatnonzero(~keep)
+    doc = text_of(off, at)
+    last = at + 1 == off[doc + 1]
+    after = np.where(last, block.off[doc + 1], np.append(starts, 0)[at + 1])
+    return keep_bytes(block, ~covered(starts[at], after, len(block.data)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, langid, lines, packing, quality, rules, simhash
+from kinrank.llm import bpe, debruijn, langid, lines, packing, quality, rules, simhash
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_line_dedup": lines.q_line_dedup,
         "op4_bpe": bpe.q_bpe,
         "op5_language": langid.q_language,
+        "op6_substring": debruijn.q_substring,
         "op7_quality": quality.q_quality,
         "op8_simhash": simhash.q_simhash,
         "op10_host_rules": rules.q_host_rules,
@@ -20,5 +21,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": lines.SQL,
+        "op6_substring": debruijn.SQL,
         "op10_host_rules": rules.SQL,
     }
