@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, debruijn, langid, lines, packing, quality, rules, simhash
+from kinrank.llm import bpe, debruijn, langid, lines, packing, quality, rules, simhash, suffixes
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_substring": debruijn.q_substring,
         "op7_quality": quality.q_quality,
         "op8_simhash": simhash.q_simhash,
+        "op9_suffix": suffixes.q_suffix,
         "op10_host_rules": rules.q_host_rules,
     }
 
