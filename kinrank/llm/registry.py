@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, debruijn, langid, lines, packing, quality, rules, simhash, suffixes
+from kinrank.llm import bpe, debruijn, jaccard, langid, lines, packing, quality, rules, simhash, suffixes
 
 
 def queries() -> dict:
     return {
         "op1_pack": packing.q_pack,
+        "op2_jaccard": jaccard.q_jaccard,
         "op3_line_dedup": lines.q_line_dedup,
         "op4_bpe": bpe.q_bpe,
         "op5_language": langid.q_language,
@@ -21,6 +22,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_jaccard": jaccard.SQL,
         "op3_line_dedup": lines.SQL,
         "op6_substring": debruijn.SQL,
         "op10_host_rules": rules.SQL,
