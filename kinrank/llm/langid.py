@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
-from kinrank.llm.common import pack, table
+from kinrank.llm.common import hashed_sample, pack, table
 
 SIZES = (1, 2, 3, 4)
 DIMS = 1 << 14
@@ -106,17 +106,6 @@ def fit(rows: list[tuple[bytes, str]], dims: int = DIMS, landmarks: int = LANDMA
     return Model(bits[order], (root @ w).astype(np.float32), names)
 
 
-def sample(labelled: DataFrame, lang_col: str, rows: int = SAMPLE) -> DataFrame:
-    """At most ``rows`` rows, evenly over the languages: the first by a hash."""
-    n = labelled.select(lang_col).distinct().limit(LANGUAGES + 1).count()
-    if n > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64("id"), F.xxhash64("text"))
-    first = (labelled.select("id", F.xxhash64("id").alias("o"), lang_col, "text")
-             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= -(-rows // max(1, n))))
-    return first.select(lang_col, "text")
-
-
 def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", rows: int = SAMPLE) -> Model | None:
     """Fit on rows with a language, a letter in their text and ``learn`` true;
@@ -135,7 +124,9 @@ def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.slice(i, j - i).column("lang"), pa.array(some, pa.binary())],
                                                  names=["lang", "bits"])
 
-    got = sample(src, "lang", rows).mapInArrow(bits, "lang string, bits binary").collect()  # bounded: rows x dims / 8
+    n = max(1, src.select("lang").distinct().limit(LANGUAGES + 1).count())
+    some = hashed_sample(src, "lang", ["id", "text"], -(-rows // n), LANGUAGES).select("lang", "text")
+    got = some.mapInArrow(bits, "lang string, bits binary").collect()  # bounded: rows x dims / 8
     found = sorted((bytes(r["bits"]), r["lang"]) for r in got)
     found = [found[i] for i in np.random.default_rng(11).permutation(len(found))]
     return fit(found) if found else None

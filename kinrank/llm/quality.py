@@ -14,16 +14,17 @@ from; the support vector machine is fitted on a bounded sample of them
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
-from kinrank.llm.common import pack, table, written
+from kinrank.llm.common import hashed_sample, pack, table, written
 from kinrank.llm.langid import presence
 
 DIMS = 1 << 16
@@ -184,19 +185,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_co
     rowed = written(src.mapInArrow(features, f"id {kind}, y int, places binary"), "quality")
     total = (rowed.select("y", "places").mapInArrow(counts, "place bigint, n0 bigint, n1 bigint")
              .groupBy("place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect())  # DIMS rows at most
-    order = Window.partitionBy("y").orderBy("o", "p")
-    got = (rowed.select("y", "places", F.xxhash64("id").alias("o"), F.xxhash64("places").alias("p"))
-           .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows // 2)
-           .select("y", "o", "p", "places").collect())  # a bounded sample
-    got = sorted((r["o"], r["p"], r["y"], bytes(r["places"])) for r in got)
-    y = np.array([1 if r[2] else -1 for r in got])
+    got = hashed_sample(rowed, "y", ["id", "places"], rows // 2).collect()  # a bounded sample
+    got = sorted((zlib.crc32(r["places"]), r["y"], bytes(r["places"])) for r in got)
+    y = np.array([1 if r[1] else -1 for r in got])
     if not len(y) or y.min() == y.max():
         return None
     share = rowed.agg(F.avg("y")).first()[0]
     n = np.zeros((2, DIMS))
     for r in total:
         n[0, r["place"]], n[1, r["place"]] = r["n0"], r["n1"]
-    return fit([np.frombuffer(r[3], "<u2").astype(np.int64) for r in got], y, log_count_ratios(n[1], n[0]),
+    return fit([np.frombuffer(r[2], "<u2").astype(np.int64) for r in got], y, log_count_ratios(n[1], n[0]),
                share)
 
 
