@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from kinrank.llm.common import pack, table
 from kinrank.llm.packing import byte_letters
 
-KEPT = 150_000        # parts, and words, whose tokens a worker keeps (twice so many at most)
+KEPT = 300_000        # parts whose tokens a worker keeps (twice so many at most)
+LONGEST = 48          # letters of a part that is kept, at most
 SEGMENT = 1 << 20     # characters of a long text handled at a time
 SETTLED = "\u0370"    # below, letters have not changed between Unicode versions
 LAST = "</w>"
@@ -48,11 +49,11 @@ class Automaton:
                 break
             useful = [m for i, m in enumerate(useful) if i not in blocked]
         self._known: dict[tuple[int, int], bool] = {}
-        # longest label by its first three letters: where to begin a search
+        # longest label by its first four letters: where to begin a search
         self.reach: dict[str, int] = {}
         for t in self.ids:
             k = t.removesuffix(LAST) if len(t) > len(LAST) else t
-            self.reach[k[:3]] = max(self.reach.get(k[:3], 0), len(k))
+            self.reach[k[:4]] = max(self.reach.get(k[:4], 0), len(k))
 
     def _build(self, letters: list[str], merges: list[tuple[str, str]]) -> None:
         self.ids = {t: i for i, t in enumerate(letters)}
@@ -118,7 +119,7 @@ class Automaton:
         key = (label, then)
         ok = self._known.get(key)
         if ok is None:
-            if len(self._known) > 8 * KEPT:
+            if len(self._known) > 4 * KEPT:
                 self._known.clear()
             ok = self._known[key] = self._has(self.to[label], then)
         return ok
@@ -128,7 +129,7 @@ class Automaton:
         a prefix has one path only, so no place is reached twice."""
         ids, reach, n = self.ids, self.reach, len(word)
         path: list[tuple[int, int]] = []     # (label, where it starts)
-        at, size = 0, min(reach.get(word[:3], 2), n)
+        at, size = 0, min(reach.get(word[:4], 3), n)
         while True:
             while size:
                 end = at + size
@@ -141,7 +142,7 @@ class Automaton:
                 at += size
                 if at == n:
                     return [t for t, _ in path]
-                size = min(reach.get(word[at:at + 3], 2), n - at)
+                size = min(reach.get(word[at:at + 4], 3), n - at)
             else:
                 if not path:
                     raise ValueError(f"no path for {word!r}")
@@ -195,40 +196,48 @@ class Bpe:
         self.library = Tokenizer.from_file(path)  # splits words with letters that are not settled
         self.words = regex.compile(split["pattern"]["Regex"])
         self.letter = dict(enumerate(letters))
-        self.kept, self.kept_words = Recent(KEPT), Recent(KEPT)
+        self.kept, self.kept_words = Recent(KEPT), Recent(KEPT // 4)
 
-    def word(self, word: str) -> list[int]:
-        got = self.kept_words.get(word)
+    def word(self, word: str, kept: Recent) -> tuple[int, bytes, bytes]:
+        got = kept.get(word)
         if got is None:
-            got = [self.id[t] for t in self.auto.walk(word)]
-            self.kept_words.put(word, got)
+            ids = [self.id[t] for t in self.auto.walk(word)]
+            got = (len(ids), b"".join([b" %d" % i for i in ids]), self.emit(ids))
+            if len(word) <= LONGEST:
+                kept.put(word, got)
         return got
 
-    def part(self, part: str) -> list[int]:
-        out: list[int] = []
+    def part(self, part: str) -> tuple[int, bytes, bytes]:
+        """Number of tokens, decimal ids and labels, each after a space."""
+        if part.isascii() and part.isalpha():
+            return self.word(part.lower(), self.kept)
+        found = []
         for k, piece in enumerate(self.cut.split(part) if self.cut and "<" in part else [part]):
             if k % 2:
-                out.append(self.special[piece])
-                continue
-            if piece.isascii():
+                i = self.special[piece]
+                found.append((1, b" %d" % i, b" " + self.label[i]))
+            elif piece.isascii():
                 spelt = self.words.findall(piece.lower())
                 if not piece.isprintable():
                     spelt = [w.translate(self.letter) for w in spelt]
-            elif max(piece) < SETTLED:
-                spelt = [w.encode().decode("latin-1").translate(self.letter)
-                         for w in self.words.findall(unicodedata.normalize("NFC", piece).lower())]
+                # a printable ASCII word spells itself, so words and parts share what is kept
+                found.extend([self.word(w, self.kept if w.isascii() else self.kept_words) for w in spelt])
             else:
-                spelt = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(
-                    self.library.normalizer.normalize_str(piece))]
-            for w in spelt:
-                out.extend(self.word(w))
-        return out
-
-    def parts(self, text: str) -> Iterator[list[tuple]]:
-        """Tokens of the text part by part: their number, ids, and as bytes the
-        decimal ids and the labels, each after a space. A long text comes in
+                if max(piece) < SETTLED:
+                    spelt = [w.encode().decode("latin-1").translate(self.letter)
+                             for w in self.words.findall(unicodedata.normalize("NFC", piece).lower())]
+                else:
+                    spelt = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(
+                        self.library.normalizer.normalize_str(piece))]
+                found.extend([self.word(w, self.kept_words) for w in spelt])
+        if len(found) == 1:
+            return found[0]
+        return sum([f[0] for f in found]), b"".join([f[1] for f in found]), b"".join([f[2] for f in found])
+
+    def parts(self, text: str) -> Iterator[list[tuple[int, bytes, bytes]]]:
+        """What ``part`` gives for the text's parts. A long text comes in
         segments."""
-        at = 0
+        at, kept = 0, self.kept
         while at < len(text):
             end = len(text)
             if end - at > SEGMENT:
@@ -236,21 +245,25 @@ class Bpe:
                 end = len(text) if end < 0 else end
             parts = text[at:end].replace("\n", " ").split(" ")
             at = end
-            here = {}
-            for p in set(parts):
-                got = self.kept.get(p)
+            new, old = kept.new, kept.old
+            out = []
+            for p in parts:
+                got = new.get(p)
                 if got is None:
-                    ids = self.part(p)
-                    got = (len(ids), tuple(ids), b"".join([b" %d" % i for i in ids]), self.emit(ids))
-                    self.kept.put(p, got)
-                here[p] = got
-            yield [here[p] for p in parts]
+                    got = old.get(p)
+                    if got is None:
+                        got = self.part(p)
+                    if len(p) <= LONGEST:
+                        kept.put(p, got)
+                        new, old = kept.new, kept.old
+                out.append(got)
+            yield out
 
     def emit(self, ids: list[int]) -> bytes:
         return b"".join([b" " + self.label[i] for i in ids])
 
     def encode(self, text: str) -> list[int]:
-        return [i for some in self.parts(text) for _, ids, _, _ in some for i in ids]
+        return [int(i) for some in self.parts(text) for _, ids, _ in some for i in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
         return self.emit(ids)[1:].decode()
@@ -260,8 +273,8 @@ class Bpe:
         n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
         for some in self.parts(text):
             skip = 0 if n else 1  # the first token has no space before it
-            ids_hash.update(b"".join([p[2] for p in some])[skip:])
-            text_hash.update(b"".join([p[3] for p in some])[skip:])
+            ids_hash.update(b"".join([p[1] for p in some])[skip:])
+            text_hash.update(b"".join([p[2] for p in some])[skip:])
             n += sum([p[0] for p in some])
         return n, ids_hash.hexdigest(), text_hash.hexdigest()
 
