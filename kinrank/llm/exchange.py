@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20     # text of a slice, about
+SLICE_BYTES = 2 << 20     # text of a slice, about
 BUCKET_HASHES = 2 << 20   # hashes that meet in a bucket, about
 
 _U = np.uint64
