@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20     # text of a slice, about
-BUCKET_HASHES = 2 << 20   # hashes that meet in a bucket, about
+BUCKET_HASHES = 1 << 20   # hashes that meet in a bucket, about
 
 _U = np.uint64
 
