@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.functions.formulas import rank_key
-from kinrank.operators.pairs import HotItems
+from kinrank.operators.pairs import DEFAULT_BLOCK, HotItems, corated
 from kinrank.operators.similarity import NEIGHBOR, directed, pair_stats
 from kinrank.operators.stats import Prepared
 from kinrank.session import materialize
-from kinrank.sources.schema import USER
+from kinrank.sources.schema import ITEM, USER
 
 # The bucket hash (multiplicative hash reduced modulo the
 # Mersenne prime 2^31 - 1, then squared so buckets are not shifts of each other).
@@ -40,31 +40,31 @@ def bucket_hash(user: Column, bucket) -> Column:
     return (h1 * h1) % HASH_MOD
 
 
-def positions(sims_dir: DataFrame, n_users: Column, k: int,
-              n_nonzero: DataFrame | None = None) -> DataFrame:
-    """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` (non-zero only).
+def top_similarities(sims: DataFrame, k: int) -> DataFrame:
+    """``user_id, _rn, neighbor_id, sim, _sr``: each user's ``k`` largest
+    non-zero similarities by (s desc, neighbor desc). The similarities stream
+    from their aggregation through a partial top-k into the shuffle; at most
+    ``users x k`` rows are written."""
+    nz = sims.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
+    win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
+    top = nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k)
+    return materialize(top.select(USER, "_rn", NEIGHBOR, "sim", "_sr"), "top-similarities")
+
 
-    One ``row_number() <= k`` over all non-zero similarities ordered by
-    (s desc, neighbor desc): positives come first, so for them ``pos = rn``.
-    A negative can only appear in that top-k when the user has fewer than
-    ``k`` positives; its position is shifted by the zeros,
-    ``pos = rn + N - 1 - n_nonzero(u)``. ``n_nonzero`` is one partial
-    aggregation per user joined to the top-k on ``user_id`` (both sides are
-    hash-partitioned by user, so the join adds no shuffle of the top-k).
+def place(top: DataFrame, n_users: Column, k: int, counts) -> DataFrame:
+    """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` from the top rows.
 
-    ``sims_dir`` should read a written table (see ``nonzero``): it is
-    scanned twice, once for the ranking and once for the counts, unless the
-    counts come in as ``n_nonzero`` (``user_id, _nnz``).
+    Positives come first, so for them ``pos = rn``. A negative is among the
+    top ``k`` only when its user has fewer than ``k`` positives; the zeros
+    stand before it: ``pos = rn + N - 1 - n_nonzero(u)``. ``counts(users)``
+    gives ``user_id, _nnz`` and is asked for those users alone.
     """
-    nz = sims_dir.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
-    win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
-    top = nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k)
-    n_nz = n_nonzero if n_nonzero is not None else nz.groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
-    shift = F.when(F.col("_sr") > 0, F.lit(0)).otherwise(n_users - 1 - F.col("_nnz"))
-    return (top.join(n_nz, USER)
-               .withColumn("pos", (F.col("_rn") + shift).cast("bigint"))
-               .filter(F.col("pos") <= k)
-               .select(USER, "pos", NEIGHBOR, "sim"))
+    down = top.filter(F.col("_sr") < 0)
+    up = top.filter(F.col("_sr") > 0).select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim")
+    low = (down.join(counts(down.select(USER).distinct()), USER)
+               .withColumn("pos", (F.col("_rn") + n_users - 1 - F.col("_nnz")).cast("bigint"))
+               .filter(F.col("pos") <= k).select(USER, "pos", NEIGHBOR, "sim"))
+    return up.unionByName(low)
 
 
 def knn(prep: Prepared, k: int, hot: HotItems | None = None,
@@ -72,69 +72,80 @@ def knn(prep: Prepared, k: int, hot: HotItems | None = None,
     """Exact kNN by adjusted cosine: ``user_id, pos, neighbor_id, sim``.
     ``users`` restricts the users whose neighbours are wanted; the
     restriction is applied to the left side of the pair join. ``stats``: a
-    ``pair_stats`` table already computed (e.g. shared with other predictors)."""
-    if users is None:
-        if stats is None:
-            stats = nonzero(pair_stats(prep, hot).select("u", "v", "cos"), "cos", "knn-sims")
-        return positions(directed(stats, "cos"), prep.n_users(), k, undirected_counts(stats, "cos"))
+    written ``pair_stats`` table (e.g. shared with other predictors)."""
+    if stats is not None:
+        sims = directed(stats, "cos")
+    elif users is None:
+        sims = directed(pair_stats(prep, hot), "cos")
+    else:
+        sims = _of_users(prep, hot, users)
+
+    def counts(some: DataFrame) -> DataFrame:
+        again = directed(stats, "cos").join(some, USER, "left_semi") if stats is not None else _of_users(
+            prep, hot, some)
+        return again.filter(rank_key(F.col("sim")) != 0).groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
+    return place(top_similarities(sims, k), prep.n_users(), k, counts)
+
+
+def _of_users(prep: Prepared, hot: HotItems | None, users: DataFrame) -> DataFrame:
     p = pair_stats(prep, hot, left_users=users, directed=True)
-    sims = nonzero(p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR),
-                            F.col("cos").alias("sim")), "sim", "knn-sims")
-    return positions(sims, prep.n_users(), k)
+    return p.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col("cos").alias("sim"))
 
 
-def undirected_counts(stats: DataFrame, col: str) -> DataFrame:
-    """``user_id, _nnz``: non-zero similarities per user, from one scan of a
-    ``u < v`` table (each row counts for both of its users)."""
-    return (stats.filter(rank_key(F.col(col)) != 0)
-                 .select(F.explode(F.array("u", "v")).alias(USER))
-                 .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
-
-
-def nonzero(sims: DataFrame, col: str, name: str) -> DataFrame:
-    """Non-zero similarities, written once: the ranking reads them in more
-    than one branch. Written in ``u < v`` form where possible (half the rows
-    of the directed table; the mirror is applied on read)."""
-    return materialize(sims.filter(rank_key(F.col(col)) != 0), name)
+def neighbor_weights(nbrs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``u, v, weight``: the similarity of each given pair where ``v`` is
+    among the neighbours of ``u``, else 0."""
+    kept = nbrs.select(F.col(USER).alias("u"), F.col(NEIGHBOR).alias("v"), F.col("sim").alias("weight"))
+    return (pairs.select("u", "v").distinct().join(kept, ["u", "v"], "left")
+            .select("u", "v", F.coalesce("weight", F.lit(0.0)).alias("weight")))
 
 
 def bucket_arrays(users: DataFrame, n_buckets: int, replication: int) -> DataFrame:
     """``user_id, bks``: each user's ``replication`` distinct buckets out of
-    ``n_buckets`` — the buckets with the smallest hash (ties by bucket id).
-    A per-row expression over ``n_buckets`` candidates; no shuffle."""
-    cands = F.array(*[F.struct(bucket_hash(F.col(USER), p).alias("h"), F.lit(p).alias("b"))
-                      for p in range(n_buckets)])
+    ``n_buckets``, those with the smallest hash (ties by bucket id). A per-row
+    expression whose size does not depend on ``n_buckets``; no shuffle."""
+    cands = F.transform(F.sequence(F.lit(0), F.lit(n_buckets - 1)),
+                        lambda b: F.struct(bucket_hash(F.col(USER), b).alias("h"), b.alias("b")))
     chosen = F.slice(F.array_sort(cands), 1, replication)
     return users.select(USER, F.transform(chosen, lambda s: s["b"]).alias("bks"))
 
 
 def user_buckets(users: DataFrame, n_buckets: int, replication: int) -> DataFrame:
-    """``bucket, user_id`` — one row per (user, assigned bucket)."""
+    """``bucket, user_id``: one row per (user, assigned bucket)."""
     return (bucket_arrays(users, n_buckets, replication)
             .select(F.explode("bks").alias("bucket"), USER))
 
 
 def approx_similarities(prep: Prepared, n_buckets: int, replication: int,
-                        hot: HotItems | None = None) -> DataFrame:
-    """Cosine similarity for pairs that share a bucket (``u < v``).
-
-    Rating rows are replicated to their user's buckets and self-joined on
-    ``(item_id, bucket)``: pair work shrinks by about ``replication^2 /
-    n_buckets``. A pair sharing several buckets is counted only in the
-    smallest shared one, so one aggregation gives the exact similarity of
-    every co-bucketed pair (a user's row is whole in each bucket)."""
-    bks = bucket_arrays(prep.ustats.select(USER), n_buckets, replication)
-    rows = (prep.w.join(bks, USER)
-                  .withColumn("bucket", F.explode("bks")))
-    first_shared = F.array_min(F.array_intersect(F.col("bks_u"), F.col("bks_v")))
-    return pair_stats(prep, hot, keys=["bucket"], rows=rows,
-                      extra_filter=F.col("bucket") == first_shared)
+                        hot: HotItems | None = None, block: int | None = None) -> DataFrame:
+    """Cosine similarity for pairs that share a bucket: ``u, v, cos``, u < v.
+
+    Rating rows are replicated to their user's buckets, with the bucket alone
+    beside the weight, and self-joined on ``(item_id, bucket)``: pair work
+    shrinks by about ``replication^2 / n_buckets``. Work is counted and hot
+    groups are split by ``(item, bucket)`` too, as that pair plays the item's
+    part in the pair join. Inside a bucket the sum over common items is the
+    exact similarity (a user's rows are whole in each bucket), so a pair that
+    shares several buckets has equal sums and one of them is kept.
+    """
+    placed = user_buckets(prep.ustats.select(USER), n_buckets, replication)
+    cell = F.col(ITEM) * F.lit(n_buckets) + F.col("bucket")
+    rows = prep.w.select(USER, ITEM, "w").join(placed, USER).select(
+        USER, cell.alias(ITEM), F.col("bucket").alias("b"), "w")
+    rows = materialize(rows, "bucket-rows")
+    cells = HotItems(rows, block=block or (hot.block if hot is not None else DEFAULT_BLOCK))
+    p = corated(rows, ["w", "b"], hot=cells)
+    sums = p.groupBy("u", "v", F.col("b_u").alias("b")).agg(F.sum(F.col("w_u") * F.col("w_v")).alias("cos"))
+    return sums.groupBy("u", "v").agg(F.min_by("cos", "b").alias("cos"))
 
 
 def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
                hot: HotItems | None = None) -> DataFrame:
     """Approximate kNN: positions over co-bucketed pairs, ``N`` = all train
     users (users sharing no bucket count as zero-similarity candidates)."""
-    stats = nonzero(approx_similarities(prep, n_buckets, replication, hot).select("u", "v", "cos"),
-                    "cos", "approx-sims")
-    return positions(directed(stats, "cos"), prep.n_users(), k, undirected_counts(stats, "cos"))
+    sims = directed(approx_similarities(prep, n_buckets, replication, hot), "cos")
+
+    def counts(some: DataFrame) -> DataFrame:
+        return (sims.join(some, USER, "left_semi").filter(rank_key(F.col("sim")) != 0)
+                .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
+    return place(top_similarities(sims, k), prep.n_users(), k, counts)

@@ -1,20 +1,18 @@
-"""Co-rated user pairs: the self-join of rating rows on ``item_id``.
+"""Joins of rating rows on ``item_id``, where work is quadratic in an item's
+raters: co-rated user pairs, and the raters that a pair to predict meets.
 
-This is where pair work lives: an item with ``n`` raters yields ``n(n-1)/2``
-pairs. Two things keep it distributed:
-
-* **u < v**: each unordered pair is emitted once (half the join output); the
-  mirror is a cheap union of the aggregated result.
+* **u < v**: each unordered pair of raters is emitted once (half the join
+  output); the mirror is a cheap union of the aggregated result.
 * **partitions sized by pair work**: AQE sizes post-shuffle partitions by
   the bytes read, but this join's output is quadratic in the raters per item.
   The same pass that finds hot items sums ``n(n-1)/2``; the rows are
   hash-partitioned by the join key into ``max(shuffle partitions,
   pairs / pairs_per_task)`` partitions (both sides read one exchange).
-* **block salting for hot items**: an item with more than ``block`` raters is
-  split into ``S = ceil(n / block)`` rater blocks by a hash of the user. Left
-  rows are replicated over the ``S`` right blocks and right rows over the
-  ``S`` left blocks, so the join key ``(item, left_block, right_block)`` holds
-  at most about ``block`` rows a side and ``block^2`` pairs. No task owns a
+* **block salting for hot items** (``salted_join``): an item with more than
+  ``block`` raters is split into ``S = ceil(n / block)`` blocks by a hash of
+  the user. Left rows are replicated over the ``S`` right blocks and right
+  rows over the ``S`` left blocks, so the join key ``(item, left_block,
+  right_block)`` holds at most about ``block`` rows a side. No task owns a
   whole hot item. Items at or below ``block`` raters are not replicated. The
   hot-item table has at most ``rows / block`` rows; it is counted first and
   broadcast only below ``broadcast_rows``, otherwise joined by shuffle.
@@ -22,39 +20,42 @@ pairs. Two things keep it distributed:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
 
 DEFAULT_BLOCK = 4096
 BROADCAST_ROWS = 200_000
 PAIRS_PER_TASK = 1_000_000
-MAX_PAIR_PARTITIONS = 200_000
 
 
 class HotItems:
     """Items with more raters than ``block``, with their block count, and the
-    total pair work ``sum n(n-1)/2`` — one aggregation job over the item
-    counts, run before the pair join is planned."""
+    total pair work ``sum n(n-1)/2``; the item counts are written once and
+    read for the totals and for every join.
+
+    ``broadcast_rows`` is the largest hot-item table that is broadcast (its
+    size is known before), ``pairs_per_task`` the pair work that one task of
+    the pair join should have; ``partitions`` overrides the partition count
+    that follows from it.
+    """
 
     def __init__(self, ratings: DataFrame, block: int = DEFAULT_BLOCK,
-                 broadcast_rows: int = BROADCAST_ROWS, pairs_per_task: int = PAIRS_PER_TASK):
+                 broadcast_rows: int = BROADCAST_ROWS, pairs_per_task: int = PAIRS_PER_TASK,
+                 partitions: int | None = None):
         self.block = block
-        counts = ratings.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n"))
-        self.table = (counts.filter(F.col("_n") > block)
-                            .select(ITEM, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_S")))
-        row = counts.agg(F.sum(F.when(F.col("_n") > block, 1).otherwise(0)).alias("hot"),
-                         F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("pairs"),
-                         F.count(F.lit(1)).alias("items"), F.sum("_n").alias("rows")).first()
+        self.counts = materialize(ratings.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n")), "item-counts")
+        self.table = (self.counts.filter(F.col("_n") > block)
+                      .select(ITEM, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_S")))
+        row = self.counts.agg(F.sum(F.when(F.col("_n") > block, 1).otherwise(0)).alias("hot"),
+                              F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("pairs")).first()
         self.n = int(row["hot"] or 0)  # size check before any broadcast
         self.pairs = float(row["pairs"] or 0.0)
-        self.avg_raters = float(row["rows"] or 0) / max(1, int(row["items"] or 0))
         self.broadcastable = self.n <= broadcast_rows
-        spark = ratings.sparkSession
-        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.partitions = min(max(base, int(-(-self.pairs // pairs_per_task))),
-                              max(base, MAX_PAIR_PARTITIONS))
+        base = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.partitions = partitions or max(base, int(-(-self.pairs // pairs_per_task)))
 
     def attach(self, rows: DataFrame) -> DataFrame:
         side = F.broadcast(self.table) if self.broadcastable else self.table
@@ -62,39 +63,51 @@ class HotItems:
                     .withColumn("_S", F.coalesce(F.col("_S"), F.lit(1))))
 
 
-def corated(rows: DataFrame, payload: list[str], keys: list[str] | None = None,
-            hot: HotItems | None = None, left_users: DataFrame | None = None,
-            directed: bool = False) -> DataFrame:
+def _blocks(rows: DataFrame, user: str, mine: str, other: str) -> DataFrame:
+    return (rows.withColumn(mine, F.pmod(F.xxhash64(user), F.col("_S")).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_S") - 1))).drop("_S"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], left_user: str, right_user: str,
+                hot: HotItems | None, on: Column | None = None, partitions: int | None = None) -> DataFrame:
+    """``left`` and ``right`` joined on ``keys`` (with ``item_id`` among
+    them), hot items in blocks by ``left_user`` and ``right_user``."""
+    if hot is None or hot.n == 0:
+        out = left.join(right, keys)
+        return out if on is None else out.filter(on)
+    key = keys + ["_lb", "_rb"]
+    left = _blocks(hot.attach(left), left_user, "_lb", "_rb")
+    right = _blocks(hot.attach(right), right_user, "_rb", "_lb")
+    if partitions:
+        left, right = left.repartition(partitions, *key), right.repartition(partitions, *key)
+    out = left.join(right, key)
+    return (out if on is None else out.filter(on)).drop("_lb", "_rb")
+
+
+def corated(rows: DataFrame, payload: list[str], hot: HotItems | None = None,
+            left_users: DataFrame | None = None, directed: bool = False) -> DataFrame:
     """Emit co-rated pairs.
 
-    ``rows`` has ``user_id, item_id``, the extra equality ``keys`` (e.g. a
-    bucket) and the ``payload`` columns. The result has ``u, v, item_id``,
-    the keys and ``<col>_u`` / ``<col>_v`` for each payload column, one row
-    per pair and shared item: ``u < v`` unless ``directed`` (then ``u != v``).
-    ``left_users`` (one column ``user_id``) restricts ``u`` before the join.
+    ``rows`` has ``user_id, item_id`` and the ``payload`` columns. The result
+    has ``u, v, item_id`` and ``<col>_u`` / ``<col>_v`` for each payload
+    column, one row per pair and shared item: ``u < v`` unless ``directed``
+    (then ``u != v``). ``left_users`` (one column ``user_id``) restricts ``u``
+    before the join.
     """
-    keys = list(keys or [])
-    jk = [ITEM] + keys
-    left = rows.select(F.col(USER).alias("u"), *jk, *[F.col(c).alias(f"{c}_u") for c in payload])
-    right = rows.select(F.col(USER).alias("v"), *jk, *[F.col(c).alias(f"{c}_v") for c in payload])
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(USER).alias(name), ITEM, *[F.col(c).alias(f"{c}_{name}") for c in payload])
+    if hot is not None and hot.n == 0 and left_users is None:
+        # one exchange, sized by pair work, feeds both sides of the join
+        rows = rows.repartition(hot.partitions, ITEM)
+    left, right = side(rows, "u"), side(rows, "v")
     if left_users is not None:
         left = left.join(left_users.select(F.col(USER).alias("u")), "u", "left_semi")
     cond = (F.col("u") != F.col("v")) if directed else (F.col("u") < F.col("v"))
-    if hot is None or hot.n == 0:
-        if hot is not None and left_users is None:
-            # one exchange, sized by pair work, feeds both sides of the join
-            both = rows.repartition(hot.partitions, *jk)
-            left = both.select(F.col(USER).alias("u"), *jk, *[F.col(c).alias(f"{c}_u") for c in payload])
-            right = both.select(F.col(USER).alias("v"), *jk, *[F.col(c).alias(f"{c}_v") for c in payload])
-        return left.join(right, jk).filter(cond)
-    # salted join: key (item, keys..., _lb, _rb)
-    left = hot.attach(left)
-    right = hot.attach(right)
-    left = (left.withColumn("_lb", F.pmod(F.xxhash64("u"), F.col("_S")).cast("int"))
-                .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.col("_S") - 1))))
-    right = (right.withColumn("_rb", F.pmod(F.xxhash64("v"), F.col("_S")).cast("int"))
-                  .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_S") - 1))))
-    key = jk + ["_lb", "_rb"]
-    left = left.drop("_S").repartition(hot.partitions, *key)
-    right = right.drop("_S").repartition(hot.partitions, *key)
-    return left.join(right, key).filter(cond).drop("_lb", "_rb")
+    return salted_join(left, right, [ITEM], "u", "v", hot, cond, hot.partitions if hot else None)
+
+
+def raters_of(pairs: DataFrame, raters: DataFrame, rater: str, hot: HotItems | None) -> DataFrame:
+    """``pairs`` (``user_id, item_id, ...``) with every rater of the item;
+    hot items in blocks, so neither many pairs nor many raters of an item
+    meet in one task."""
+    return salted_join(pairs, raters, [ITEM], USER, rater, hot)

@@ -9,10 +9,17 @@ a test ``rating``, pass through). Fallbacks:
 * otherwise                   -> ua + d * scale(ua + d, ua)
 
 Personalised deviations are ``d = sum(s * dev) / sum(|s|)`` over the raters
-of the item that are neighbours of the user. The join order is pairs ->
-raters of the item -> neighbour table on ``(user, neighbor)``, so the
-intermediate is "pairs x raters" whatever ``k`` is; AQE splits a hot item's
-partition if one is skewed.
+of the item that are neighbours of the user. Two join orders give them; the
+one with less work is taken (``neighbours_first``):
+
+* pairs -> the user's neighbours -> the neighbour's rating of the item, a
+  lookup by a unique key: ``pairs x k`` rows;
+* pairs -> raters of the item -> the neighbour table on ``(user, neighbor)``:
+  one row for each pair and rater, hot items split into blocks (``raters_of``).
+
+Similarities under half a unit of the ninth decimal count as zero in the sums
+(``ZERO_DIGITS``): summation noise of a true zero would otherwise become a
+weight where it is a pair's only one.
 """
 
 from __future__ import annotations
@@ -20,14 +27,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.functions.formulas import predict_from, rank_key, safe_ratio
+from kinrank.functions.formulas import RANK_DIGITS, predict_from, round_half_up, safe_ratio
 from kinrank.operators.neighbors import approx_knn, knn
-from kinrank.operators.pairs import HotItems
+from kinrank.operators.pairs import HotItems, raters_of
 from kinrank.operators.similarity import NEIGHBOR, directed, pair_stats, self_similarity
 from kinrank.operators.stats import Prepared, item_stats
 from kinrank.sources.schema import ITEM, RATING, USER
 
 PRED = "prediction"
+ZERO_DIGITS = RANK_DIGITS
 
 
 def _with_user(prep: Prepared, pairs: DataFrame) -> DataFrame:
@@ -64,9 +72,7 @@ def predict_item_avg(prep: Prepared, pairs: DataFrame) -> DataFrame:
 
 def predict_baseline(prep: Prepared, pairs: DataFrame) -> DataFrame:
     """d = the item's mean normalised deviation (0 for an unknown item)."""
-    d = (pairs.select(USER, ITEM)
-              .join(prep.item_dev.select(ITEM, F.col("avg_dev").alias("d")), ITEM))
-    return finish(prep, pairs, d)
+    return finish(prep, pairs, weighted_deviation_uniform(prep, pairs))
 
 
 def weighted_deviation_uniform(prep: Prepared, pairs: DataFrame) -> DataFrame:
@@ -78,45 +84,43 @@ def weighted_deviation_uniform(prep: Prepared, pairs: DataFrame) -> DataFrame:
 
 def predict_uniform(prep: Prepared, pairs: DataFrame) -> DataFrame:
     """Uniform-similarity predictor; it coincides with the baseline."""
-    return finish(prep, pairs, weighted_deviation_uniform(prep, pairs))
+    return predict_baseline(prep, pairs)
+
+
+def neighbours_first(pairs: DataFrame, per_user: int, hot: HotItems) -> bool:
+    """Whether ``pairs x per_user`` rows are fewer than the rows of pairs with
+    the raters of their items: both are added up over the whole tables."""
+    row = (pairs.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_p")).join(hot.counts, ITEM, "left")
+           .agg(F.sum("_p").alias("pairs"), F.sum(F.col("_p") * F.coalesce("_n", F.lit(0))).alias("raters")).first())
+    return (row["pairs"] or 0) * per_user < (row["raters"] or 0)
 
 
-def weighted_deviation(prep: Prepared, pairs: DataFrame, nbrs: DataFrame,
-                       extra_keys: list[str] | None = None, per_user: int | None = None,
+def weighted_deviation(prep: Prepared, pairs: DataFrame, nbrs: DataFrame, per_user: int | None = None,
                        hot: HotItems | None = None) -> DataFrame:
-    """``user_id, item_id, *extra_keys, d`` for pairs with at least one
-    weighted rater. ``nbrs``: ``user_id, neighbor_id, sim, *extra_keys``.
-
-    Join order: with at most ``per_user`` neighbours per user (kNN) and fewer
-    of them than the average raters of an item, pairs go to their user's
-    neighbours first and then look up the neighbour's deviation on the
-    unique key ``(neighbor, item)``: the intermediate is ``pairs x k`` and a
-    hot item cannot inflate it. Otherwise pairs meet the item's raters first
-    and then the neighbour table on ``(user, neighbor)``.
-    """
-    extra_keys = list(extra_keys or [])
+    """``user_id, item_id, d`` for pairs with at least one weighted rater.
+    ``nbrs``: ``user_id, neighbor_id, sim``; ``per_user``: the most neighbours
+    that a user has, if it is known."""
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
-    nb = nbrs.select(USER, NEIGHBOR, "sim", *extra_keys)
-    if per_user is not None and hot is not None and per_user < hot.avg_raters:
-        cand = (pairs.select(USER, ITEM).join(nb, USER)
-                     .join(raters, [NEIGHBOR, ITEM]))
+    nb = nbrs.select(USER, NEIGHBOR, "sim")
+    wanted = pairs.select(USER, ITEM)
+    if per_user is not None and hot is not None and neighbours_first(wanted, per_user, hot):
+        cand = wanted.join(nb, USER).join(raters, [NEIGHBOR, ITEM])
     else:
-        cand = pairs.select(USER, ITEM).join(raters, ITEM).join(nb, [USER, NEIGHBOR])
-    agg = cand.groupBy(USER, ITEM, *extra_keys).agg(
-        F.sum(F.col("sim") * F.col("dev")).alias("_num"), F.sum(F.abs(F.col("sim"))).alias("_den"))
-    return agg.select(USER, ITEM, *extra_keys, safe_ratio(F.col("_num"), F.col("_den")).alias("d"))
+        cand = raters_of(wanted, raters, NEIGHBOR, hot).join(nb, [USER, NEIGHBOR])
+    return _ratio(cand.groupBy(USER, ITEM).agg(*_sums()), USER, ITEM)
 
 
-def full_neighbourhood(prep: Prepared, kind: str, hot: HotItems | None = None) -> DataFrame:
-    """Every co-rated user with its similarity (and the user itself), as a
-    directed ``user_id, neighbor_id, sim`` table."""
-    col = "cos" if kind == "cosine" else "jac"
-    nb = directed(pair_stats(prep, hot), col).unionByName(self_similarity(prep, kind))
-    return nb.filter(rank_key(F.col("sim")) != 0)
+def _sums() -> list:
+    return [F.sum(F.col("sim") * F.col("dev")).alias("_num"), F.sum(F.abs(F.col("sim"))).alias("_den")]
+
+
+def _ratio(sums: DataFrame, *keys: str) -> DataFrame:
+    return sums.select(*keys, safe_ratio(F.col("_num"), F.col("_den")).alias("d"))
 
 
 def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
-                            hot: HotItems | None = None, stats: DataFrame | None = None) -> DataFrame:
+                            hot: HotItems | None = None, stats: DataFrame | None = None,
+                            zero_digits: int = ZERO_DIGITS) -> DataFrame:
     """``d`` over every rater of the item, weighted by the full cosine or
     Jaccard similarity.
 
@@ -129,19 +133,19 @@ def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
     """
     col = "cos" if kind == "cosine" else "jac"
     stats = stats if stats is not None else pair_stats(prep, hot)
-    sims = (stats.select("u", "v", F.col(col).alias("sim"))
-            .filter(rank_key(F.col("sim")) != 0))
+
+    def some(df: DataFrame) -> DataFrame:
+        return df.filter(round_half_up(F.col("sim"), zero_digits) != 0)
+    sims = some(stats.select("u", "v", F.col(col).alias("sim")))
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
-    cand = pairs.select(USER, ITEM).join(raters, ITEM)
+    cand = raters_of(pairs.select(USER, ITEM), raters, NEIGHBOR, hot)
     other = (cand.filter(F.col(USER) != F.col(NEIGHBOR))
                  .withColumn("u", F.least(USER, NEIGHBOR)).withColumn("v", F.greatest(USER, NEIGHBOR))
                  .join(sims, ["u", "v"])
                  .select(USER, ITEM, "sim", "dev"))
-    diag = self_similarity(prep, kind).filter(rank_key(F.col("sim")) != 0).select(USER, "sim")
+    diag = some(self_similarity(prep, kind)).select(USER, "sim")
     own = cand.filter(F.col(USER) == F.col(NEIGHBOR)).join(diag, USER).select(USER, ITEM, "sim", "dev")
-    agg = other.unionByName(own).groupBy(USER, ITEM).agg(
-        F.sum(F.col("sim") * F.col("dev")).alias("_num"), F.sum(F.abs(F.col("sim"))).alias("_den"))
-    return agg.select(USER, ITEM, safe_ratio(F.col("_num"), F.col("_den")).alias("d"))
+    return _ratio(other.unionByName(own).groupBy(USER, ITEM).agg(*_sums()), USER, ITEM)
 
 
 def predict_cosine(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None,
@@ -179,8 +183,8 @@ def predict_approx_knn(prep: Prepared, pairs: DataFrame, k: int, n_buckets: int,
     return predict_knn(prep, pairs, k, keep_known=keep_known, hot=hot, nbrs=nb)
 
 
-def predict_knn_sweep(prep: Prepared, pairs: DataFrame, ks: list[int],
-                      hot: HotItems | None = None) -> DataFrame:
+def predict_knn_sweep(prep: Prepared, pairs: DataFrame, ks: list[int], hot: HotItems | None = None,
+                      nbrs: DataFrame | None = None) -> DataFrame:
     """Predictions for every k in ``ks`` from one ranking at ``max(ks)``.
 
     Each (pair, neighbour) row is summed into the first grid step whose k
@@ -189,20 +193,18 @@ def predict_knn_sweep(prep: Prepared, pairs: DataFrame, ks: list[int],
     on and summed again. The neighbour table itself is never copied per k.
     Output: pairs columns, ``k``, prediction."""
     ks = sorted(int(k) for k in ks)
-    nb = knn(prep, ks[-1], hot)
+    nb = nbrs if nbrs is not None else knn(prep, ks[-1], hot)
     ks_arr = F.array(*[F.lit(k) for k in ks])
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
-    cand = (pairs.select(USER, ITEM).join(raters, ITEM)
-                 .join(nb.select(USER, NEIGHBOR, "sim", "pos"), [USER, NEIGHBOR]))
+    cand = (raters_of(pairs.select(USER, ITEM), raters, NEIGHBOR, hot)
+            .join(nb.select(USER, NEIGHBOR, "sim", "pos"), [USER, NEIGHBOR]))
     step = F.size(F.filter(ks_arr, lambda k: k < F.col("pos")))
     part = (cand.withColumn("_j", step)
-                .groupBy(USER, ITEM, "_j")
-                .agg(F.sum(F.col("sim") * F.col("dev")).alias("_num"),
-                     F.sum(F.abs(F.col("sim"))).alias("_den")))
+                .groupBy(USER, ITEM, "_j").agg(*_sums()))
     spread = part.withColumn("k", F.explode(F.slice(ks_arr, F.col("_j") + 1, F.lit(len(ks)) - F.col("_j"))))
     d = (spread.groupBy(USER, ITEM, "k")
-               .agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"))
-               .select(USER, ITEM, "k", safe_ratio(F.col("_num"), F.col("_den")).alias("d")))
+               .agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den")))
+    d = _ratio(d, USER, ITEM, "k")
     pk = pairs.withColumn("k", F.explode(ks_arr))
     x = _with_user(prep, pk).join(d, [USER, ITEM, "k"], "left")
     dev = F.coalesce(F.col("d"), F.lit(0.0))

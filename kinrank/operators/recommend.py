@@ -8,10 +8,7 @@ as ties at that value, broken by the smaller item id. Per user:
 2. *fill* items, only for users with fewer than ``n`` reached items ranked
    strictly above ``ua(u)``: the ``n`` smallest-id items outside
    ``rated(u) + reached(u)`` -> ``ua(u)`` (or the global average for an
-   unknown user). They lie among
-   the first ``m_u + n`` items in id order (``m_u = |rated + reached|``), so
-   each user explodes only that many item ranks and equi-joins a dense item
-   index;
+   unknown user), see ``first_unseen``;
 3. ``row_number() over (user order by prediction desc, item asc) <= n``.
 
 Work per user is bounded by what step 1 already touched, plus ``n``.
@@ -33,10 +30,15 @@ from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
 
 
+MAX_LISTED = 1000
+
+
 def unrated_items(ratings: DataFrame, user_ids: list[int]) -> DataFrame:
     """``user_id, item_id`` of items in ``ratings`` that each listed user has
-    not rated. The item list is copied once per listed user (a bounded,
-    caller-given list), then anti-joined with the ratings."""
+    not rated: users x items rows by nature, so the list has at most
+    ``MAX_LISTED`` users (``unrated_counts`` and ``recommend`` serve all)."""
+    if len(user_ids) > MAX_LISTED:
+        raise ValueError(f"more than {MAX_LISTED} users listed")
     items = ratings.select(ITEM).distinct()
     ids = F.array(*[F.lit(int(u)).cast("bigint") for u in user_ids])
     return (items.select(F.explode(ids).alias(USER), ITEM)
@@ -96,27 +98,57 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
                    .groupBy(USER)
                    .agg(F.sum(F.when(rank_key(F.col(PRED)) > rank_key(F.col("user_avg")), 1)
                              .otherwise(0)).alias("_above")))
-    needy = (users.join(above, USER, "left")
-                  .filter(F.coalesce(F.col("_above"), F.lit(0)) < n).select(USER))
-    seen = (rated.unionByName(reach.select(USER, ITEM))
-                 .join(needy, USER, "left_semi"))
-    m = seen.groupBy(USER).agg(F.count(F.lit(1)).alias("_m"))
-    index = dense_index(prep.dev.select(ITEM), ITEM, "_rank")
-    n_items = prep.dev.select(ITEM).distinct().agg(F.count(F.lit(1))).scalar()
-    span = (needy.join(m, USER, "left")
-                 .select(USER, F.explode(F.sequence(
-                     F.lit(1).cast("bigint"),
-                     F.least(F.coalesce(F.col("_m"), F.lit(0)) + n, n_items).cast("bigint"))).alias("_rank")))
-    fill_w = Window.partitionBy(USER).orderBy("_rank")
-    fill = (span.join(index, "_rank")
-                .join(seen, [USER, ITEM], "left_anti")
-                .withColumn("_fn", F.row_number().over(fill_w))
-                .filter(F.col("_fn") <= n)
-                .join(ua, USER)
-                .select(USER, ITEM, base.alias(PRED)))
+    needy = materialize(users.join(above, USER, "left")
+                        .filter(F.coalesce(F.col("_above"), F.lit(0)) < n).select(USER), "needy")
+    seen = rated.unionByName(reach.select(USER, ITEM)).join(needy, USER, "left_semi")
+    fill = (first_unseen(needy, seen, prep.dev.select(ITEM), n).join(ua, USER)
+            .select(USER, ITEM, base.alias(PRED)))
 
     cands = scored.unionByName(fill)
     w = Window.partitionBy(USER).orderBy(rank_key(F.col(PRED)).desc(), F.col(ITEM).asc())
     return (cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
                  .filter(F.col("rank") <= n)
                  .select(USER, "rank", ITEM, PRED))
+
+
+def first_unseen(users: DataFrame, seen: DataFrame, items: DataFrame, n: int,
+                 chunk: int = 256, spread: int = 32) -> DataFrame:
+    """``user_id, item_id``: for each user the ``n`` smallest items outside
+    its ``seen`` rows.
+
+    The distinct items are numbered in order and cut into chunks of ``chunk``
+    (at least ``n``). A chunk can hold an answer only while fewer than ``n``
+    unseen items stand before it, and since an unseen chunk has ``chunk`` of
+    them, such a chunk is the first one, one with seen items, or the next
+    after one with seen items. These few (user, chunk) rows meet the chunk's
+    items; the first chunks are everybody's, so they are spread over
+    ``spread`` copies by a hash of the user.
+    """
+    chunk = max(chunk, n)
+    index = materialize(dense_index(items, ITEM, "_rank")
+                        .withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk)), "item-index")
+    seen = materialize(seen.select(USER, ITEM), "seen")
+    before = Window.partitionBy(USER).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    taken = (seen.join(index, ITEM).groupBy(USER, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+             .withColumn("_upto", F.sum("_c").over(before)))
+    start = F.col("_chunk") * chunk
+    need = (users.select(USER, F.lit(0).cast("bigint").alias("_chunk"))
+            .unionByName(taken.filter(start - (F.col("_upto") - F.col("_c")) < n).select(USER, "_chunk"))
+            .unionByName(taken.filter(start + chunk - F.col("_upto") < n)
+                         .select(USER, (F.col("_chunk") + 1).alias("_chunk"))).distinct())
+    need = materialize(need.withColumn("_salt", F.pmod(F.xxhash64(USER), F.lit(spread)).cast("int")), "need")
+    copies = (index.join(need.select("_chunk").distinct(), "_chunk", "left_semi")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))))
+    order = Window.partitionBy(USER).orderBy("_rank")
+    return (need.join(copies, ["_chunk", "_salt"]).join(seen, [USER, ITEM], "left_anti")
+            .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).select(USER, ITEM))
+
+
+def recommend_by(ratings: DataFrame, user_ids: list[int], n: int, predictor) -> DataFrame:
+    """``user_id, rank, item_id, prediction``: the top ``n`` unrated items of
+    each listed user by any predictor (``pairs -> pairs + prediction``). Every
+    unrated item of these users is scored, so the list is a short one."""
+    scored = predictor(unrated_items(ratings, user_ids))
+    w = Window.partitionBy(USER).orderBy(rank_key(F.col(PRED)).desc(), F.col(ITEM).asc())
+    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)
+            .select(USER, "rank", ITEM, PRED))

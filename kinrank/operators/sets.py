@@ -4,7 +4,8 @@
 group is never collected whole: members are spread over
 ``ceil(n / chunk)`` chunks by a portable hash of the member, and each output
 row lists one chunk (sorted, comma-joined), so a row holds about ``chunk``
-members whatever the group's size.
+members whatever the group's size; every row names the group's whole size and
+its number of chunks.
 """
 
 from __future__ import annotations
@@ -22,13 +23,12 @@ def rating_lookup(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def grouped_lists(df: DataFrame, key: str, member: str, chunk: int, name: str) -> DataFrame:
-    """``key, chunk, n, <name>``: sorted members per (key, chunk)."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    n_chunks = F.ceil(F.col("_size") / F.lit(chunk))
-    tagged = (df.select(key, member).join(sizes, key)
-                .withColumn("chunk", (bucket_hash(F.col(member), 0) % n_chunks).cast("bigint")))
-    return tagged.groupBy(key, "chunk").agg(
-        F.count(F.lit(1)).alias("n"),
+    """``key, n, n_chunks, chunk, <name>``: sorted members per (key, chunk)."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    n_chunks = F.ceil(F.col("n") / F.lit(chunk)).cast("bigint")
+    tagged = (df.select(key, member).join(sizes, key).withColumn("n_chunks", n_chunks)
+                .withColumn("chunk", (bucket_hash(F.col(member), 0) % F.col("n_chunks")).cast("bigint")))
+    return tagged.groupBy(key, "n", "n_chunks", "chunk").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(member)), lambda x: x.cast("string")),
                      ",").alias(name))
 

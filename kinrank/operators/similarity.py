@@ -16,29 +16,51 @@ from pyspark.sql import functions as F
 
 from kinrank.operators.pairs import HotItems, corated
 from kinrank.operators.stats import Prepared
-from kinrank.sources.schema import USER
+from kinrank.sources.schema import ITEM, USER
 
 NEIGHBOR = "neighbor_id"
 
 
-def pair_stats(prep: Prepared, hot: HotItems | None = None, keys: list[str] | None = None,
-               rows: DataFrame | None = None, left_users: DataFrame | None = None,
-               directed: bool = False, extra_filter=None) -> DataFrame:
+def pair_stats(prep: Prepared, hot: HotItems | None = None, left_users: DataFrame | None = None,
+               directed: bool = False) -> DataFrame:
     """``u, v, n_common, cos, jac`` for co-rated pairs (``u < v`` unless
     ``directed``)."""
-    rows = rows if rows is not None else prep.w
-    p = corated(rows, ["w", "n_user"] + (["bks"] if "bks" in rows.columns else []),
-                keys=keys, hot=hot, left_users=left_users, directed=directed)
-    if extra_filter is not None:
-        p = p.filter(extra_filter)
-    agg = p.groupBy("u", "v").agg(
-        F.count(F.lit(1)).alias("n_common"),
-        F.sum(F.col("w_u") * F.col("w_v")).alias("cos"),
-        F.max("n_user_u").alias("n_u"), F.max("n_user_v").alias("n_v"))
+    p = corated(prep.w.select(USER, ITEM, "w", "n_user"), ["w", "n_user"], hot=hot, left_users=left_users,
+                directed=directed)
+    return _stats(p.groupBy("u", "v"))
+
+
+def _stats(grouped) -> DataFrame:
+    agg = grouped.agg(F.count(F.lit(1)).alias("n_common"),
+                      F.sum(F.col("w_u") * F.col("w_v")).alias("cos"),
+                      F.max("n_user_u").alias("n_u"), F.max("n_user_v").alias("n_v"))
     return agg.select("u", "v", "n_common", "cos",
                       (F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))).alias("jac"))
 
 
+def pair_items(prep: Prepared, pairs: DataFrame) -> DataFrame:
+    """One row for each given pair ``u, v`` and common item, with both users'
+    weights: the pair meets its first user's rows by user and then looks up
+    ``(v, item)``, a unique key, so no item's raters are multiplied."""
+    first = prep.w.select(F.col(USER).alias("u"), ITEM, F.col("w").alias("w_u"), F.col("n_user").alias("n_user_u"))
+    second = prep.w.select(F.col(USER).alias("v"), ITEM, F.col("w").alias("w_v"), F.col("n_user").alias("n_user_v"))
+    return pairs.select("u", "v").distinct().join(first, "u").join(second, ["v", ITEM])
+
+
+def similarity_of(prep: Prepared, pairs: DataFrame) -> DataFrame:
+    """``u, v, n_common, cos, jac`` for each given pair (distinct); zeros
+    where the users share no item or one of them is unknown."""
+    found = _stats(pair_items(prep, pairs).groupBy("u", "v"))
+    return (pairs.select("u", "v").distinct().join(found, ["u", "v"], "left")
+            .select("u", "v", *[F.coalesce(c, F.lit(z)).alias(c)
+                                for c, z in (("n_common", 0), ("cos", 0.0), ("jac", 0.0))]))
+
+
+def common_items_of(prep: Prepared, pairs: DataFrame) -> DataFrame:
+    """``u, v, item_id``: the items that both users of each given pair rated."""
+    return pair_items(prep, pairs).select("u", "v", ITEM)
+
+
 def common_items(prep: Prepared, hot: HotItems | None = None) -> DataFrame:
     """``u, v, n_common`` for every co-rated pair, ``u < v``."""
     return pair_stats(prep, hot).select("u", "v", "n_common")

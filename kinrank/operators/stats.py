@@ -70,7 +70,7 @@ class Prepared:
     ``rating, n_user, user_avg, dev, norm, w``; ``dev`` is the same frame).
 
     With ``materialize`` (the default) both are written once as parquet to
-    the checkpoint folder: every later branch scans them instead of
+    the shared folder: every later branch scans them instead of
     recomputing the joins and aggregates behind them.
     """
 

@@ -8,6 +8,7 @@ one operator of the library. Every double is reported rounded to 6 decimals
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from kinrank.operators import recommend as rc
 from kinrank.operators import sets as st
 from kinrank.operators import similarity as sim
 from kinrank.operators import stats as ss
-from kinrank.operators.pairs import HotItems
+from kinrank.operators.pairs import HotItems, raters_of
 from kinrank.session import materialize, scratch_path
 from kinrank.sources import fixtures as fx
 from kinrank.sources import readers as rd
@@ -48,6 +49,8 @@ class Ctx:
         # the pair join, the rater join, the fallbacks and the size check
         self.heavy = heavy
         self.ratings = fx.ratings(spark, sf_dir)
+        if heavy:  # derived once for this query
+            self.ratings = materialize(self.ratings, "ratings")
         self.train, self.test = fx.split(self.ratings)
         if with_personal:
             self.train = rc.union_personal(self.ratings, fx.personal(spark, sf_dir))
@@ -129,6 +132,42 @@ def q_common_items(spark, d):
     return sim.common_items(c.prep, c.hot)
 
 
+def _candidates(c: Ctx) -> DataFrame:
+    """``u, v``: each test user with every train rater of one of its test items."""
+    raters = c.prep.dev.select(ITEM, F.col(USER).alias("v"))
+    met = raters_of(c.test.select(USER, ITEM), raters, "v", c.hot)
+    return met.filter(F.col(USER) != F.col("v")).select(F.col(USER).alias("u"), "v").distinct()
+
+
+def q_similarity_of_pairs(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    return sim.similarity_of(c.prep, _candidates(c)).select("u", "v", "n_common", out("cos").alias("cos"),
+                                                            out("jac").alias("jac"))
+
+
+def q_common_items_of_pairs(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    return sim.common_items_of(c.prep, _candidates(c))
+
+
+def q_neighbor_weights_of_pairs(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    return nbm.neighbor_weights(nbm.knn(c.prep, K, c.hot), _candidates(c)).select("u", "v", out("weight").alias("weight"))
+
+
+def q_restrict_users(spark, d):
+    c = Ctx(spark, d)
+    return st.restrict_users(c.train, c.test)
+
+
+def q_rows_of_user(spark, d):
+    return st.for_user(Ctx(spark, d).ratings, 1)
+
+
+def q_rows_of_item(spark, d):
+    return st.for_item(Ctx(spark, d).ratings, 1)
+
+
 def q_union_personal(spark, d):
     c = Ctx(spark, d)
     return rc.union_personal(c.ratings, fx.personal(spark, d))
@@ -240,6 +279,24 @@ def q_predict_knn_keep_known(spark, d):
     return _preds(pr.predict_knn(c.prep, pairs, K, keep_known=True, hot=c.hot))
 
 
+def q_predict_approx_knn_keep_known(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    pairs = c.ratings.select(USER, ITEM).unionByName(fx.cold_pairs(spark))
+    return _preds(pr.predict_approx_knn(c.prep, pairs, K, N_BUCKETS, REPLICATION, keep_known=True, hot=c.hot))
+
+
+def q_predict_personal(spark, d):
+    """Data and personal ratings together: the personal user's prediction for
+    every part, known ratings kept, at the recommendation's k."""
+    c = Ctx(spark, d, with_personal=True, heavy=True)
+    users = spark.createDataFrame([(fx.PERSONAL_USER,)], f"{USER} bigint")
+    # written: joins on a literal user would lose their key
+    parts = materialize(fx.titles(spark, d).select(F.lit(fx.PERSONAL_USER).cast("bigint").alias(USER), ITEM),
+                        "personal-pairs")
+    nbrs = nbm.knn(c.prep, K_REC, c.hot, users=users)
+    return _preds(pr.predict_knn(c.prep, parts, K_REC, keep_known=True, hot=c.hot, nbrs=nbrs))
+
+
 def q_mae_knn_sweep(spark, d):
     c = Ctx(spark, d, heavy=True)
     preds = pr.predict_knn_sweep(c.prep, c.test, SWEEP_KS, hot=c.hot)
@@ -263,6 +320,19 @@ def q_recommend_top_n_all(spark, d):
               .select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED)))
 
 
+def q_recommend_top_n_approx(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    nbrs = nbm.approx_knn(c.prep, K, N_BUCKETS, REPLICATION, c.hot)
+    return (rc.recommend(c.prep, None, N_REC, K, hot=c.hot, nbrs=nbrs)
+              .select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED)))
+
+
+def q_recommend_top_n_baseline(spark, d):
+    c = Ctx(spark, d, with_personal=True, heavy=True)
+    top = rc.recommend_by(c.prep.train, [fx.PERSONAL_USER], N_REC, lambda x: pr.predict_baseline(c.prep, x))
+    return top.select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED))
+
+
 def q_recommend_with_titles(spark, d):
     top = _personal_top(spark, d)
     return (top.join(fx.titles(spark, d), ITEM, "left")
@@ -271,13 +341,14 @@ def q_recommend_with_titles(spark, d):
 
 # ---------------------------------------------------------------- report
 def q_metrics_report(spark, d):
-    """Averages, the MAE of seven predictors over the test set and their
-    prediction for (user 1, item 1). Each predictor runs once over
-    test + probe; cosine, Jaccard and kNN share one written pair table."""
+    """Averages, the MAE of the nine predictors over the test set and their
+    prediction for (user 1, item 1), the similarities of users 1 and 2, and
+    the k sweep. Each predictor runs once over test + probe into one aggregate
+    of both; cosine, Jaccard, kNN and the sweep share one written pair table."""
     c = Ctx(spark, d, heavy=True)
     p = c.prep
     stats = materialize(sim.pair_stats(p, c.hot), "pair-stats")
-    nbrs = nbm.knn(p, K, c.hot, stats=stats)
+    nbrs = materialize(nbm.knn(p, max(SWEEP_KS), c.hot, stats=stats), "neighbours")
     probe = spark.createDataFrame([(1, 1)], f"{USER} bigint, {ITEM} bigint")
     both = (c.test.select(USER, ITEM, RATING, F.lit(False).alias("_probe"))
             .unionByName(probe.select(USER, ITEM, F.lit(None).cast("double").alias(RATING),
@@ -287,24 +358,26 @@ def q_metrics_report(spark, d):
         "user_avg": lambda x: pr.predict_user_avg(p, x),
         "item_avg": lambda x: pr.predict_item_avg(p, x),
         "baseline": lambda x: pr.predict_baseline(p, x),
-        "cosine": lambda x: pr.predict_cosine(p, x, stats=stats),
-        "jaccard": lambda x: pr.predict_jaccard(p, x, stats=stats),
-        "knn": lambda x: pr.predict_knn(p, x, K, hot=c.hot, nbrs=nbrs),
+        "uniform": lambda x: pr.predict_uniform(p, x),
+        "cosine": lambda x: pr.predict_cosine(p, x, c.hot, stats=stats),
+        "jaccard": lambda x: pr.predict_jaccard(p, x, c.hot, stats=stats),
+        "knn": lambda x: pr.predict_knn(p, x, K, hot=c.hot, nbrs=nbrs.filter(F.col("pos") <= K)),
+        "approx_knn": lambda x: pr.predict_approx_knn(p, x, K, N_BUCKETS, REPLICATION, hot=c.hot),
     }
-    rows = [
+    parts = [ev.report([
         ("averages", "global_avg", ss.global_average(c.train), "avg_rating"),
         ("averages", "user_1_avg", p.ustats.filter(F.col(USER) == 1), "user_avg"),
         ("averages", "item_1_avg", ss.item_stats(c.train).filter(F.col(ITEM) == 1), "item_avg"),
-        ("averages", "item_1_avg_dev", p.item_dev.filter(F.col(ITEM) == 1), "avg_dev"),
-    ]
-    probes = []
+        ("averages", "item_1_avg_dev", p.item_dev.filter(F.col(ITEM) == 1), "avg_dev")])]
     for kind, fn in build.items():
-        preds = fn(both)
-        rows.append(("mae", kind, ev.mae(preds.filter(~F.col("_probe"))), "mae"))
-        if kind in ("baseline", "cosine", "knn"):
-            probes.append(("prediction_1_1", kind, preds.filter(F.col("_probe")), pr.PRED))
-    rep = ev.report(rows + probes)
-    return rep.select("section", "metric", out("value").alias("value"))
+        parts.append(ev.mae_and_probe(fn(both), "_probe", kind))
+    two = sim.similarity_of(p, spark.createDataFrame([(1, 2)], "u bigint, v bigint"))
+    parts.append(ev.report([("similarity_1_2", "cosine", two, "cos"), ("similarity_1_2", "jaccard", two, "jac")]))
+    sweep = ev.mae(pr.predict_knn_sweep(p, c.test, SWEEP_KS, hot=c.hot, nbrs=nbrs), by=["k"])
+    parts.append(sweep.select(F.lit("mae_knn_sweep").alias("section"),
+                              F.concat(F.lit("k="), F.col("k").cast("string")).alias("metric"),
+                              F.col("mae").alias("value")))
+    return reduce(DataFrame.unionByName, parts).select("section", "metric", out("value").alias("value"))
 
 
 # ---------------------------------------------------------------- readers
@@ -321,6 +394,13 @@ def q_read_personal(spark, d):
     return rd.read_personal(spark, path, fx.PERSONAL_USER)
 
 
+def q_read_titles(spark, d):
+    """The id,title,rating file again, read by the title reader."""
+    path = scratch_path(spark, "titles-csv")
+    rd.write_lines(fx.personal_lines(spark, d), path)
+    return rd.read_titles(spark, path)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "rating_stats": q_rating_stats,
@@ -340,10 +420,18 @@ def registry() -> dict[str, Query]:
         "user_buckets": q_user_buckets,
         "approx_knn_neighbors": q_approx_knn_neighbors,
         "weighted_deviation_knn": q_weighted_deviation_knn,
+        "similarity_of_pairs": q_similarity_of_pairs,
+        "common_items_of_pairs": q_common_items_of_pairs,
+        "neighbor_weights_of_pairs": q_neighbor_weights_of_pairs,
+        "restrict_users": q_restrict_users,
+        "rows_of_user": q_rows_of_user,
+        "rows_of_item": q_rows_of_item,
     }
     for kind in PREDICTORS:
         q[f"predict_{kind}"] = _predict_query(kind)
     q["predict_knn_keep_known"] = q_predict_knn_keep_known
+    q["predict_approx_knn_keep_known"] = q_predict_approx_knn_keep_known
+    q["predict_personal"] = q_predict_personal
     for kind in PREDICTORS:
         q[f"mae_{kind}"] = _mae_query(kind)
     q.update({
@@ -353,9 +441,12 @@ def registry() -> dict[str, Query]:
         "unrated_counts": q_unrated_counts,
         "recommend_top_n": q_recommend_top_n,
         "recommend_top_n_all": q_recommend_top_n_all,
+        "recommend_top_n_approx": q_recommend_top_n_approx,
+        "recommend_top_n_baseline": q_recommend_top_n_baseline,
         "recommend_with_titles": q_recommend_with_titles,
         "metrics_report": q_metrics_report,
         "read_ratings": q_read_ratings,
         "read_personal": q_read_personal,
+        "read_titles": q_read_titles,
     })
     return q

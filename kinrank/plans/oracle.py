@@ -214,19 +214,20 @@ def _mae_query(kind: str) -> str:
                 [name], ctes)
 
 
-def _lists(key: str, member: str, name: str) -> str:
+def _lists(key: str, member: str, name: str, chunk: int = LIST_CHUNK) -> str:
     h = bhash(f"t.{member}", "0")
     return _sql(
-        f"SELECT {key}, chunk, count(*) AS n, "
+        f"SELECT {key}, max(size) AS n, max(n_chunks) AS n_chunks, chunk, "
         f"string_agg(CAST({member} AS VARCHAR), ',' ORDER BY {member}) AS {name} FROM ("
-        f"SELECT t.{key}, t.{member}, CAST({h} % ceil(s.size / {LIST_CHUNK}) AS BIGINT) AS chunk "
+        f"SELECT t.{key}, t.{member}, s.size, CAST(ceil(s.size / {chunk}) AS BIGINT) AS n_chunks, "
+        f"CAST({h} % ceil(s.size / {chunk}) AS BIGINT) AS chunk "
         f"FROM train t JOIN (SELECT {key}, count(*) AS size FROM train GROUP BY {key}) s "
         f"ON s.{key} = t.{key}) x GROUP BY {key}, chunk", ["train"])
 
 
-def _recommend(users: str, k: int, personal: bool, n: int) -> tuple[list[str], dict, dict]:
+def _recommend(users: str, k: int, personal: bool, n: int, src: str = "cosdir") -> tuple[list[str], dict, dict]:
     """Brute force: every unrated item of every listed user, scored."""
-    extra = positions("rknn", "cosdir", k, where=f"user_id IN (SELECT user_id FROM {users})")
+    extra = positions("rknn", src, k, where=f"user_id IN (SELECT user_id FROM {users})")
     extra.update({
         "items": ("SELECT DISTINCT item_id FROM train", ["train"]),
         "cands": (f"SELECT u.user_id, i.item_id FROM {users} u, items i "
@@ -319,6 +320,53 @@ def oracle_sql() -> dict[str, str]:
     q["recommend_top_n_all"] = _sql(
         f"SELECT user_id, rank, item_id, round(prediction, {R6}) AS prediction FROM rtop", needs, extra, ov)
 
+    needs, extra, ov = _recommend("allusers", K, False, N_REC, "acosdir")
+    extra["allusers"] = ("SELECT user_id FROM ua", ["ua"])
+    q["recommend_top_n_approx"] = _sql(
+        f"SELECT user_id, rank, item_id, round(prediction, {R6}) AS prediction FROM rtop", needs, extra, ov)
+    name, extra = predictor("baseline", "cands")
+    extra.update(one)
+    extra["cands"] = ("SELECT u.user_id, i.item_id FROM target u, (SELECT DISTINCT item_id FROM train) i "
+                      "WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id "
+                      "AND t.item_id = i.item_id)", ["target", "train"])
+    q["recommend_top_n_baseline"] = _sql(
+        f"SELECT user_id, CAST(rank AS BIGINT) AS rank, item_id, round(prediction, {R6}) AS prediction FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(prediction, 9) DESC, item_id) AS rank "
+        f"FROM {name}) x WHERE rank <= {N_REC}", [name], extra, PERSONAL)
+
+    # lookups for given pairs: each test user with every rater of its test items
+    met = {"met": ("SELECT DISTINCT p.user_id AS u, t.user_id AS v FROM test p JOIN train t "
+                   "ON t.item_id = p.item_id WHERE p.user_id <> t.user_id", ["test", "train"])}
+    q["similarity_of_pairs"] = _sql(
+        f"SELECT m.u, m.v, coalesce(p.n_common, 0) AS n_common, round(coalesce(p.cos, 0.0), {R6}) AS cos, "
+        f"round(coalesce(p.jac, 0.0), {R6}) AS jac FROM met m LEFT JOIN pst p "
+        f"ON p.u = least(m.u, m.v) AND p.v = greatest(m.u, m.v)", ["met", "pst"], met)
+    q["common_items_of_pairs"] = _sql(
+        "SELECT m.u, m.v, a.item_id FROM met m JOIN train a ON a.user_id = m.u "
+        "JOIN train b ON b.user_id = m.v AND b.item_id = a.item_id", ["met", "train"], met)
+    q["neighbor_weights_of_pairs"] = _sql(
+        f"SELECT m.u, m.v, round(coalesce(n.sim, 0.0), {R6}) AS weight FROM met m LEFT JOIN knn n "
+        f"ON n.user_id = m.u AND n.neighbor_id = m.v", ["met", "knn"], met)
+    q["restrict_users"] = _sql("SELECT * FROM train WHERE user_id IN (SELECT user_id FROM test)", ["train", "test"])
+    q["rows_of_user"] = _sql("SELECT * FROM ratings WHERE user_id = 1", ["ratings"])
+    q["rows_of_item"] = _sql("SELECT * FROM ratings WHERE item_id = 1", ["ratings"])
+    q["read_titles"] = "SELECT p_partkey AS item_id, trim(p_name) AS title FROM part"
+    name, ctes = predictor("approx_knn", "unknown_pairs")
+    ctes["unknown_pairs"] = ("SELECT * FROM allpairs a WHERE NOT EXISTS (SELECT 1 FROM train t "
+                             "WHERE t.user_id = a.user_id AND t.item_id = a.item_id)", ["allpairs", "train"])
+    q["predict_approx_knn_keep_known"] = _sql(
+        f"SELECT a.user_id, a.item_id, round(t.rating, {R6}) AS prediction FROM allpairs a "
+        f"JOIN train t ON t.user_id = a.user_id AND t.item_id = a.item_id "
+        f"UNION ALL SELECT user_id, item_id, round(prediction, {R6}) FROM {name}",
+        ["allpairs", "train", name], ctes)
+    ctes = positions("rknn", "cosdir", K_REC, where="user_id = -1")
+    ctes["pall"] = ("SELECT CAST(-1 AS BIGINT) AS user_id, p_partkey AS item_id FROM part", [])
+    ctes.update(_wdev("pwd", "pall", "rknn"))
+    ctes.update(_finish("ppred", "pall", "pwd"))
+    q["predict_personal"] = _sql(
+        f"SELECT p.user_id, p.item_id, round(coalesce(t.rating, p.prediction), {R6}) AS prediction FROM ppred p "
+        f"LEFT JOIN train t ON t.user_id = p.user_id AND t.item_id = p.item_id", ["ppred", "train"], ctes, PERSONAL)
+
     # metrics report
     parts, extra = [], {}
     parts.append("SELECT 'averages' AS section, 'global_avg' AS metric, avg(rating) AS value FROM train")
@@ -326,16 +374,18 @@ def oracle_sql() -> dict[str, str]:
     parts.append("SELECT 'averages', 'item_1_avg', item_avg FROM ia WHERE item_id = 1")
     parts.append("SELECT 'averages', 'item_1_avg_dev', avg_dev FROM idev WHERE item_id = 1")
     needs = ["train", "ua", "ia", "idev"]
-    for kind in ["global", "user_avg", "item_avg", "baseline", "cosine", "jaccard", "knn"]:
-        name, ctes = predictor(kind, "test")
-        extra.update(ctes)
-        needs.append(name)
-        parts.append(f"SELECT 'mae', '{kind}', avg(abs(prediction - rating)) FROM {name}")
-    for kind in ["baseline", "cosine", "knn"]:
-        name, ctes = predictor(kind, "probe")
-        extra.update(ctes)
-        needs.append(name)
-        parts.append(f"SELECT 'prediction_1_1', '{kind}', prediction FROM {name}")
+    for kind in PREDICTORS:
+        for src in ("test", "probe"):
+            name, ctes = predictor(kind, src)
+            extra.update(ctes)
+            needs.append(name)
+            parts.append(f"SELECT 'mae', '{kind}', avg(abs(prediction - rating)) FROM {name}" if src == "test" else
+                         f"SELECT 'prediction_1_1', '{kind}', prediction FROM {name}")
+    for metric, col in (("cosine", "cos"), ("jaccard", "jac")):
+        parts.append(f"SELECT 'similarity_1_2', '{metric}', coalesce((SELECT {col} FROM pst WHERE u = 1 AND v = 2), 0.0)")
+    extra.update(sweep)
+    needs += ["pst", "predsweep"]
+    parts.append("SELECT 'mae_knn_sweep', 'k=' || k, avg(abs(prediction - rating)) FROM predsweep GROUP BY k")
     q["metrics_report"] = _sql(
         f"SELECT section, metric, round(value, {R6}) AS value FROM ({' UNION ALL '.join(parts)}) r",
         needs, extra)

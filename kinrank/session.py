@@ -1,9 +1,10 @@
-"""Session helpers: a tuned SparkSession for local runs and a scratch folder
-resolved from the cluster's ``spark.checkpoint.dir``."""
+"""Session helpers: a tuned SparkSession for local runs and written
+intermediates in the cluster's ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,11 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # checkpoint files of frames the driver no longer references are deleted
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # checkpointed rows (UnsafeRow implements KryoSerializable) are written and
-    # read back with Kryo instead of Java serialization
-    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # readers rely on casts that fail on bad input
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -48,8 +46,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` is used as is. Only when it is
-    unset (a test session) do we set our own, under the system temp folder.
+    The cluster's ``spark.checkpoint.dir`` is used as is. Only a session whose
+    executors share the driver's machine (a ``local`` master, as in tests) may
+    leave it unset; then a folder under the system's temporary one is made. On
+    any other master an unset folder is an error: executors would write to
+    disks that nobody else can read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,37 +58,57 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        require_local_master(sc.master)
         configured = tempfile.mkdtemp(prefix="kinrank-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def require_local_master(master: str) -> None:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written intermediates, inside the
+    checkpoint folder. It is deleted when the application ends, and its
+    contents whenever ``clear_scratch`` is called."""
+    root = os.path.join(ensure_checkpoint_dir(spark), f"kinrank-{spark.sparkContext.applicationId}")
+    path, fs = _hadoop(spark, root)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate, inside the checkpoint folder
-    (shared storage on a cluster). Each call gets its own sub-folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"kinrank-{name}-{uuid.uuid4().hex}")
+    """A fresh path for a written intermediate (shared storage on a cluster)."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-MATERIALIZE_MODE = os.environ.get("KINRANK_MATERIALIZE", "checkpoint")
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what queries have written so far. Call it once their results
+    have been used: frames that still read an intermediate fail afterwards."""
+    path, fs = _hadoop(spark, scratch_root(spark))
+    for entry in fs.listStatus(path):
+        fs.delete(entry.getPath(), True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df`` where one intermediate feeds several
     branches of a plan (otherwise every branch recomputes it up to the shared
-    shuffle).
-
-    A reliable, eager ``checkpoint()`` into the shared checkpoint folder: one
-    job, the files survive executor loss (never a local checkpoint), the
-    plan's output partitioning is kept, and with
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go once the
-    frame is no longer referenced. ``KINRANK_MATERIALIZE=parquet`` writes a
-    parquet table in the same folder instead.
+    shuffle): write it as parquet into the shared checkpoint folder and read
+    it back. The files survive executor loss (never a local checkpoint), later
+    branches read only the columns that they use, and the folder goes with the
+    application or with ``clear_scratch``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if MATERIALIZE_MODE == "parquet":
-        path = scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

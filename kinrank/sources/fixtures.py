@@ -12,12 +12,9 @@ Only the columns used are read, so the parquet scans prune to them.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinrank.session import scratch_path
 from kinrank.sources.schema import ITEM, RATING, USER
 
 # The split rule's multipliers and modulus, the personal user's
@@ -35,37 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WRITTEN: dict[tuple, str] = {}
-
-
-def _signature(sf_dir: str) -> tuple:
-    sig = []
-    for name in ("lineitem", "orders"):
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            sig.append((p, st.st_size, st.st_mtime_ns))
-        except OSError:  # not a local path: key on the path alone
-            sig.append((p,))
-    return tuple(sig)
-
-
-def ratings(spark: SparkSession, sf_dir: str, written: bool = True) -> DataFrame:
-    """The ratings table. With ``written`` it is derived once per Spark
-    application and input files, written as parquet to the checkpoint folder
-    (the role a ratings file plays), and read from there afterwards."""
-    if not written:
-        return derive_ratings(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, _signature(sf_dir))
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, "ratings")
-        derive_ratings(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
-
-
-def derive_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings table, derived anew by each query that reads it."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     stars = 1 + F.floor((F.col("l_quantity") - 1) / 10)
@@ -83,19 +51,10 @@ def split(r: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.filter(~is_test(r)), r.filter(is_test(r))
 
 
-def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return split(ratings(spark, sf_dir))
-
-
 def cold_pairs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COLD_PAIRS, f"{USER} bigint, {ITEM} bigint")
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, test = train_test(spark, sf_dir)
-    return test.select(USER, ITEM).unionByName(cold_pairs(spark))
-
-
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias(ITEM), F.col("p_name").alias("title"))

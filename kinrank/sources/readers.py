@@ -3,8 +3,9 @@
 ``read_ratings`` follows the classic MovieLens loader: every line is split on
 a regular expression, fields are trimmed, the first three are kept, and a line
 whose first field is not an integer (a header, a comment) is dropped. A bad
-second or third field is an error: ANSI casts throw. Duplicate
-``(user_id, item_id)`` rows are merged with ``max(rating)`` when ``dedupe``.
+second or third field is an error: ANSI casts throw, whatever the session's
+setting. Every row is kept, as in the loader; ``merge_duplicates`` is a step of
+its own.
 
 ``read_personal`` reads ``id,title,rating`` with a header row; a missing
 rating means "not rated" (0) and such rows are dropped.
@@ -27,21 +28,23 @@ def _fields(spark: SparkSession, path: str, sep: str) -> DataFrame:
 
 
 def _strict(c, type_name: str):
-    """Cast that fails the job on a missing field, like an out-of-range split."""
-    return F.when(c.isNull(), F.raise_error(F.lit("rating line with fewer than 3 fields"))
-                  ).otherwise(c.cast(type_name)).cast(type_name)
+    """Cast that fails the job on a missing or bad field, with ANSI off too."""
+    got = c.try_cast(type_name)
+    bad = F.raise_error(F.concat(F.lit("bad field in a rating line: "), F.coalesce(c, F.lit("missing"))))
+    return F.when(got.isNull(), bad.cast(type_name)).otherwise(got)
 
 
-def read_ratings(spark: SparkSession, path: str, sep: str = DEFAULT_SEP,
-                 dedupe: bool = True) -> DataFrame:
+def read_ratings(spark: SparkSession, path: str, sep: str = DEFAULT_SEP) -> DataFrame:
     f = _fields(spark, path, sep)
-    rows = (f.filter(F.expr("try_cast(c0 as bigint)").isNotNull())
+    return (f.filter(F.expr("try_cast(c0 as bigint)").isNotNull())
              .select(F.col("c0").cast("bigint").alias(USER),
                      _strict(F.col("c1"), "bigint").alias(ITEM),
                      _strict(F.col("c2"), "double").alias(RATING)))
-    if dedupe:
-        rows = rows.groupBy(USER, ITEM).agg(F.max(RATING).alias(RATING))
-    return rows
+
+
+def merge_duplicates(ratings: DataFrame) -> DataFrame:
+    """One row for each ``(user_id, item_id)``, with its largest rating."""
+    return ratings.groupBy(USER, ITEM).agg(F.max(RATING).alias(RATING))
 
 
 def read_personal(spark: SparkSession, path: str, user_id: int,
@@ -49,15 +52,15 @@ def read_personal(spark: SparkSession, path: str, user_id: int,
     f = _fields(spark, path, sep).filter(F.col("c0") != "id")
     # an absent or empty third field is "not rated"; anything else must parse
     rating = F.when(F.col("c2").isNull() | (F.col("c2") == ""), F.lit(0.0)
-                    ).otherwise(F.col("c2").cast("double"))
+                    ).otherwise(_strict(F.col("c2"), "double"))
     return (f.select(F.lit(user_id).cast("bigint").alias(USER),
-                     F.col("c0").cast("bigint").alias(ITEM), rating.alias(RATING))
+                     _strict(F.col("c0"), "bigint").alias(ITEM), rating.alias(RATING))
              .filter(F.col(RATING) != 0))
 
 
 def read_titles(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     f = _fields(spark, path, sep).filter(F.col("c0") != "id")
-    return f.select(F.col("c0").cast("bigint").alias(ITEM), F.col("c1").alias("title"))
+    return f.select(_strict(F.col("c0"), "bigint").alias(ITEM), F.col("c1").alias("title"))
 
 
 def write_ratings(df: DataFrame, path: str, sep: str = DEFAULT_SEP,

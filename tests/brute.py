@@ -45,6 +45,12 @@ class Brute:
         kept = cands[len(cands) - k:] if k > 0 else []
         return dict(kept)
 
+    def ranked(self, u):
+        """All other users, best first: the sorted list read from its end."""
+        cands = [(v, self.cos(u, v)) for v in self.users if v != u]
+        cands.sort(key=lambda t: round(t[1], 9))
+        return cands[::-1]
+
     def wdev(self, u, i, simf):
         num = den = 0.0
         for v in self.by_item.get(i, {}):

@@ -7,8 +7,8 @@ formulas (``tests/brute.py``):
 * item 6 is rated once
 * users 7 and 8 rate identically: equal similarity to everyone (tie)
 * users 3 and 6 rate in opposite directions: a negative similarity
-* (3, 2) appears twice (merged with max), a header line and a line whose
-  first field is not an integer are dropped
+* (3, 2) appears twice (merged with max in a step of its own), a header line
+  and a line whose first field is not an integer are dropped
 """
 
 import math
@@ -23,7 +23,7 @@ from kinrank.operators import similarity as sim
 from kinrank.operators.pairs import HotItems
 from kinrank.operators.stats import Prepared
 from kinrank.session import scratch_path
-from kinrank.sources.readers import read_ratings
+from kinrank.sources.readers import merge_duplicates, read_ratings
 
 from .brute import Brute
 
@@ -64,7 +64,9 @@ def table(spark):
     path = scratch_path(spark, "edge")
     spark.createDataFrame([(line,) for line in LINES.strip().split("\n")], "value string") \
         .coalesce(1).write.text(path)
-    return read_ratings(spark, path)
+    raw = read_ratings(spark, path)
+    assert raw.count() == len(TRAIN) + 1  # every row is kept
+    return merge_duplicates(raw)
 
 
 @pytest.fixture(scope="module")
@@ -83,7 +85,7 @@ def pairs(spark, brute):
     return spark.createDataFrame(ps, "user_id bigint, item_id bigint")
 
 
-def test_reader_drops_header_and_bad_ids_and_merges_duplicates(table):
+def test_reader_drops_header_and_bad_ids(table):
     rows = sorted((r.user_id, r.item_id, r.rating) for r in table.collect())
     assert rows == sorted(TRAIN)
 
@@ -91,8 +93,13 @@ def test_reader_drops_header_and_bad_ids_and_merges_duplicates(table):
 def test_reader_fails_on_bad_rating(spark):
     path = scratch_path(spark, "edge-bad")
     spark.createDataFrame([("1\t2\tfive",)], "value string").write.text(path)
-    with pytest.raises(Exception):
-        read_ratings(spark, path).collect()
+    for ansi in ("true", "false"):  # whatever the caller's session says
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="bad field"):
+                read_ratings(spark, path).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_zero_norm_user_has_zero_weights(prep):
@@ -121,11 +128,14 @@ def test_similarities_match_brute(prep, brute):
 def test_knn_positions_match_sorted_list_rule(prep, brute, k):
     got = {}
     for r in nbm.knn(prep, k).collect():
-        got.setdefault(r.user_id, {})[r.neighbor_id] = r.sim
+        got.setdefault(r.user_id, {})[r.neighbor_id] = (r.pos, r.sim)
     for u in USERS:
-        want = {v: s for v, s in brute.knn(u, k).items() if round(s, 9) != 0}
+        ranked = [(v, s) for v, s in brute.ranked(u)][:k]
+        want = {v: (n + 1, s) for n, (v, s) in enumerate(ranked) if round(s, 9) != 0}
         have = got.get(u, {})
         assert set(have) == set(want), (u, k, have, want)
+        for v, (pos, s) in want.items():
+            assert have[v][0] == pos and math.isclose(have[v][1], s, abs_tol=1e-12), (u, v, k)
 
 
 @pytest.mark.parametrize("kind", ["global", "user_avg", "item_avg", "baseline", "uniform",
@@ -141,11 +151,10 @@ def test_predictors_match_brute(prep, brute, pairs, kind):
 
 
 @pytest.mark.parametrize("k", [1, 2, 3, 7])
-@pytest.mark.parametrize("user_first", [False, True])
-def test_knn_predictor_matches_brute(prep, brute, pairs, k, user_first):
-    # with the size statistics, k below the average raters per item (about
-    # 3.2 here) takes the pairs -> neighbours -> (neighbor, item) join order
-    hot = HotItems(prep.train) if user_first else None
+@pytest.mark.parametrize("order", ["raters", "neighbours", "salted raters"])
+def test_knn_predictor_matches_brute(prep, brute, pairs, k, order, monkeypatch):
+    monkeypatch.setattr(pr, "neighbours_first", lambda *a: order == "neighbours")
+    hot = None if order == "raters" else HotItems(prep.train, block=2)
     for r in pr.predict_knn(prep, pairs, k, hot=hot).collect():
         want = brute.predict("knn", r.user_id, r.item_id, k)
         assert math.isclose(r.prediction, want, abs_tol=1e-9), (k, r, want)
@@ -181,6 +190,41 @@ def test_salted_pairs_equal_plain_pairs(prep):
     assert plain == salted
 
 
+@pytest.mark.parametrize("block", [1, 2])
+def test_predictions_with_hot_items_in_blocks(prep, pairs, block):
+    hot = HotItems(prep.train, block=block)
+    assert hot.n > 0
+
+    def values(df, *more):
+        return {tuple(r[c] for c in ("user_id", "item_id", *more)): round(r.prediction, 10) for r in df.collect()}
+    for fn in (pr.predict_cosine, pr.predict_jaccard):
+        assert values(fn(prep, pairs)) == values(fn(prep, pairs, hot))
+    assert values(pr.predict_knn_sweep(prep, pairs, [1, 3]), "k") == values(
+        pr.predict_knn_sweep(prep, pairs, [1, 3], hot=hot), "k")
+    plan = pr.weighted_deviation_full(prep, pairs, "cosine", hot)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lb" in plan and "_rb" in plan
+
+
+def test_pair_lookups(spark, prep, brute):
+    ps = [(u, v) for u in [*USERS, 99] for v in USERS if u != v]
+    pairs = spark.createDataFrame(ps + ps[:3], "u bigint, v bigint")
+    got = {(r.u, r.v): r for r in sim.similarity_of(prep, pairs).collect()}
+    assert set(got) == set(ps)
+    items = {}
+    for r in sim.common_items_of(prep, pairs).collect():
+        items.setdefault((r.u, r.v), []).append(r.item_id)
+    kept = {(r.u, r.v): r.weight for r in nbm.neighbor_weights(nbm.knn(prep, 3), pairs).collect()}
+    for u, v in ps:
+        common = set(brute.by_user.get(u, {})) & set(brute.by_user[v])
+        assert sorted(items.get((u, v), [])) == sorted(common) and got[(u, v)].n_common == len(common)
+        if u == 99:
+            assert (got[(u, v)].cos, got[(u, v)].jac, kept[(u, v)]) == (0, 0, 0)
+            continue
+        assert math.isclose(got[(u, v)].cos, brute.cos(u, v), abs_tol=1e-12)
+        assert math.isclose(got[(u, v)].jac, brute.jac(u, v), abs_tol=1e-12)
+        assert math.isclose(kept[(u, v)], brute.knn(u, 3).get(v, 0.0), abs_tol=1e-9)
+
+
 def test_uniform_equals_baseline(prep, pairs):
     a = {(r.user_id, r.item_id): r.prediction for r in pr.predict_uniform(prep, pairs).collect()}
     b = {(r.user_id, r.item_id): r.prediction for r in pr.predict_baseline(prep, pairs).collect()}
@@ -200,6 +244,70 @@ def test_predictions_in_rating_range(prep, pairs):
         assert all(1.0 - 1e-9 <= v <= 5.0 + 1e-9 for v in vals)
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_dense_index_without_exchange_reuse(spark, reuse):
+    from kinrank.functions.ranking import dense_index
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        ids = dense_index(spark.range(2_000_000), "id", "rank", num_partitions=200)
+        row = ids.agg(F.countDistinct("rank").alias("n"), F.min("rank").alias("lo"), F.max("rank").alias("hi"),
+                      F.sum((F.col("rank") != F.col("id") + 1).cast("int")).alias("bad")).first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert tuple(row) == (2_000_000, 1, 2_000_000, 0)
+
+
+@pytest.mark.parametrize("n, chunk", [(3, 4), (1, 1), (5, 8), (3, 256)])
+def test_first_unseen(spark, n, chunk):
+    import random
+    rng = random.Random(n)
+    items = sorted(rng.sample(range(1000), 40))
+    seen = {0: items, 1: [], 2: items[:9], 3: items[1:30], 4: items[:-1], 5: rng.sample(items, 20), 6: items[::2]}
+    rows = [(u, i) for u, s in seen.items() for i in s]
+    got = rc.first_unseen(spark.createDataFrame([(u,) for u in seen], "user_id bigint"),
+                          spark.createDataFrame(rows, "user_id bigint, item_id bigint"),
+                          spark.createDataFrame([(i,) for i in items], "item_id bigint"), n, chunk=chunk, spread=3)
+    want = sorted((u, i) for u, s in seen.items() for i in [x for x in items if x not in s][:n])
+    assert sorted((r.user_id, r.item_id) for r in got.collect()) == want
+
+
+def test_grouped_lists_in_chunks(spark, table):
+    """Several chunks in both engines: the same rows, the whole size in each."""
+    import duckdb
+
+    from kinrank.operators import sets as st
+    from kinrank.plans import oracle
+    got = {tuple(r) for r in st.grouped_lists(table, "item_id", "user_id", 2, "users")
+           .select("item_id", "n", "n_chunks", "chunk", "users").collect()}
+    con = duckdb.connect()
+    con.register("given", table.toPandas())
+    base = dict(oracle.BASE)
+    try:
+        oracle.BASE["train"] = ("SELECT * FROM given", [])
+        want = con.sql(oracle._lists("item_id", "user_id", "users", 2))
+        cols = [want.columns.index(c) for c in ("item_id", "n", "n_chunks", "chunk", "users")]
+        rows = {tuple(r[c] for c in cols) for r in want.fetchall()}
+    finally:
+        oracle.BASE.clear()
+        oracle.BASE.update(base)
+    assert got == rows and max(r[2] for r in got) > 1
+    members = {}
+    for i, n, _, _, users in got:
+        members.setdefault((i, n), []).extend(users.split(","))
+    assert all(len(m) == n for (_, n), m in members.items())
+
+
+def test_many_buckets_cost_no_more(spark):
+    import time
+    users = spark.range(200).withColumnRenamed("id", "user_id")
+    took = {}
+    for p in (10, 10, 2000):
+        t = time.time()
+        assert nbm.user_buckets(users, p, 2).count() == 400
+        took[p] = time.time() - t
+    assert took[2000] < took[10] + 10
+
+
 def test_dense_index(spark):
     from kinrank.functions.ranking import dense_index
     ids = [17, 3, 99, 3, 42, -5, 1000, 8, 17]

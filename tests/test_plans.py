@@ -9,6 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from kinrank.functions import ranking
+from kinrank.operators import neighbors, pairs, recommend
 from kinrank.plans import catalog
 from kinrank.functions.formulas import rank_key
 from kinrank.operators import similarity as sim
@@ -27,11 +29,72 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
+MODULES = [catalog, neighbors, pairs, recommend, ranking]
+
+
+@pytest.fixture
+def written_plans(monkeypatch):
+    """Plans of everything that a query writes before its last step."""
+    import kinrank.session as session
+    plans, write = [], session.materialize
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+    for m in [*MODULES, session]:
+        monkeypatch.setattr(m, "materialize", watched)
+    return plans
+
+
 @pytest.mark.parametrize("name", sorted(catalog.registry()))
-def test_no_cross_products_or_python_in_plans(spark, name):
+def test_no_cross_products_or_python_in_plans(spark, name, written_plans):
     df = entry.queries()[name](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not FORBIDDEN.findall(plan), name
+    written_plans.append(("result", df._jdf.queryExecution().executedPlan().toString()))
+    for step, plan in written_plans:
+        assert not FORBIDDEN.findall(plan), (name, step)
+    if name in ("knn_neighbors", "predict_knn", "mae_knn"):
+        steps = [step for step, _ in written_plans]
+        assert "top-similarities" in steps  # users x k rows at most, no table of all pairs
+        top = next(plan for step, plan in written_plans if step == "top-similarities")
+        assert top.count("WindowGroupLimit") == 2 and "SortMergeJoin" in top + "".join(p for _, p in written_plans)
+
+
+def test_report_has_one_sum_for_each_predictor(spark, written_plans):
+    df = entry.queries()["metrics_report"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    sums = re.findall(r"Aggregate \[user_id#\d+L?, item_id#\d+L?\], .*_num", plan)
+    assert len(sums) == 4  # cosine, Jaccard, kNN and approximate kNN; the sweep groups by its step too
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from kinrank.session import require_local_master
+    for master in ("local", "local[4]", "local[*]"):
+        require_local_master(master)
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[3,2,3000]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            require_local_master(master)
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from kinrank.session import clear_scratch, materialize, scratch_root
+    assert materialize(spark.range(3), "three").count() == 3
+    root = scratch_root(spark).removeprefix("file:")
+    assert os.listdir(root)
+
+
+def test_changed_input_gives_a_new_answer(spark, tmp_path):
+    """Nothing is remembered between queries, whatever the path looks like."""
+    import shutil
+    for n in ("orders", "lineitem"):
+        shutil.copy(f"{SF_SMALL}/{n}.parquet", tmp_path / f"{n}.parquet")
+    where = f"file://{tmp_path}"
+    whole = entry.queries()["rating_stats"](spark, where).first()["n"]
+    import pyarrow.parquet as pq
+    table = pq.read_table(f"{SF_SMALL}/lineitem.parquet")
+    pq.write_table(table.slice(0, len(table) // 5), tmp_path / "lineitem.parquet")
+    assert 0 < entry.queries()["rating_stats"](spark, where).first()["n"] < whole
 
 
 def test_knn_ranking_is_a_partial_top_k(spark):
@@ -44,7 +107,7 @@ def test_knn_ranking_is_a_partial_top_k(spark):
 
 
 def test_adapter_scans_prune_columns(spark):
-    text = _formatted(fx.derive_ratings(spark, SF_SMALL))
+    text = _formatted(fx.ratings(spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
     assert "struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in schemas
     assert "struct<o_orderkey:bigint,o_custkey:bigint>" in schemas
