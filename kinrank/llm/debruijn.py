@@ -73,10 +73,15 @@ def paths(sliced: DataFrame, buckets: int, k: int = K) -> DataFrame:
     schema = pa.schema([("s", pa.int32()), ("r", pa.int32()), ("start", pa.int64()), ("edges", pa.int64()),
                         ("multiplicity", pa.int64()), ("content", pa.int64())])
     back = X.ask(sliced.groupBy("s"), buckets, build, [np.uint32], lambda keys, p: X.total_of_runs(keys, p[0]))
+    # dealt once by (slice, path): a path that every document has is counted
+    # in its slices first, so no more rows of it meet than there are slices
     found = (sliced.groupBy("s").cogroup(back.groupBy("s"))
-             .applyInArrow(runs, "s int, r int, start bigint, edges bigint, multiplicity bigint, content bigint"))
-    whole = found.groupBy("content", "edges").agg(F.count("*").alias("copies"))
-    return (found.join(whole, ["content", "edges"])
+             .applyInArrow(runs, "s int, r int, start bigint, edges bigint, multiplicity bigint, content bigint")
+             .repartition("s", "content", "edges"))
+    here = found.groupBy("s", "content", "edges").agg(F.count("*").alias("n"))
+    whole = here.groupBy("content", "edges").agg(F.sum("n").alias("copies"))
+    facts = here.select("s", "content", "edges").join(whole, ["content", "edges"])
+    return (found.join(facts, ["s", "content", "edges"])
             .withColumn("nonbranching", F.col("copies") == F.col("multiplicity"))
             .select("s", "r", "start", "edges", "multiplicity", "content", "copies", "nonbranching"))
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from kinrank.llm.common import ASCII_SPACE, fold_ascii, pack
 
+SALTS = 16   # copies of a dropped key that its lines are dealt over
+
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -26,8 +28,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share an id are one document for the count (null ids together are one);
     equal rows give equal rows; an empty table gives an empty table; a text
     that loses every line becomes the empty text. Keys are compared by a
-    96-bit hash. A hot line is counted from partial aggregates, and the join
-    with the dropped keys can be split by adaptive execution.
+    96-bit hash. A hot line is counted from partial aggregates, and its lines
+    meet the dropped keys in ``SALTS`` parts.
     """
     src = pack(docs, id_col, text_col).withColumn("k", F.xxhash64("id", "text"))
     split = F.split(F.col("text"), "\n", -1)
@@ -37,7 +39,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("k", "id", "pos", F.xxhash64("key").alias("h"), F.hash("key").alias("g")))
     frequent = (lines.groupBy("h", "g").agg(F.count_distinct(F.struct("id")).alias("n"))
                 .filter(F.col("n") >= min_docs).select("h", "g"))
-    dropped = (lines.join(frequent, ["h", "g"], "left_semi")
+    # a hot line's rows are dealt over SALTS copies of its key
+    frequent = frequent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dropped = (lines.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int"))
+               .join(frequent, ["h", "g", "salt"], "left_semi")
                .groupBy("k", "id").agg(F.collect_set("pos").alias("dropped")))
     both = src.alias("s").join(dropped.alias("d"), (F.col("s.k") == F.col("d.k"))
                                & F.col("s.id").eqNullSafe(F.col("d.id")), "left")
