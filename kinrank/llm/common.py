@@ -51,22 +51,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_bounds(counted: list[tuple], by: str, each: int) -> Column:
+    """For each value of ``by`` the bound under which a 64-bit hash leaves
+    about ``each`` and a quarter more of its rows (``counted``: value, rows)."""
+    bound = F.lit(None).cast("long")
+    for value, n in counted:
+        part = min(1.0, (1.25 * each + 50) / max(1, n))
+        most = min((1 << 63) - 1, int(part * 2.0 ** 64) - (1 << 63))
+        bound = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(most)).otherwise(bound)
+    return bound
+
+
 def hashed_sample(rows: DataFrame, by: str, hash_of: list[str], each: int, groups: int = 1000) -> DataFrame:
     """At most ``each`` rows of every value of ``by``: the first by a hash of
     the columns ``hash_of``, so the same rows whatever the partitions.
 
     The values are counted (more than ``groups`` are refused); then only rows
-    with a hash under the bound that leaves about ``each`` and a quarter more
-    are ranked, so that hardly more than the sample is shuffled.
+    with a hash under ``hash_bounds`` are ranked, so that hardly more than the
+    sample is shuffled.
     """
     counted = rows.groupBy(by).agg(F.count("*").alias("n")).limit(groups + 1).collect()
     if len(counted) > groups:
         raise ValueError(f"more than {groups} values of {by}")
-    bound = F.lit(None).cast("long")
-    for r in counted:
-        part = min(1.0, (1.25 * each + 50) / r["n"])
-        most = min((1 << 63) - 1, int(part * 2.0 ** 64) - (1 << 63))
-        bound = F.when(F.col(by).eqNullSafe(F.lit(r[by])), F.lit(most)).otherwise(bound)
+    bound = hash_bounds([(r[by], r["n"]) for r in counted], by, each)
     rank = F.row_number().over(Window.partitionBy(by).orderBy("hashed", *hash_of))
     return (rows.withColumn("hashed", F.xxhash64(*hash_of)).filter(F.col("hashed") <= bound)
             .withColumn("rank", rank).filter(F.col("rank") <= each).drop("hashed", "rank"))

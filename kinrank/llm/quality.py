@@ -14,17 +14,16 @@ from; the support vector machine is fitted on a bounded sample of them
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
-from kinrank.llm.common import hashed_sample, pack, table, written
+from kinrank.llm.common import hash_bounds, pack, table, written
 from kinrank.llm.langid import presence
 
 DIMS = 1 << 16
@@ -160,42 +159,61 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_co
           text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE) -> Model | None:
     """Fit on the rows of ``labels`` with a label (1, or anything else as 0)
     and a text; None when a class has no row."""
+    marks = labels.filter(F.col(label_col).isNotNull())
     if learn is not None:
-        docs = docs.filter(learn)
-    marks = (labels.filter(F.col(label_col).isNotNull())
-             .select(F.col(id_col).alias("id"), (F.col(label_col) == 1).cast("int").alias("y")))
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(marks, "id")
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, x, _ in _groups(batches):
-            at = [np.flatnonzero(r).astype("<u2").tobytes() for r in x]
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("y"), pa.array(at, pa.binary())],
-                                             names=["id", "y", "places"])
-
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, marks = docs.filter(learn), marks.filter(learn)  # a condition on the id
+    marks = marks.select(F.col(id_col).alias("id"), (F.col(label_col) == 1).cast("int").alias("y"))
+    known = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
+    if len(known) < 2:
+        return None
+    src = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+           .join(marks.hint("merge"), "id")  # the same plan whatever the labels' size
+           .withColumn("o", F.xxhash64("id", "text")))
+    src = src.withColumn("pick", F.col("o") <= hash_bounds(list(known.items()), "y", rows // 2))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One pass: rows of the sample with their places, and at the end the
+        task's counts of each place."""
         n = np.zeros((2, DIMS), dtype=np.int64)
-        for batch in batches:
-            for y, at in zip(batch.column("y").to_pylist(), batch.column("places").to_pylist(), strict=True):
-                n[y, np.frombuffer(at, "<u2")] += 1
+        for part, x, _ in _groups(batches):
+            y = part.column("y").to_numpy()
+            for c in (0, 1):
+                n[c] += x[y == c].sum(0, dtype=np.int64)
+            picked = np.flatnonzero(part.column("pick").to_numpy(zero_copy_only=False))
+            if len(picked):
+                some = part.take(pa.array(picked))
+                yield rowed(len(picked), y=some.column("y"), o=some.column("o"),
+                            places=pa.array([np.flatnonzero(x[i]).astype("<u2").tobytes() for i in picked],
+                                            pa.binary()))
         some = np.flatnonzero(n.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[0, some]), pa.array(n[1, some])],
-                                         names=["place", "n0", "n1"])
-
-    kind = dict(src.dtypes)["id"]
-    rowed = written(src.mapInArrow(features, f"id {kind}, y int, places binary"), "quality")
-    total = (rowed.select("y", "places").mapInArrow(counts, "place bigint, n0 bigint, n1 bigint")
-             .groupBy("place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect())  # DIMS rows at most
-    got = hashed_sample(rowed, "y", ["id", "places"], rows // 2).collect()  # a bounded sample
-    got = sorted((zlib.crc32(r["places"]), r["y"], bytes(r["places"])) for r in got)
+        if len(some):
+            yield rowed(len(some), place=pa.array(some), n0=pa.array(n[0, some]), n1=pa.array(n[1, some]))
+
+    kinds = {"y": pa.int32(), "o": pa.int64(), "places": pa.binary(), "place": pa.int64(), "n0": pa.int64(),
+             "n1": pa.int64()}
+
+    def rowed(n: int, **cols: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(n, t) for c, t in kinds.items()],
+                                          names=list(kinds))
+
+    both = written(src.mapInArrow(gather, "y int, o bigint, places binary, place bigint, n0 bigint, n1 bigint"),
+                   "quality")
+    total = (both.filter("place is not null").groupBy("place")
+             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect())  # DIMS rows at most
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("o"))
+    got = (both.filter("places is not null").select("y", "o", "places").dropDuplicates(["y", "o"])
+           .withColumn("rank", rank).filter(F.col("rank") <= rows // 2).collect())  # a bounded sample
+    got = sorted((r["o"], r["y"], bytes(r["places"])) for r in got)
     y = np.array([1 if r[1] else -1 for r in got])
     if not len(y) or y.min() == y.max():
         return None
-    share = rowed.agg(F.avg("y")).first()[0]
+    share = known[1] / (known[0] + known[1])
     n = np.zeros((2, DIMS))
     for r in total:
         n[0, r["place"]], n[1, r["place"]] = r["n0"], r["n1"]
-    return fit([np.frombuffer(r[2], "<u2").astype(np.int64) for r in got], y, log_count_ratios(n[1], n[0]),
-               share)
+    places = [np.frombuffer(r[2], "<u2").astype(np.int64) for r in got]
+    order = np.random.default_rng(5).permutation(len(got))
+    return fit([places[i] for i in order], y[order], log_count_ratios(n[1], n[0]), share)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
