@@ -25,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard": jaccard.SQL,
         "op3_line_dedup": lines.SQL,
         "op6_substring": debruijn.SQL,
+        "op9_suffix": suffixes.SQL,
         "op10_host_rules": rules.SQL,
     }
