@@ -14,7 +14,7 @@ Layout:
 * ``kinrank.operators`` — stats, sets, pair emission, similarity, neighbours,
   predictors, evaluation, recommendation
 * ``kinrank.plans``     — the registered queries and their SQL oracles
-* ``kinrank.streaming`` — nothing: the workload has no streaming operators
+* ``kinrank.llm``       — operators of a training-data pipeline over documents
 """
 
 from kinrank.session import get_session, scratch_path
