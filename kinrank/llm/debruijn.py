@@ -3,11 +3,16 @@
 Edges are the windows of ``K`` consecutive words (an edge joins its first and
 its last K-1 words). Edges are counted over all documents; those found twice
 or more are the repeated ones. Where a document runs through consecutive
-repeated edges of one multiplicity, they are compacted to a path; a Spark
-aggregate and join over all paths tells how often each whole path occurs: a
-path is nonbranching when every one of its edges' occurrences lies on it. The
-paths' source coordinates go back to the documents, where the words at each
-place are hashed again and held against the path before a word is removed.
+repeated edges of one multiplicity, they are compacted to a path. Each slice
+of documents sends its distinct paths with their numbers, and a Spark
+aggregate and join tells how often each whole path occurs: a path is
+nonbranching when every occurrence of its edges lies on it. The paths go back
+to the slices that have them, where the words at each source coordinate are
+hashed again and held against the paths before a word is removed.
+
+Places themselves are never sent: near copies break a path wherever any of
+them differs, so places grow with the square of a group, but distinct paths
+with its texts.
 """
 
 from __future__ import annotations
@@ -39,51 +44,51 @@ def _slices(docs: DataFrame, id_col: str, text_col: str, slice_bytes: int):
     return X.sliced(src, total, slice_bytes), max(1, -(-total // (WORD_BYTES * X.BUCKET_HASHES)))
 
 
-def paths(sliced: DataFrame, buckets: int, k: int = K) -> DataFrame:
-    """Compacted repeated paths with their source coordinates: ``s, r`` (row
-    in the slice's order), ``start, edges`` (words), ``multiplicity`` of the
-    edges, ``content`` (hash of the words), ``copies`` of the whole path and
-    ``nonbranching``."""
+def _runs(t: pa.Table, back: pa.Table, k: int):
+    """A slice's paths in place: its texts and words, and of each path the
+    first word, the edges, their multiplicity and the hash of its words."""
+    block, starts, ends, off, words, at, h = _edges(t.column("text"), k)
+    keys, place = np.unique(h, return_inverse=True)
+    n = X.answers(back, len(keys))[place]
+    some = n > 1
+    at, n = at[some], n[some].astype(np.int64)
+    doc = A.text_of(off, at)
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
+    first = np.flatnonzero(new)
+    edges = np.diff(np.append(first, len(at)))
+    start = at[first]
+    return block, starts, ends, off, start, edges, n[first], A.windows_hash(words, start, edges + k - 1)
+
+
+def paths(sliced: DataFrame, buckets: int, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """Compacted repeated paths of each slice, and the counts of its edges.
+
+    Paths: ``s, content`` (hash of the words), ``edges, multiplicity`` (of
+    each edge), ``n`` (here), ``copies`` (in all slices), ``nonbranching``.
+    """
     def build(t: pa.Table):
         _, _, _, _, _, _, h = _edges(t.column("text"), k)
         keys, n = np.unique(h, return_counts=True)
         return keys, [n]
 
-    def runs(t: pa.Table, back: pa.Table) -> pa.Table:
-        if not t.num_rows:
-            return pa.Table.from_pylist([], schema=schema)
-        t = X.ordered(t)
-        _, _, _, off, words, at, h = _edges(t.column("text"), k)
-        keys, place = np.unique(h, return_inverse=True)
-        n = X.answers(back, len(keys))[place]
-        some = n > 1
-        at, n = at[some], n[some].astype(np.int64)
-        doc = A.text_of(off, at)
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
-        first = np.flatnonzero(new)
-        edges = np.diff(np.append(first, len(at)))
-        start = at[first]
-        content = A.windows_hash(words, start, edges + k - 1)
+    def here(t: pa.Table, back: pa.Table) -> pa.Table:
+        *_, edges, many, content = _runs(t, back, k) if t.num_rows else [np.zeros(0, np.int64)] * 3
+        content, first, n = np.unique(content.view(np.int64), return_index=True, return_counts=True)
         return pa.Table.from_arrays(
-            [pa.array(np.full(len(first), t.column("s")[0].as_py()), pa.int32()), pa.array(doc[first], pa.int32()),
-             pa.array(start - off[doc[first]], pa.int64()), pa.array(edges, pa.int64()),
-             pa.array(n[first], pa.int64()), pa.array(content.view(np.int64), pa.int64())], schema=schema)
+            [pa.array(np.full(len(n), t.column("s")[0].as_py() if t.num_rows else 0), pa.int32()),
+             *(pa.array(x, pa.int64()) for x in (content, edges[first], many[first], n))],
+            names=["s", "content", "edges", "multiplicity", "n"])
 
-    schema = pa.schema([("s", pa.int32()), ("r", pa.int32()), ("start", pa.int64()), ("edges", pa.int64()),
-                        ("multiplicity", pa.int64()), ("content", pa.int64())])
     back = X.ask(sliced.groupBy("s"), buckets, build, [np.uint32], lambda keys, p: X.total_of_runs(keys, p[0]))
-    # dealt once by (slice, path): a path that every document has is counted
-    # in its slices first, so no more rows of it meet than there are slices
+    # dealt once by path; a path has one row of each slice at most
     found = (sliced.groupBy("s").cogroup(back.groupBy("s"))
-             .applyInArrow(runs, "s int, r int, start bigint, edges bigint, multiplicity bigint, content bigint")
-             .repartition("s", "content", "edges"))
-    here = found.groupBy("s", "content", "edges").agg(F.count("*").alias("n"))
-    whole = here.groupBy("content", "edges").agg(F.sum("n").alias("copies"))
-    facts = here.select("s", "content", "edges").join(whole, ["content", "edges"])
-    return (found.join(facts, ["s", "content", "edges"])
-            .withColumn("nonbranching", F.col("copies") == F.col("multiplicity"))
-            .select("s", "r", "start", "edges", "multiplicity", "content", "copies", "nonbranching"))
+             .applyInArrow(here, "s int, content bigint, edges bigint, multiplicity bigint, n bigint")
+             .repartition("content", "edges"))
+    whole = found.groupBy("content", "edges").agg(F.sum("n").alias("copies"))
+    return (found.join(whole, ["content", "edges"])
+            .select("s", "content", "edges", "multiplicity", "n", "copies",
+                    (F.col("copies") == F.col("multiplicity")).alias("nonbranching"))), back
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
@@ -101,28 +106,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty table. A text under ``k`` words stays.
     """
     sliced, buckets = _slices(docs, id_col, text_col, slice_bytes)
-    spans = paths(sliced, buckets, k)
+    compact, back = paths(sliced, buckets, k)
+    told = (back.withColumn("content", F.lit(None).cast("long")).withColumn("copies", F.lit(None).cast("long"))
+            .unionByName(compact.select("s", "content", "copies"), allowMissingColumns=True))
 
-    def remove(t: pa.Table, p: pa.Table) -> pa.Table:
+    def remove(t: pa.Table, told: pa.Table) -> pa.Table:
         if not t.num_rows:
             return t.select(["id", "rest", "text"]).rename_columns(["id", "rest", "kept_text"]).append_column(
                 "n_words", pa.array([], pa.int64())).append_column("n_removed", pa.array([], pa.int64()))
-        t = X.ordered(t)
-        block = A.block_of(t.column("text"))
-        starts, ends, off = block.words()
-        words = A.spans_hash(block.data, starts, ends)
-        at = off[p.column("r").to_numpy()] + p.column("start").to_numpy()
-        length = p.column("edges").to_numpy() + k - 1
-        if (A.windows_hash(words, at, length).view(np.int64) != p.column("content").to_numpy()).any():
-            raise ValueError("a path does not stand at its source coordinates")
-        keep = ~A.covered(at, at + length, len(words))
+        facts = told.filter(told.column("copies").is_valid())
+        block, starts, ends, off, at, edges, many, content = _runs(
+            t, told.filter(told.column("bucket").is_valid()), k)
+        known = np.sort(facts.column("content").to_numpy())
+        here = content.view(np.int64)
+        if len(here) and not np.isin(here, known).all():
+            raise ValueError("the words at a path's source coordinates are not the path's")
+        keep = ~A.covered(at, at + edges + k - 1, off[-1])
         text = (A.join_words if squash else A.cut_words)(block, starts, ends, off, keep)
         return pa.Table.from_arrays([t.column("id"), t.column("rest"), text, pa.array(np.diff(off), pa.int64()),
                                      pa.array(A.sums(~keep, off), pa.int64())],
                                     names=["id", "rest", "kept_text", "n_words", "n_removed"])
 
     kinds = dict(sliced.dtypes)
-    return (sliced.groupBy("s").cogroup(spans.groupBy("s"))
+    return (sliced.groupBy("s").cogroup(told.groupBy("s"))
             .applyInArrow(remove, f"id {kinds['id']}, rest {kinds['rest']}, kept_text string, n_words bigint, "
                                   "n_removed bigint"))
 

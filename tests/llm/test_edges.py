@@ -113,11 +113,12 @@ def test_substrings(edges, k):
 def test_paths_are_nonbranching(spark):
     a, b = [" ".join(f"{x}{i}" for i in range(30)) for x in "ab"]
     docs = frame(spark, [(1, f"p {a} q"), (2, f"r {a} {b}"), (3, f"s {b} t"), (4, f"u {a} {b} v")])
-    sliced, buckets = debruijn._slices(docs, "doc_id", "text", 100)
-    got = {(r["edges"], r["copies"], r["multiplicity"], r["nonbranching"])
-           for r in debruijn.paths(sliced, buckets, 10).collect()}
-    # the passages a (3 times), b (3 times) and what joins them (twice)
-    assert got == {(21, 3, 3, True), (9, 2, 2, True)}
+    for size in (50, 10_000):  # in several slices or one
+        sliced, buckets = debruijn._slices(docs, "doc_id", "text", size)
+        got = {(r["edges"], r["copies"], r["multiplicity"], r["nonbranching"])
+               for r in debruijn.paths(sliced, buckets, 10)[0].collect()}
+        # the passages a (3 times), b (3 times) and what joins them (twice)
+        assert got == {(21, 3, 3, True), (9, 2, 2, True)}
 
 
 def test_nothing_to_cut(nothing):
