@@ -3,6 +3,8 @@ that callers' column names cannot clash, and written intermediates."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,19 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, as
+    in a local session started elsewhere. A cluster gets the package by
+    ``--py-files`` or its image; a path that is not there does no harm."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,6 +34,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """``(id, text, rest)``: the id, the text (null becomes empty) and all
     columns but the text as one struct, so that no name of the caller's table
     can clash with a column that an operator adds."""
+    importable(docs.sparkSession)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                        F.struct(*rest).alias("rest"))

@@ -1,6 +1,6 @@
 """Counting hashes of all documents in few bytes.
 
-Documents are dealt into slices of bounded size by their id. Each slice sends
+Documents are dealt into slices of bounded size by a hash. Each slice sends
 the sorted distinct hashes of its texts, packed, to buckets by ranges of hash;
 a bucket meets all slices' hashes in its range and answers each slice with
 one small number per hash, in the order in which the hashes came. A hash that
@@ -28,10 +28,12 @@ BUCKET_HASHES = 1 << 20   # hashes that meet in a bucket, about
 _U = np.uint64
 
 
-def sliced(packed: DataFrame, total_bytes: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``packed`` with the slice number ``s``; rows of one id share a slice."""
+def sliced(packed: DataFrame, total_bytes: int, slice_bytes: int = SLICE_BYTES,
+           by: tuple[str, ...] = ("id", "text")) -> DataFrame:
+    """``packed`` with the slice number ``s``; rows with equal ``by`` share a
+    slice. With the text among them, null or repeated ids make no large one."""
     n = max(1, -(-total_bytes // slice_bytes))
-    return packed.withColumn("s", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    return packed.withColumn("s", F.pmod(F.xxhash64(*by), F.lit(n)).cast("int"))
 
 
 def squeeze(a: np.ndarray) -> bytes:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
-from kinrank.llm.common import hashed_sample, pack, table
+from kinrank.llm.common import hashed_sample, importable, pack, table
 
 SIZES = (1, 2, 3, 4)
 DIMS = 1 << 14
@@ -110,6 +110,7 @@ def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
           lang_col: str = "lang", rows: int = SAMPLE) -> Model | None:
     """Fit on rows with a language, a letter in their text and ``learn`` true;
     None when there is no such row."""
+    importable(docs.sparkSession)
     src = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
     if learn is not None:
         src = src.filter(learn)

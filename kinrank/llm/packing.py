@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -32,6 +33,8 @@ from kinrank.llm.common import pack, table
 CAPACITY = 2048
 FLOOR = 64
 END = 1                  # id that closes each document
+SEGMENT = 1 << 20        # characters of a long text that are encoded at a time
+GAP = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 # The pre-token pattern that byte-level tokenizer files leave implied (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -62,10 +65,22 @@ class Ids:
         self.library = Tokenizer.from_file(path)
         self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
-            return self.library.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+    def __call__(self, text: str) -> np.ndarray:
+        """The text's ids; a long text is cut before single spaces between
+        letters or digits, where a pre-token always starts."""
+        at, parts = 0, []
+        while at < len(text) or not parts:
+            end = len(text)
+            if end - at > SEGMENT and (gap := GAP.search(text, at + SEGMENT)):
+                end = gap.start()
+            piece = text[at:end]
+            if any(s in piece for s in self.special):
+                ids = self.library.encode(piece, add_special_tokens=False).ids
+            else:
+                ids = self.fast.encode_ordinary(piece)
+            parts.append(np.array(ids, dtype="<u4"))
+            at = end
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def byte_letters() -> str:
@@ -172,9 +187,7 @@ def harmonic_pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 part = batch.slice(i, 256)
                 rows = []
                 for doc, text in zip(part.column("doc").to_pylist(), part.column("text"), strict=True):
-                    ids = ids_of(text.as_py())
-                    ids.append(end)
-                    rows.extend(packer.add(doc, np.array(ids, dtype="<u4")))
+                    rows.extend(packer.add(doc, np.append(ids_of(text.as_py()), np.uint32(end))))
                 if rows:
                     yield _rows(rows, kind_)
         if packer is not None and (rows := list(packer.finish())):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
-from kinrank.llm.common import hash_bounds, pack, table, written
+from kinrank.llm.common import hash_bounds, importable, pack, table, written
 from kinrank.llm.langid import presence
 
 DIMS = 1 << 16
@@ -159,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_co
           text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE) -> Model | None:
     """Fit on the rows of ``labels`` with a label (1, or anything else as 0)
     and a text; None when a class has no row."""
+    importable(docs.sparkSession)
     marks = labels.filter(F.col(label_col).isNotNull())
     if learn is not None:
         docs, marks = docs.filter(learn), marks.filter(learn)  # a condition on the id

@@ -152,12 +152,21 @@ def test_pack(edges, nothing):
     assert packing.harmonic_pack(nothing, BYTE_BPE).count() == 0
 
 
+def test_long_texts_are_cut_where_words_start(monkeypatch):
+    tok, ids = Tokenizer.from_file(BYTE_BPE), packing.Ids(BYTE_BPE)
+    text = edge_rows()[15][1] + "  two  spaces\n\n and <|endoftext|> lines \n" * 20
+    want = tok.encode(text, add_special_tokens=False).ids
+    for n in (1, 10, 1000):
+        monkeypatch.setattr(packing, "SEGMENT", n)
+        assert ids(text).tolist() == want
+
+
 def test_ids_are_the_library_s():
     tok, ids, rng = Tokenizer.from_file(BYTE_BPE), packing.Ids(BYTE_BPE), random.Random(1)
     bits = [" ", "  ", "\n", "\t", "a", "b's", "1", "!", "é", "\x1f", "\x85", "<|endoftext|>", "thing", "中", "😀", " "]
     for _ in range(1000):
         text = "".join(rng.choice(bits) for _ in range(25))
-        assert ids(text) == tok.encode(text, add_special_tokens=False).ids, text
+        assert ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids, text
 
 
 def test_bpe_is_the_library_s():
