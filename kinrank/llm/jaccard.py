@@ -34,8 +34,8 @@ from kinrank.llm import exchange as X
 from kinrank.llm.common import pack, table, text_bytes, written
 from kinrank.llm.graph import components
 
-WORDS = 4
-PERCENT = 85
+WORDS = 5
+PERCENT = 80
 WORD_BYTES = 6            # bytes of text for each shingle, about
 BLOCK_SHINGLES = 1 << 18  # shingles of a block
 BLOCK_SETS = 1024         # sets of a block
@@ -229,6 +229,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shingles only come last in the order of rarity, and large families are cut
     into blocks that all meet.
     """
+    if words < 1 or not 2 <= percent <= 100:
+        raise ValueError("words from 1, percent from 2 to 100")
     src = pack(docs, id_col, text_col)
     total = text_bytes(src)
     src = X.sliced(src, total, slice_bytes)
@@ -304,7 +306,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def q_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_join(docs).select(F.col("rest.doc_id").alias("doc_id"), "n_shingles",
+    return jaccard_join(docs, words=4, percent=85).select(F.col("rest.doc_id").alias("doc_id"), "n_shingles",
                                      F.col("component").alias("component_id"), "n_links")
 
 

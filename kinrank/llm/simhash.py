@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from kinrank.llm.common import pack, table, text_bytes
 
 BITS = 128
-WIDTH = 3                # words of a term
+WIDTH = 5                # words of a term
 NEIGHBOUR_BYTES = 4 << 20  # texts of one sorted group when documents meet the next one
 _LANES = 0x0000000100000001
 
@@ -61,8 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id, k, fingerprint`` for each document (equal rows are one row).
 
     Defined cases: a null or empty text, or one of white space alone, has no
-    terms and the fingerprint of zeros; a text shorter than a term is one or
-    two shorter terms; a null id is kept.
+    terms and the fingerprint of zeros; a text shorter than a term has shorter terms; a null id is kept.
     """
     src = pack(docs, id_col, text_col).withColumn("k", F.xxhash64("id", "text"))
     return votes(src, ["id", "k"], "text")
