@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from kinrank.functions.formulas import RANK_DIGITS, predict_from, round_half_up, safe_ratio
 from kinrank.operators.neighbors import approx_knn, knn
 from kinrank.operators.pairs import HotItems, raters_of
-from kinrank.operators.similarity import NEIGHBOR, directed, pair_stats, self_similarity
+from kinrank.operators.similarity import NEIGHBOR, pair_stats, self_similarity
 from kinrank.operators.stats import Prepared, item_stats
 from kinrank.sources.schema import ITEM, RATING, USER
 

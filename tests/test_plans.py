@@ -75,13 +75,16 @@ def test_a_cluster_needs_a_shared_folder():
             require_local_master(master)
 
 
-def test_scratch_is_cleared(spark):
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
     import os
 
-    from kinrank.session import clear_scratch, materialize, scratch_root
-    assert materialize(spark.range(3), "three").count() == 3
-    root = scratch_root(spark).removeprefix("file:")
-    assert os.listdir(root)
+    import kinrank.session as session
+    assert spark.sparkContext.applicationId in session.scratch_root(spark)
+    monkeypatch.setattr(session, "scratch_root", lambda s: str(tmp_path))  # others' tables stay
+    assert session.materialize(spark.range(3), "three").count() == 3
+    assert os.listdir(tmp_path)
+    session.clear_scratch(spark)
+    assert not os.listdir(tmp_path)
 
 
 def test_changed_input_gives_a_new_answer(spark, tmp_path):
