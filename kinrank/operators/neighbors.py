@@ -116,36 +116,44 @@ def user_buckets(users: DataFrame, n_buckets: int, replication: int) -> DataFram
             .select(F.explode("bks").alias("bucket"), USER))
 
 
+class BucketRows:
+    """Rating rows replicated to their user's buckets, written once, with the
+    bucket beside the item in the join key: pair work shrinks by about
+    ``replication^2 / n_buckets``. Work is counted and hot groups are split by
+    ``(item, bucket)``, as that pair plays the item's part in the pair join."""
+
+    def __init__(self, prep: Prepared, n_buckets: int, replication: int, block: int = DEFAULT_BLOCK):
+        placed = user_buckets(prep.ustats.select(USER), n_buckets, replication)
+        cell = F.col(ITEM) * F.lit(n_buckets) + F.col("bucket")
+        rows = prep.w.select(USER, ITEM, "w").join(placed, USER).select(
+            USER, cell.alias(ITEM), F.col("bucket").alias("b"), "w")
+        self.rows = materialize(rows, "bucket-rows")
+        self.cells = HotItems(self.rows, block=block)
+
+    def similarities(self, users: DataFrame | None = None) -> DataFrame:
+        """``u, v, cos`` for pairs that share a bucket: u < v, or with
+        ``users`` both directions for these. Inside a bucket the sum over
+        common items is the exact similarity (a user's rows are whole in each
+        bucket), so a pair that shares several buckets has equal sums and one
+        of them is kept."""
+        p = corated(self.rows, ["w", "b"], hot=self.cells, left_users=users, directed=users is not None)
+        sums = p.groupBy("u", "v", F.col("b_u").alias("b")).agg(F.sum(F.col("w_u") * F.col("w_v")).alias("cos"))
+        return sums.groupBy("u", "v").agg(F.min_by("cos", "b").alias("cos"))
+
+
 def approx_similarities(prep: Prepared, n_buckets: int, replication: int,
-                        hot: HotItems | None = None, block: int | None = None) -> DataFrame:
-    """Cosine similarity for pairs that share a bucket: ``u, v, cos``, u < v.
-
-    Rating rows are replicated to their user's buckets, with the bucket alone
-    beside the weight, and self-joined on ``(item_id, bucket)``: pair work
-    shrinks by about ``replication^2 / n_buckets``. Work is counted and hot
-    groups are split by ``(item, bucket)`` too, as that pair plays the item's
-    part in the pair join. Inside a bucket the sum over common items is the
-    exact similarity (a user's rows are whole in each bucket), so a pair that
-    shares several buckets has equal sums and one of them is kept.
-    """
-    placed = user_buckets(prep.ustats.select(USER), n_buckets, replication)
-    cell = F.col(ITEM) * F.lit(n_buckets) + F.col("bucket")
-    rows = prep.w.select(USER, ITEM, "w").join(placed, USER).select(
-        USER, cell.alias(ITEM), F.col("bucket").alias("b"), "w")
-    rows = materialize(rows, "bucket-rows")
-    cells = HotItems(rows, block=block or (hot.block if hot is not None else DEFAULT_BLOCK))
-    p = corated(rows, ["w", "b"], hot=cells)
-    sums = p.groupBy("u", "v", F.col("b_u").alias("b")).agg(F.sum(F.col("w_u") * F.col("w_v")).alias("cos"))
-    return sums.groupBy("u", "v").agg(F.min_by("cos", "b").alias("cos"))
+                        hot: HotItems | None = None) -> DataFrame:
+    """Cosine similarity for pairs that share a bucket: ``u, v, cos``, u < v."""
+    return BucketRows(prep, n_buckets, replication, hot.block if hot else DEFAULT_BLOCK).similarities()
 
 
 def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
                hot: HotItems | None = None) -> DataFrame:
     """Approximate kNN: positions over co-bucketed pairs, ``N`` = all train
     users (users sharing no bucket count as zero-similarity candidates)."""
-    sims = directed(approx_similarities(prep, n_buckets, replication, hot), "cos")
+    rows = BucketRows(prep, n_buckets, replication, hot.block if hot else DEFAULT_BLOCK)
 
     def counts(some: DataFrame) -> DataFrame:
-        return (sims.join(some, USER, "left_semi").filter(rank_key(F.col("sim")) != 0)
-                .groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz")))
-    return place(top_similarities(sims, k), prep.n_users(), k, counts)
+        again = rows.similarities(some).filter(rank_key(F.col("cos")) != 0)
+        return again.groupBy(F.col("u").alias(USER)).agg(F.count(F.lit(1)).alias("_nnz"))
+    return place(top_similarities(directed(rows.similarities(), "cos"), k), prep.n_users(), k, counts)
