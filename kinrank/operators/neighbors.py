@@ -61,6 +61,8 @@ def place(top: DataFrame, n_users: Column, k: int, counts) -> DataFrame:
     """
     down = top.filter(F.col("_sr") < 0)
     up = top.filter(F.col("_sr") > 0).select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim")
+    if down.isEmpty():  # a look at the written top rows; usually nobody keeps a negative
+        return up
     low = (down.join(counts(down.select(USER).distinct()), USER)
                .withColumn("pos", (F.col("_rn") + n_users - 1 - F.col("_nnz")).cast("bigint"))
                .filter(F.col("pos") <= k).select(USER, "pos", NEIGHBOR, "sim"))
