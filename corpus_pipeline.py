@@ -48,14 +48,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; texts
-    without words stay. Rows with the same id and text are one document, and
-    a group whose members have no id stays whole."""
-    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
-    found = jaccard.jaccard_join(keyed, words=WORDS, percent=PERCENT)
-    stays = (F.col("n_shingles") == 0) | F.col("component").isNull() | (
-        F.col("id").isNotNull() & (F.col("id") == F.col("component")))
-    return keyed.join(found.filter(stays).select(f"rest.{KEY}"), KEY, "left_semi").select(*docs.columns)
+    """One row of each group stays, whatever ids its members share or lack:
+    the one with the smallest id (null ids last), then the smallest hash of
+    its text, then the smallest row key, which is written with the rows. Texts
+    without words stay."""
+    keyed = written(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+    named = keyed.select("doc_id", "text", KEY, F.xxhash64("text").alias(f"{KEY}_text"))
+    found = jaccard.jaccard_join(named, words=WORDS, percent=PERCENT).select("id", "group", "rest")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", f"rest.{KEY}_text", f"rest.{KEY}")
+    first = found.filter("group is not null").groupBy("group").agg(F.min(order).alias("first"))
+    stays = first.select(f"first.{KEY}").unionByName(found.filter("group is null").select(f"rest.{KEY}"))
+    return keyed.join(stays, KEY, "left_semi").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -217,8 +217,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``percent`` / 100, linked directly or through others.
 
     Returns ``id, rest, n_shingles, n_links`` (other rows linked directly,
-    equal sets included) and ``component`` (smallest id in the group), one row
-    per input row. Words are runs of anything but ASCII white space, A-Z
+    equal sets included), ``component`` (smallest id in the group) and
+    ``group`` (a number of the group's own, whatever its ids; null for the
+    empty set), one row per input row. Words are runs of anything but ASCII white space, A-Z
     folded; a text with fewer than ``words`` words has one shingle.
 
     Defined cases: a null or empty text, or one of white space alone, has the
@@ -293,15 +294,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = components(met.select(F.col("c").alias("a"), F.col("root").alias("b")))
     least = (groups.join(classes.select(F.col("c").alias("node"), "least"), "node")
              .groupBy("root").agg(F.min("least").alias("component")))
-    found = (groups.join(least, "root").select(F.col("node").alias("c"), "component")
+    found = (groups.join(least, "root").select(F.col("node").alias("c"), "root", "component")
              .join(met.groupBy("c").agg(F.sum("links").alias("links")), "c"))
     per_class = (classes.join(found, "c", "left")
-                 .select("c", F.coalesce("component", "least").alias("component"),
+                 .select("c", F.coalesce("component", "least").alias("component"), F.coalesce("root", "c").alias("group"),
                          (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("links")))
     return (rows.join(per_class, "c", "left")
             .select("id", "rest", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")))
+                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"), "group"))
 
 
 def q_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each stage against brute force on what the stage before it kept."""
 
+import random
 import zlib
 
 import numpy as np
@@ -122,3 +123,40 @@ def test_empty_table(spark, nothing):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF_SMALL)
     assert docs.count() == 0
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    rng = random.Random(21)
+
+    def prose(tag, n=80):
+        return " ".join(f"{tag}{rng.randrange(10 ** 6)}" for _ in range(n))
+    a, b, c, d, e, f = (prose(t) for t in "abcdef")
+    rows = [(1, a), (1, a), (1, a),                          # repeated rows
+            (2, b), (2, b + " more"), (2, c),                # near copies and another text under one id
+            (None, d), (None, d), (None, d + " more"),       # a group without ids
+            (None, e), (7, e + " more"), (9, e),             # the id wins over none
+            (None, f), (30, None), (30, None), (31, " ")]    # alone; texts without words stay
+    docs = frame(spark, rows)
+    kept = rows_of(cp.jaccard_join(spark, docs, SF_SMALL))
+    assert len(kept) == 9
+    assert [r for r in kept if r[0] not in (2, None)] == sorted(
+        [(1, a), (7, e + " more"), (30, None), (30, None), (31, " ")], key=repr)
+    two, none = [t for i, t in kept if i == 2], [t for i, t in kept if i is None]
+    assert c in two and len(two) == 2 and f in none and len(none) == 2
+    after = rows_of(cp.substring_dedup(spark, cp.jaccard_join(spark, docs, SF_SMALL), SF_SMALL))
+    assert after == sorted([(i, t or "") for i, t in kept], key=repr)  # no copy is left to empty the others
+
+
+def test_rows_are_counted_by_group(chain):
+    _, out = chain
+    before, after = out["jaccard_join"]
+    given = rows_of(before)
+    sets = [brute.shingles(t, 5) for _, t in given]
+    root = list(range(len(given)))
+    for i in range(len(given)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    assert after.count() == len({r for r, s in zip(root, sets, strict=True) if s}) + sum(not s for s in sets)
