@@ -25,8 +25,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other columns as a struct, so names cannot clash), one row per input row.
 
     Defined cases: a null or empty text is one empty line and stays; rows that
-    share an id are one document for the count (null ids together are one);
-    equal rows give equal rows; an empty table gives an empty table; a text
+    share an id are one document for the count, of those without an id the rows
+    that share a text; equal rows give equal rows; an empty table gives an empty table; a text
     that loses every line becomes the empty text. Keys are compared by a
     96-bit hash. A hot line is counted from partial aggregates, and its lines
     meet the dropped keys in ``SALTS`` parts.
@@ -37,7 +37,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("k", "id", "pos", fold_ascii(F.trim("line", F.lit(ASCII_SPACE))).alias("key"))
              .filter(F.length("key") >= min_chars)
              .select("k", "id", "pos", F.xxhash64("key").alias("h"), F.hash("key").alias("g")))
-    frequent = (lines.groupBy("h", "g").agg(F.count_distinct(F.struct("id")).alias("n"))
+    # without an id a text is a document of its own
+    document = F.struct("id", F.when(F.col("id").isNull(), F.col("k")))
+    frequent = (lines.groupBy("h", "g").agg(F.count_distinct(document).alias("n"))
                 .filter(F.col("n") >= min_docs).select("h", "g"))
     # a hot line's rows are dealt over SALTS copies of its key
     frequent = frequent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

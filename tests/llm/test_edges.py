@@ -42,6 +42,13 @@ def test_lines(spark, edges, nothing):
     assert lines.line_dedup(nothing).count() == 0
 
 
+def test_lines_of_documents_without_an_id(spark):
+    rows = [(None, f"shared\nown {k}") for k in range(3)] + [(None, "twice")] * 3 + [(7, "seven"), (7, "seven\nmore")]
+    got = lines.line_dedup(frame(spark, rows), min_docs=3).select("kept_text").collect()
+    assert sorted(r["kept_text"] for r in got) == sorted(
+        ["own 0", "own 1", "own 2", *["twice"] * 3, "seven", "seven\nmore"])
+
+
 @pytest.mark.parametrize("k, percent, blocks", [(4, 85, 1 << 18), (5, 80, 40), (2, 60, 40), (1, 50, 10)])
 def test_jaccard(spark, edges, k, percent, blocks):
     got = jaccard.jaccard_join(edges, words=k, percent=percent, slice_bytes=4000, block_shingles=blocks,
