@@ -320,6 +320,28 @@ def test_near_pairs(spark, radius, agree):
     assert got == {w for w in want if w[2] <= radius}
 
 
+def test_query_finds_near_texts(spark, tmp_path):
+    rng = random.Random(12)
+    rows = []
+    for g in range(6):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(1500)]
+        for copy in range(3):
+            ws = list(base)
+            for p in rng.sample(range(1500), copy):
+                ws[p] = f"new{rng.randrange(10 ** 6)}"
+            rows.append((10 * g + copy, " ".join(ws)))
+    rows += [(100, rows[0][1]), (101, rows[0][1]), (None, rows[0][1]), (102, None), (103, ""), (104, "a few words")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = simhash.q_simhash(spark, str(tmp_path)).collect()
+    prints = [_bits(r["fingerprint"]) for r in got]
+    want = [sum((p ^ q).bit_count() <= simhash.RADIUS for q in prints) - 1 if p else 0 for p in prints]
+    assert len(got) == len(rows) and [r["n_near"] for r in got] == want
+    assert all(r["n_near"] >= 3 for r in got if r["doc_id"] in (0, 100, 101, None))
+    assert sum(r["n_near"] >= 2 for r in got if r["doc_id"] in range(60)) >= 12  # not equal texts, near ones
+    assert [r["n_near"] for r in got if r["doc_id"] in (102, 103, 104)] == [0, 0, 0]
+    assert simhash.near_documents(frame(spark, [])).count() == 0
+
+
 def test_rules(spark, edges, nothing):
     got = rules.host_rules(edges).select("rest.doc_id", *rules._COLUMNS).collect()
     assert bag(map(tuple, got)) == expect(ROWS, [brute.rules(t) for _, t in ROWS])
