@@ -91,7 +91,7 @@ def test_changed_input_gives_a_new_answer(spark, tmp_path):
     """Nothing is remembered between queries, whatever the path looks like."""
     import shutil
     for n in ("orders", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{n}.parquet", tmp_path / f"{n}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{n}.parquet", tmp_path / f"{n}.parquet")
     where = f"file://{tmp_path}"
     whole = entry.queries()["rating_stats"](spark, where).first()["n"]
     import pyarrow.parquet as pq
