@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, debruijn, jaccard, langid, lines, packing, quality, rules, simhash, suffixes
+from kinrank.llm import bpe, debruijn, jaccard, langid, lines, packing, quality, rules, search, simhash, suffixes
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_simhash": simhash.q_simhash,
         "op9_suffix": suffixes.q_suffix,
         "op10_host_rules": rules.q_host_rules,
+        "op12_search": search.q_search,
     }
 
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring": debruijn.SQL,
         "op9_suffix": suffixes.SQL,
         "op10_host_rules": rules.SQL,
+        "op12_search": search.SQL,
     }
