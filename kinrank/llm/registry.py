@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, debruijn, jaccard, langid, lines, packing, quality, rules, search, simhash, suffixes
+from kinrank.llm import bpe, debruijn, jaccard, langid, lines, mixing, packing, quality, rules, search, simhash, suffixes
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_suffix": suffixes.q_suffix,
         "op10_host_rules": rules.q_host_rules,
         "op12_search": search.q_search,
+        "op13_mixing": mixing.q_mixing,
     }
 
 
