@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from kinrank.llm import bpe, debruijn, jaccard, langid, lines, mixing, packing, quality, rules, search, simhash, suffixes
+from kinrank.llm import (bpe, conversations, debruijn, jaccard, langid, lines, mixing, packing, quality, rules, search,
+                         simhash, suffixes)
 
 
 def queries() -> dict:
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op8_simhash": simhash.q_simhash,
         "op9_suffix": suffixes.q_suffix,
         "op10_host_rules": rules.q_host_rules,
+        "op11_conversations": conversations.q_conversations,
         "op12_search": search.q_search,
         "op13_mixing": mixing.q_mixing,
     }
@@ -29,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring": debruijn.SQL,
         "op9_suffix": suffixes.SQL,
         "op10_host_rules": rules.SQL,
+        "op11_conversations": conversations.SQL,
         "op12_search": search.SQL,
     }
