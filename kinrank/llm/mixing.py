@@ -35,6 +35,8 @@ BROADCAST_SOURCES = 100_000
 SALTS = 64                 # copies of a source's row where its documents are many
 SEED = 20
 LANDING = 14               # documents of a source whose choices are all looked at
+LARGE = 4                  # times the mean size: documents decided first
+LARGE_TRIES = 50
 NEAR = 1e-9                # a probability this near to 0 or 1 is decided
 
 
@@ -87,6 +89,42 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return state.select("number", "source", "n", "source_size", target.alias("target"))
 
 
+def moved(p: np.ndarray, way: np.ndarray, draw: float) -> np.ndarray:
+    """``p`` moved along ``way``, forwards or backwards as far as one of them
+    reaches 0 or 1, at random so that each one's expected value stays."""
+    up, down = way > 0, way < 0
+    ahead = min(np.min((1 - p[up]) / way[up], initial=np.inf), np.min(p[down] / -way[down], initial=np.inf))
+    back = min(np.min(p[up] / way[up], initial=np.inf), np.min((1 - p[down]) / -way[down], initial=np.inf))
+    out = p + way * (ahead if draw * (ahead + back) < back else -back)
+    return np.where((out > NEAR) & (out < 1 - NEAR), out, np.round(out))
+
+
+def large_first(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Documents of many times the mean size decided, against all others.
+
+    Among three documents a large one hardly moves, and it would be left for
+    the landing. The direction is 1 for the large one and ``x + y * size`` for
+    the others, so that again neither sum changes.
+    """
+    p = p.copy()
+    for big in np.argsort(-size, kind="stable"):
+        if size[big] <= LARGE * max(1.0, size.mean()):
+            break
+        for _ in range(LARGE_TRIES):
+            rest = np.flatnonzero((p > NEAR) & (p < 1 - NEAR) & (size <= size[big]))
+            rest = rest[rest != big]
+            s = size[rest].astype(float)
+            n, s1, s2 = len(rest), s.sum(), (s * s).sum()
+            if not NEAR < p[big] < 1 - NEAR or n * s2 - s1 * s1 <= 0.5:
+                break
+            y = (s1 - n * size[big]) / (n * s2 - s1 * s1)
+            way = np.zeros(len(p))
+            way[rest], way[big] = (-1 - y * s1) / n + y * s, 1
+            at = np.append(rest, big)
+            p[at] = moved(p[at], way[at], rng.random())
+    return p
+
+
 def flight(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Probabilities after the flight: all but two at most are 0 or 1, and
     ``sum(p)`` and ``sum(p * size)`` are what they were.
@@ -94,9 +132,9 @@ def flight(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndar
     Of three undecided documents a, b, c the direction (b - c, c - a, a - b)
     in their sizes changes neither sum. It is taken forwards or backwards as
     far as one of them is decided, at random so that each document's expected
-    probability stays.
+    probability stays (``moved``, written out for three).
     """
-    out = [float(x) for x in p]
+    out = large_first(size, p, rng).tolist() if len(p) else []
     sizes = size.tolist()
     draw = iter(rng.random(len(out) + 1).tolist())
     hold: list[int] = []
