@@ -224,10 +224,12 @@ def brute_targets(sizes, weights=(5, 2, 1), most=3):
         full |= more
 
 
-def check_mix(rows, got, near):
-    sizes = Counter()
+def check_mix(rows, got):
+    sizes, largest = Counter(), Counter()
     for r in rows:
-        sizes[r[3]] += len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+        sizes[r[3]] += n
+        largest[r[3]] = max(n, largest[r[3]])
     want, taken = brute_targets(sizes), Counter()
     assert len(got) == len(rows)
     for r in got:
@@ -237,14 +239,14 @@ def check_mix(rows, got, near):
         assert math.floor(rate + 1e-9) <= r["copies"] <= math.ceil(rate - 1e-9) or r["copies"] == round(rate)
         taken[r["source"]] += r["size"] * r["copies"]
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= near, (s, taken[s], want[s])
+        assert abs(taken[s] - want[s]) <= largest[s], (s, taken[s], want[s])  # whole documents
 
 
 def test_targets_stop_and_share_again(spark):
     rows = [(i, "w " * (i % 7), "en", s) for i, s in enumerate(["a"] * 3 + ["b"] * 200 + ["c"] * 30 + [None] * 9 + ["Z"] * 4)]
     rows += [(900 + i, "", "en", "empty") for i in range(3)]
     got = mixing.mix(frame(spark, rows), block=8).collect()  # many blocks and levels
-    check_mix(rows, got, 7)
+    check_mix(rows, got)
     assert {r["copies"] for r in got if r["source"] == "empty"} == {0}
     assert {r["target"] for r in got if r["source"] == "Z"} == {3.0 * sum((i % 7) for i in range(242, 246))}
 
@@ -257,7 +259,7 @@ def test_mix_of_edge_rows(spark, nothing, monkeypatch, broadcast):
     rows += [(1000 + i, "word " * rng.randrange(1, 60), "en", rng.choice(["a", "a", "b", "c", None])) for i in range(400)]
     df = frame(spark, rows)
     one = mixing.mix(df, block=64).collect()
-    check_mix(rows, one, 400)  # one text holds more than half of its source
+    check_mix(rows, one)
     again = mixing.mix(df.repartition(5), block=64).collect()
     assert sorted(map(str, one)) == sorted(map(str, again))  # reruns agree
     assert mixing.mix(nothing).count() == 0
