@@ -243,16 +243,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = goal.withColumn("share", F.least(share, F.lit(float(most)))).withColumn(
         "sure", F.floor(F.col("share") + NEAR).cast("bigint"))
     goal = goal.withColumn("p", F.greatest(F.col("share") - F.col("sure"), F.lit(0.0))).drop("share")
+    goal = goal.withColumnRenamed("source", "of")
+    same = F.col("source").eqNullSafe(F.col("of"))
     if goal.count() <= BROADCAST_SOURCES:
-        joined = rows.join(F.broadcast(goal), rows["source"].eqNullSafe(goal["source"])).drop(goal["source"])
-    else:  # a source's documents are dealt over copies of its row
-        salted = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > block, SALTS - 1).otherwise(0))))
-        side = rows.withColumn("salt0", F.pmod(F.col("h"), F.lit(SALTS)).cast("int"))
-        hot = goal.filter(F.col("n") > block).select(F.col("source").alias("hot"))  # the large ones alone
-        side = side.join(hot, side["source"].eqNullSafe(hot["hot"]), "left_semi").withColumn("salt", F.col("salt0")).unionByName(
-            side.join(hot, side["source"].eqNullSafe(hot["hot"]), "left_anti").withColumn("salt", F.lit(0)))
-        joined = side.join(salted, side["source"].eqNullSafe(salted["source"]) & (side["salt"] == salted["salt"])
-                           ).drop(salted["source"], salted["salt"], "salt0").drop("salt")
+        joined = rows.join(F.broadcast(goal), same).drop("of")
+    else:  # the documents of large sources are dealt over copies of its row
+        large = goal.filter(F.col("n") > block).select("of")  # at most 1 / block of all documents
+        salt = F.pmod(F.col("h"), F.lit(SALTS)).cast("int")
+        side = rows.join(large, same, "left_semi").withColumn("salt", salt).unionByName(
+            rows.join(large, same, "left_anti").withColumn("salt", F.lit(0)))
+        copies = F.sequence(F.lit(0), F.when(F.col("n") > block, SALTS - 1).otherwise(0))
+        salted = goal.withColumn("copy", F.explode(copies))
+        joined = side.join(salted, same & (F.col("salt") == F.col("copy"))).drop("of", "salt", "copy")
     drawn = balanced_sample(joined, block)
     return drawn.select("id", "rest", "source", "size", "source_size", "target",
                         (F.col("sure") + F.col("p").cast("bigint")).alias("copies"))
