@@ -4,10 +4,12 @@ brute force, with small slices, blocks and chunks so that all seams are met."""
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -285,24 +287,76 @@ def test_fingerprints(spark, edges, nothing):
     assert simhash.fingerprints(nothing).count() == 0
 
 
-def test_edited_texts(spark, edges, nothing):
-    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0)))
-    got = simhash.edited_likeness(edges, group_bytes=3000).collect()
-    assert len(got) == len(ROWS)
-    by = {r["id"]: r for r in got if r["id"] is not None}
+def spark_hash(*values, seed=42):
+    """Spark's xxhash64: each value hashed with the hash so far as seed."""
+    for v in values:
+        if v is not None:
+            raw = v.encode() if isinstance(v, str) else v.to_bytes(8 if isinstance(v, Wide) else 4, "little", signed=True)
+            seed = xxhash.xxh64_intdigest(raw, seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+class Wide(int):
+    """A long."""
+
+
+def voted(text):
+    """The fingerprint by counting votes one by one."""
+    ws = [w for w in re.split("[ \\t\\n\\x0B\\f\\r]+", text or "") if w]
+    bits = [0] * 128
+    for i, w in enumerate(ws):
+        a = spark_hash(*ws[i:i + simhash.WIDTH])
+        b = spark_hash(Wide(a), len(w))
+        for j in range(64):
+            bits[j] += 1 if a >> j & 1 else -1
+            bits[64 + j] += 1 if b >> j & 1 else -1
+    word = [sum(1 << j for j in range(64) if bits[64 * k + j] > 0) for k in (0, 1)]
+    return f"{word[0]:016x}{word[1]:016x}"
+
+
+def test_votes_are_counted(edges):
+    want = {(i, voted(t)) for i, t in ROWS}
+    assert {(r["id"], r["fingerprint"]) for r in simhash.fingerprints(edges).collect()} == want
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 22, 3000, 200])
+def test_edited_texts(spark, edges, nothing, group_bytes):
+    def key(r):
+        i, text = r[0], r[1] or ""
+        return (i is not None, i or 0, spark_hash(None if i is None else Wide(i), text))
+    rows = ROWS + [(None, f"null {j} " * 9) for j in range(40)]  # many null ids, dealt over groups
+    order = sorted(rows, key=key, reverse=True)
+    got = simhash.edited_likeness(frame(spark, rows), group_bytes=group_bytes).collect()
+    want = []
     for k, (i, text) in enumerate(order):
-        # the next of the last id is the first null id, which is ordered by hash
-        if i is None or i in (1, 9, 10):
-            continue
-        text, after = text or "", order[k + 1][1] or ""
+        text, after = text or "", order[(k + 1) % len(order)][1] or ""
         half = len(text) // 2
-        want = text[:len(text) - half] + after[:half]
-        assert by[i]["edited_sha256"] == hashlib.sha256(want.encode()).hexdigest(), i
+        edited = text[:len(text) - half] + after[:half]
+        want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), voted(text), voted(edited)))
+    assert bag((r["id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"])
+               for r in got) == bag(want)
     assert simhash.edited_likeness(nothing).count() == 0
     one = simhash.edited_likeness(frame(spark, [(1, "abcdef")])).collect()  # the next one is itself
     assert one[0]["edited_sha256"] == hashlib.sha256(b"abcabc").hexdigest()
 
 
+def test_null_ids_are_dealt_over_groups(spark):
+    rows = [(None, f"text {j} " * 20) for j in range(300)] + [(j, f"other {j} " * 20) for j in range(300)]
+    sizes = (simhash.next_documents(frame(spark, rows), group_bytes=4000).filter("ghost = 0").groupBy("g").count()
+             .collect())
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 100
+
+
+def test_no_text_is_shuffled_for_a_groups_head(spark):
+    """The heads are broadcast by their bound, whatever Spark's estimate."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash.next_documents(frame(spark, ROWS), group_bytes=3000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 @pytest.mark.parametrize("radius, agree", [(0, 1), (3, 3), (7, 2)])
 def test_near_pairs(spark, radius, agree):
     rng = random.Random(8)
