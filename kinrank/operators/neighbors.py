@@ -15,6 +15,8 @@ Similarities are compared at 9 decimals (``rank_key``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,32 +42,37 @@ def bucket_hash(user: Column, bucket) -> Column:
     return (h1 * h1) % HASH_MOD
 
 
-def top_similarities(sims: DataFrame, k: int) -> DataFrame:
-    """``user_id, _rn, neighbor_id, sim, _sr``: each user's ``k`` largest
-    non-zero similarities by (s desc, neighbor desc). The similarities stream
-    from their aggregation through a partial top-k into the shuffle; at most
-    ``users x k`` rows are written."""
+def ranked_top(sims: DataFrame, k: int, by: tuple[str, ...] = (USER,)) -> DataFrame:
+    """``by, _rn, neighbor_id, sim, _sr``: the ``k`` largest non-zero
+    similarities of each group by (s desc, neighbor desc)."""
     nz = sims.withColumn("_sr", rank_key(F.col("sim"))).filter(F.col("_sr") != 0)
-    win = Window.partitionBy(USER).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
+    win = Window.partitionBy(*by).orderBy(F.col("_sr").desc(), F.col(NEIGHBOR).desc())
     top = nz.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") <= k)
-    return materialize(top.select(USER, "_rn", NEIGHBOR, "sim", "_sr"), "top-similarities")
+    return top.select(*by, "_rn", NEIGHBOR, "sim", "_sr")
+
 
+def top_similarities(sims: DataFrame, k: int, by: tuple[str, ...] = (USER,)) -> DataFrame:
+    """``ranked_top``, written. The similarities stream from their aggregation
+    through a partial top-k into the shuffle; at most ``groups x k`` rows are
+    written."""
+    return materialize(ranked_top(sims, k, by), "top-similarities")
 
-def place(top: DataFrame, n_users: Column, k: int, counts) -> DataFrame:
-    """``user_id, pos, neighbor_id, sim`` for ``pos <= k`` from the top rows.
+
+def place(top: DataFrame, n_users: Column, k: int, counts, by: tuple[str, ...] = (USER,)) -> DataFrame:
+    """``by, pos, neighbor_id, sim`` for ``pos <= k`` from the top rows.
 
     Positives come first, so for them ``pos = rn``. A negative is among the
-    top ``k`` only when its user has fewer than ``k`` positives; the zeros
-    stand before it: ``pos = rn + N - 1 - n_nonzero(u)``. ``counts(users)``
-    gives ``user_id, _nnz`` and is asked for those users alone.
+    top ``k`` only when its group has fewer than ``k`` positives; the zeros
+    stand before it: ``pos = rn + N - 1 - n_nonzero(u)``. ``counts(groups)``
+    gives ``by, _nnz`` and is asked for those groups alone.
     """
     down = top.filter(F.col("_sr") < 0)
-    up = top.filter(F.col("_sr") > 0).select(USER, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim")
+    up = top.filter(F.col("_sr") > 0).select(*by, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim")
     if down.isEmpty():  # a look at the written top rows; usually nobody keeps a negative
         return up
-    low = (down.join(counts(down.select(USER).distinct()), USER)
+    low = (down.join(counts(down.select(*by).distinct()), list(by))
                .withColumn("pos", (F.col("_rn") + n_users - 1 - F.col("_nnz")).cast("bigint"))
-               .filter(F.col("pos") <= k).select(USER, "pos", NEIGHBOR, "sim"))
+               .filter(F.col("pos") <= k).select(*by, "pos", NEIGHBOR, "sim"))
     return up.unionByName(low)
 
 
@@ -132,15 +139,27 @@ class BucketRows:
         self.rows = materialize(rows, "bucket-rows")
         self.cells = HotItems(self.rows, block=block)
 
-    def similarities(self, users: DataFrame | None = None) -> DataFrame:
-        """``u, v, cos`` for pairs that share a bucket: u < v, or with
-        ``users`` both directions for these. Inside a bucket the sum over
-        common items is the exact similarity (a user's rows are whole in each
-        bucket), so a pair that shares several buckets has equal sums and one
-        of them is kept."""
+    def sums(self, users: DataFrame | None = None) -> DataFrame:
+        """``u, v, bucket, cos`` for pairs inside a bucket: u < v, or with
+        ``users`` both directions for these."""
         p = corated(self.rows, ["w", "b"], hot=self.cells, left_users=users, directed=users is not None)
-        sums = p.groupBy("u", "v", F.col("b_u").alias("b")).agg(F.sum(F.col("w_u") * F.col("w_v")).alias("cos"))
-        return sums.groupBy("u", "v").agg(F.min_by("cos", "b").alias("cos"))
+        return p.groupBy("u", "v", F.col("b_u").alias("bucket")).agg(F.sum(F.col("w_u") * F.col("w_v")).alias("cos"))
+
+    def similarities(self, users: DataFrame | None = None) -> DataFrame:
+        """``u, v, cos`` for pairs that share a bucket (see ``sums``). Inside a
+        bucket the sum over common items is the exact similarity (a user's rows
+        are whole in each bucket), so a pair that shares several buckets has
+        equal sums and one of them is kept."""
+        return self.sums(users).groupBy("u", "v").agg(F.min_by("cos", "bucket").alias("cos"))
+
+    def top(self, k: int) -> DataFrame:
+        """The ``k`` largest of each bucket and user, written: ``users x
+        replication x k`` rows at most."""
+        sums = self.sums()
+        sims = reduce(DataFrame.unionByName, [
+            sums.select("bucket", F.col(a).alias(USER), F.col(b).alias(NEIGHBOR), F.col("cos").alias("sim"))
+            for a, b in (("u", "v"), ("v", "u"))])
+        return top_similarities(sims, k, ("bucket", USER))
 
 
 def approx_similarities(prep: Prepared, n_buckets: int, replication: int,
@@ -149,13 +168,66 @@ def approx_similarities(prep: Prepared, n_buckets: int, replication: int,
     return BucketRows(prep, n_buckets, replication, hot.block if hot else DEFAULT_BLOCK).similarities()
 
 
+def bucket_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
+               hot: HotItems | None = None) -> DataFrame:
+    """kNN inside each bucket: ``bucket, user_id, pos, neighbor_id, sim``. A
+    bucket's candidates are all train users; those outside it count as zeros."""
+    rows = BucketRows(prep, n_buckets, replication, hot.block if hot else DEFAULT_BLOCK)
+
+    def counts(some: DataFrame) -> DataFrame:
+        again = rows.sums(some.select(USER).distinct()).filter(rank_key(F.col("cos")) != 0)
+        return again.groupBy("bucket", F.col("u").alias(USER)).agg(F.count(F.lit(1)).alias("_nnz"))
+    return place(rows.top(k), prep.n_users(), k, counts, ("bucket", USER))
+
+
 def approx_knn(prep: Prepared, k: int, n_buckets: int, replication: int,
                hot: HotItems | None = None) -> DataFrame:
-    """Approximate kNN: positions over co-bucketed pairs, ``N`` = all train
-    users (users sharing no bucket count as zero-similarity candidates)."""
+    """Approximate kNN in two levels: the top ``k`` of each bucket and user,
+    then merged, one row of a pair that shares several buckets, and cut again.
+    Positions are over co-bucketed pairs, ``N`` = all train users (users
+    sharing no bucket count as zero-similarity candidates)."""
     rows = BucketRows(prep, n_buckets, replication, hot.block if hot else DEFAULT_BLOCK)
+    merged = rows.top(k).groupBy(USER, NEIGHBOR).agg(F.min_by("sim", "bucket").alias("sim"))
 
     def counts(some: DataFrame) -> DataFrame:
         again = rows.similarities(some).filter(rank_key(F.col("cos")) != 0)
         return again.groupBy(F.col("u").alias(USER)).agg(F.count(F.lit(1)).alias("_nnz"))
-    return place(top_similarities(directed(rows.similarities(), "cos"), k), prep.n_users(), k, counts)
+    return place(top_similarities(merged, k), prep.n_users(), k, counts)
+
+
+def neighbor_overlap(exact: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """``by, n_exact, n_found, recall``: for each group of neighbour tables in
+    ``found``, how many of ``exact``'s (user, neighbour) rows it has."""
+    total = exact.agg(F.count(F.lit(1))).scalar()
+    hits = found.select(*by, USER, NEIGHBOR).join(
+        exact.select(USER, NEIGHBOR, F.lit(1).alias("_hit")), [USER, NEIGHBOR], "left")
+    return (hits.groupBy(*by).agg(F.count("_hit").alias("n_found"))
+            .select(*by, total.alias("n_exact"), "n_found", (F.col("n_found") / total).alias("recall")))
+
+
+def approx_knn_grid(prep: Prepared, k: int, grid: list[tuple[int, int]], stats: DataFrame) -> DataFrame:
+    """``n_buckets, replication, user_id, pos, neighbor_id, sim``: approximate
+    kNN for every (buckets, replication) of ``grid`` from one written table of
+    all pairs. A similarity does not depend on the buckets, so a setting only
+    says which pairs it sees; a pair is ranked once for each that sees it."""
+    users = prep.ustats.select(USER)
+    placed = users
+    for g, (n, r) in enumerate(grid):
+        placed = placed.join(bucket_arrays(users, n, r).withColumnRenamed("bks", f"_g{g}"), USER)
+    placed = materialize(placed, "placed")
+    sides = [placed.select(F.col(USER).alias(c), *[F.col(f"_g{g}").alias(f"_{c}{g}") for g in range(len(grid))])
+             for c in ("u", "v")]
+    seen = F.filter(F.array(*[F.when(F.arrays_overlap(f"_u{g}", f"_v{g}"), F.lit(g)) for g in range(len(grid))]),
+                    lambda g: g.isNotNull())
+    pairs = (stats.select("u", "v", "cos").join(sides[0], "u").join(sides[1], "v")
+             .select("u", "v", "cos", F.explode(seen).alias("_g")))
+    sims = reduce(DataFrame.unionByName, [
+        pairs.select("_g", F.col(a).alias(USER), F.col(b).alias(NEIGHBOR), F.col("cos").alias("sim"))
+        for a, b in (("u", "v"), ("v", "u"))])
+
+    def counts(some: DataFrame) -> DataFrame:
+        again = sims.join(some, ["_g", USER], "left_semi").filter(rank_key(F.col("sim")) != 0)
+        return again.groupBy("_g", USER).agg(F.count(F.lit(1)).alias("_nnz"))
+    got = place(top_similarities(sims, k, ("_g", USER)), prep.n_users(), k, counts, ("_g", USER))
+    n, r = (F.element_at(F.array(*[F.lit(x) for x in xs]), F.col("_g") + 1) for xs in zip(*grid, strict=True))
+    return got.select(n.alias("n_buckets"), r.alias("replication"), USER, "pos", NEIGHBOR, "sim")

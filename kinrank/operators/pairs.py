@@ -29,6 +29,7 @@ from kinrank.sources.schema import ITEM, USER
 DEFAULT_BLOCK = 4096
 BROADCAST_ROWS = 200_000
 PAIRS_PER_TASK = 1_000_000
+MOST_TASKS = 100_000  # beyond this a task has more pairs; they are streamed
 
 
 class HotItems:
@@ -55,7 +56,7 @@ class HotItems:
         self.pairs = float(row["pairs"] or 0.0)
         self.broadcastable = self.n <= broadcast_rows
         base = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.partitions = partitions or max(base, int(-(-self.pairs // pairs_per_task)))
+        self.partitions = partitions or max(base, min(MOST_TASKS, int(-(-self.pairs // pairs_per_task))))
 
     def attach(self, rows: DataFrame) -> DataFrame:
         side = F.broadcast(self.table) if self.broadcastable else self.table
@@ -85,23 +86,26 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], left_user: s
 
 
 def corated(rows: DataFrame, payload: list[str], hot: HotItems | None = None,
-            left_users: DataFrame | None = None, directed: bool = False) -> DataFrame:
+            left_users: DataFrame | None = None, directed: bool = False,
+            right_users: DataFrame | None = None) -> DataFrame:
     """Emit co-rated pairs.
 
     ``rows`` has ``user_id, item_id`` and the ``payload`` columns. The result
     has ``u, v, item_id`` and ``<col>_u`` / ``<col>_v`` for each payload
     column, one row per pair and shared item: ``u < v`` unless ``directed``
-    (then ``u != v``). ``left_users`` (one column ``user_id``) restricts ``u``
-    before the join.
+    (then ``u != v``). ``left_users`` and ``right_users`` (one column
+    ``user_id``) restrict ``u`` and ``v`` before the join.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(F.col(USER).alias(name), ITEM, *[F.col(c).alias(f"{c}_{name}") for c in payload])
-    if hot is not None and hot.n == 0 and left_users is None:
+    if hot is not None and hot.n == 0 and left_users is None and right_users is None:
         # one exchange, sized by pair work, feeds both sides of the join
         rows = rows.repartition(hot.partitions, ITEM)
     left, right = side(rows, "u"), side(rows, "v")
     if left_users is not None:
         left = left.join(left_users.select(F.col(USER).alias("u")), "u", "left_semi")
+    if right_users is not None:
+        right = right.join(right_users.select(F.col(USER).alias("v")), "v", "left_semi")
     cond = (F.col("u") != F.col("v")) if directed else (F.col("u") < F.col("v"))
     return salted_join(left, right, [ITEM], "u", "v", hot, cond, hot.partitions if hot else None)
 

@@ -32,6 +32,7 @@ from kinrank.operators.neighbors import approx_knn, knn
 from kinrank.operators.pairs import HotItems, raters_of
 from kinrank.operators.similarity import NEIGHBOR, pair_stats, self_similarity
 from kinrank.operators.stats import Prepared, item_stats
+from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, RATING, USER
 
 PRED = "prediction"
@@ -124,27 +125,29 @@ def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
     """``d`` over every rater of the item, weighted by the full cosine or
     Jaccard similarity.
 
-    The similarity stays in its ``u < v`` form, hash-partitioned by
-    ``(u, v)`` from its aggregation; candidate rows are keyed by
-    ``(least, greatest)`` of (user, rater) so the join reuses that
-    partitioning instead of mirroring and reshuffling every pair. The
+    Only the similarities of wanted pairs are aggregated: the (user, rater)
+    pairs that the candidates need, as ``u < v``, reduce the pair emission by a
+    semi-join before its aggregation. The candidates are written once, for the
+    semi-join and for the join with the similarities, both keyed by ``(u, v)``.
+    ``stats``: a written table of all pairs, where others need it too. The
     diagonal (a user rating the item itself) joins the per-user
     self-similarity.
     """
     col = "cos" if kind == "cosine" else "jac"
-    stats = stats if stats is not None else pair_stats(prep, hot)
 
     def some(df: DataFrame) -> DataFrame:
         return df.filter(round_half_up(F.col("sim"), zero_digits) != 0)
-    sims = some(stats.select("u", "v", F.col(col).alias("sim")))
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
-    cand = raters_of(pairs.select(USER, ITEM), raters, NEIGHBOR, hot)
-    other = (cand.filter(F.col(USER) != F.col(NEIGHBOR))
-                 .withColumn("u", F.least(USER, NEIGHBOR)).withColumn("v", F.greatest(USER, NEIGHBOR))
-                 .join(sims, ["u", "v"])
-                 .select(USER, ITEM, "sim", "dev"))
+    cand = (raters_of(pairs.select(USER, ITEM), raters, NEIGHBOR, hot)
+            .withColumn("u", F.least(USER, NEIGHBOR)).withColumn("v", F.greatest(USER, NEIGHBOR)))
+    if stats is None:
+        cand = materialize(cand, "candidates")
+        wanted = materialize(cand.filter(F.col("u") < F.col("v")).select("u", "v").distinct(), "wanted-pairs")
+        stats = pair_stats(prep, hot, wanted=wanted)
+    sims = some(stats.select("u", "v", F.col(col).alias("sim")))
+    other = cand.join(sims, ["u", "v"]).select(USER, ITEM, "sim", "dev")
     diag = some(self_similarity(prep, kind)).select(USER, "sim")
-    own = cand.filter(F.col(USER) == F.col(NEIGHBOR)).join(diag, USER).select(USER, ITEM, "sim", "dev")
+    own = cand.filter(F.col("u") == F.col("v")).join(diag, USER).select(USER, ITEM, "sim", "dev")
     return _ratio(other.unionByName(own).groupBy(USER, ITEM).agg(*_sums()), USER, ITEM)
 
 

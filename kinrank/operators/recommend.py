@@ -16,33 +16,37 @@ Work per user is bounded by what step 1 already touched, plus ``n``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.functions.formulas import predict_from, rank_key, safe_ratio
+from kinrank.functions.formulas import RATING_HI, RATING_LO, predict_from, rank_key, safe_ratio
 from kinrank.functions.ranking import dense_index
 from kinrank.operators.neighbors import knn
 from kinrank.operators.pairs import HotItems
-from kinrank.operators.predict import PRED
+from kinrank.operators.predict import PRED, predict_baseline, predict_global, predict_item_avg, predict_user_avg
 from kinrank.operators.similarity import NEIGHBOR
-from kinrank.operators.stats import Prepared
+from kinrank.operators.stats import Prepared, item_stats
 from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
 
 
-MAX_LISTED = 1000
+LISTED = 1000  # users of one block of ``unrated_items``
 
 
-def unrated_items(ratings: DataFrame, user_ids: list[int]) -> DataFrame:
+def unrated_items(ratings: DataFrame, user_ids: list[int], block: int = LISTED) -> DataFrame:
     """``user_id, item_id`` of items in ``ratings`` that each listed user has
-    not rated: users x items rows by nature, so the list has at most
-    ``MAX_LISTED`` users (``unrated_counts`` and ``recommend`` serve all)."""
-    if len(user_ids) > MAX_LISTED:
-        raise ValueError(f"more than {MAX_LISTED} users listed")
+    not rated: users x items rows by nature, made in blocks of ``block``
+    users. For everybody's best items see ``recommend`` and
+    ``recommend_ranked``, for their number ``unrated_counts``."""
     items = ratings.select(ITEM).distinct()
-    ids = F.array(*[F.lit(int(u)).cast("bigint") for u in user_ids])
-    return (items.select(F.explode(ids).alias(USER), ITEM)
-                 .join(ratings.select(USER, ITEM), [USER, ITEM], "left_anti"))
+    parts = []
+    for i in range(0, max(1, len(user_ids)), block):
+        ids = F.array(*[F.lit(int(u)) for u in user_ids[i:i + block]]).cast("array<bigint>")
+        parts.append(items.select(F.explode(ids).alias(USER), ITEM))
+    return (reduce(DataFrame.unionByName, parts)
+            .join(ratings.select(USER, ITEM), [USER, ITEM], "left_anti"))
 
 
 def unrated_counts(ratings: DataFrame) -> DataFrame:
@@ -101,7 +105,7 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
     needy = materialize(users.join(above, USER, "left")
                         .filter(F.coalesce(F.col("_above"), F.lit(0)) < n).select(USER), "needy")
     seen = rated.unionByName(reach.select(USER, ITEM)).join(needy, USER, "left_semi")
-    fill = (first_unseen(needy, seen, prep.dev.select(ITEM), n).join(ua, USER)
+    fill = (first_unseen(needy, seen, item_order(prep.dev.select(ITEM), F.lit(0)), n).join(ua, USER)
             .select(USER, ITEM, base.alias(PRED)))
 
     cands = scored.unionByName(fill)
@@ -111,22 +115,28 @@ def recommend(prep: Prepared, users: DataFrame | None, n: int, k: int,
                  .select(USER, "rank", ITEM, PRED))
 
 
-def first_unseen(users: DataFrame, seen: DataFrame, items: DataFrame, n: int,
-                 chunk: int = 256, spread: int = 32) -> DataFrame:
-    """``user_id, item_id``: for each user the ``n`` smallest items outside
-    its ``seen`` rows.
+def item_order(items: DataFrame, key: Column) -> DataFrame:
+    """``item_id, _rank``: the distinct items numbered by ``key`` descending,
+    equal keys by the smaller id."""
+    order = items.select(F.struct((-key).alias("key"), F.col(ITEM).alias("item")).alias("_order"))
+    return dense_index(order, "_order", "_rank").select(F.col("_order.item").alias(ITEM), "_rank")
+
+
+def first_unseen(users: DataFrame, seen: DataFrame, index: DataFrame, n: int,
+                 chunk: int = 256, per_copy: int = 10_000) -> DataFrame:
+    """``user_id, item_id``: for each user the first ``n`` items of ``index``
+    (``item_id, _rank`` from 1, see ``item_order``) outside its ``seen`` rows.
 
-    The distinct items are numbered in order and cut into chunks of ``chunk``
-    (at least ``n``). A chunk can hold an answer only while fewer than ``n``
-    unseen items stand before it, and since an unseen chunk has ``chunk`` of
-    them, such a chunk is the first one, one with seen items, or the next
-    after one with seen items. These few (user, chunk) rows meet the chunk's
-    items; the first chunks are everybody's, so they are spread over
-    ``spread`` copies by a hash of the user.
+    The order is cut into chunks of ``chunk`` items (at least ``n``). A chunk
+    can hold an answer only while fewer than ``n`` unseen items stand before
+    it, and since an unseen chunk has ``chunk`` of them, such a chunk is the
+    first one, one with seen items, or the next after one with seen items.
+    These few (user, chunk) rows meet the chunk's items. The first chunks are
+    everybody's: a chunk has a copy for each ``per_copy`` users who need it,
+    counted before, and the users are dealt over the copies by a hash.
     """
     chunk = max(chunk, n)
-    index = materialize(dense_index(items, ITEM, "_rank")
-                        .withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk)), "item-index")
+    index = materialize(index.withColumn("_chunk", F.floor((F.col("_rank") - 1) / chunk)), "item-index")
     seen = materialize(seen.select(USER, ITEM), "seen")
     before = Window.partitionBy(USER).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
     taken = (seen.join(index, ITEM).groupBy(USER, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
@@ -136,18 +146,69 @@ def first_unseen(users: DataFrame, seen: DataFrame, items: DataFrame, n: int,
             .unionByName(taken.filter(start - (F.col("_upto") - F.col("_c")) < n).select(USER, "_chunk"))
             .unionByName(taken.filter(start + chunk - F.col("_upto") < n)
                          .select(USER, (F.col("_chunk") + 1).alias("_chunk"))).distinct())
-    need = materialize(need.withColumn("_salt", F.pmod(F.xxhash64(USER), F.lit(spread)).cast("int")), "need")
-    copies = (index.join(need.select("_chunk").distinct(), "_chunk", "left_semi")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))))
+    need = materialize(need, "need")
+    spread = need.groupBy("_chunk").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_copy)).cast("int").alias("_copies"))
+    copies = (index.join(spread, "_chunk")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
+    # a chunk's number of copies is one number a chunk: thousands of users a row
+    dealt = (need.join(spread, "_chunk")
+             .withColumn("_salt", F.pmod(F.xxhash64(USER), F.col("_copies")).cast("int")).drop("_copies"))
     order = Window.partitionBy(USER).orderBy("_rank")
-    return (need.join(copies, ["_chunk", "_salt"]).join(seen, [USER, ITEM], "left_anti")
+    return (dealt.join(copies, ["_chunk", "_salt"]).join(seen, [USER, ITEM], "left_anti")
             .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).select(USER, ITEM))
 
 
+def recommend_ranked(prep: Prepared, kind: str, n: int, users: DataFrame | None = None) -> DataFrame:
+    """``user_id, rank, item_id, prediction``: the top ``n`` unrated items of
+    every train user (or of the train users in ``users``) by a predictor whose
+    order of items is the same for all: ``global``, ``user_avg`` (equal for
+    all items: by id), ``item_avg`` (by the item's average) and ``baseline``.
+
+    The items are ranked once and each user takes the first ``n`` unseen ones,
+    so nothing of users x items is scored. The baseline grows with the item's
+    average deviation, except that for a user whose average is the scale's
+    upper end all deviations from 0 up predict that end, and at the lower end
+    all from 0 down; these users have orders of their own. Averages and
+    deviations that agree at nine decimals are equal.
+    """
+    who = prep.ustats.select(USER, "user_avg")
+    if users is not None:
+        who = who.join(users.select(USER).distinct(), USER, "left_semi")
+    rated = prep.dev.select(USER, ITEM)
+    if kind in ("global", "user_avg"):
+        orders = [(F.lit(True), prep.dev.select(ITEM), F.lit(0.0))]
+    elif kind == "item_avg":
+        orders = [(F.lit(True), item_stats(prep.train), rank_key("item_avg"))]
+    elif kind == "baseline":
+        d, top, low = rank_key("avg_dev"), F.col("user_avg") >= RATING_HI, F.col("user_avg") <= RATING_LO
+        orders = [(~top & ~low, prep.item_dev, d), (top, prep.item_dev, F.least(d, F.lit(0.0))),
+                  (low, prep.item_dev, F.greatest(d, F.lit(0.0)))]
+    else:
+        raise ValueError(f"no order of items that holds for all users: {kind}")
+    found = []
+    for some, items, key in orders:
+        group = materialize(who.filter(some).select(USER), "ranked-users")
+        if group.isEmpty():
+            continue
+        index = item_order(items, key)
+        seen = rated if len(orders) == 1 and users is None else rated.join(group, USER, "left_semi")
+        index = materialize(index, "order")
+        found.append(first_unseen(group, seen, index, n).join(index, ITEM))
+    if not found:
+        found = [who.limit(0).select(USER, F.lit(0).cast("bigint").alias(ITEM), F.lit(0).cast("bigint").alias("_rank"))]
+    picked = reduce(DataFrame.unionByName, found)
+    predict = {"global": predict_global, "user_avg": predict_user_avg, "item_avg": predict_item_avg,
+               "baseline": predict_baseline}[kind]
+    w = Window.partitionBy(USER).orderBy("_rank")
+    return (predict(prep, picked).withColumn("rank", F.row_number().over(w).cast("bigint"))
+            .select(USER, "rank", ITEM, PRED))
+
+
 def recommend_by(ratings: DataFrame, user_ids: list[int], n: int, predictor) -> DataFrame:
     """``user_id, rank, item_id, prediction``: the top ``n`` unrated items of
     each listed user by any predictor (``pairs -> pairs + prediction``). Every
-    unrated item of these users is scored, so the list is a short one."""
+    unrated item of these users is scored, in blocks of users;
+    ``recommend_ranked`` and ``recommend`` serve everybody without that."""
     scored = predictor(unrated_items(ratings, user_ids))
     w = Window.partitionBy(USER).orderBy(rank_key(F.col(PRED)).desc(), F.col(ITEM).asc())
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)

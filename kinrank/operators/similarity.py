@@ -6,7 +6,8 @@
 Per-user facts (``w``, the user's item count) ride on the rating rows, so
 the pair rows carry everything and a single ``groupBy(u, v)`` (partial
 aggregation before its shuffle) yields cosine, Jaccard and the common-item
-count together; no per-pair lookups, no extra joins.
+count together; no per-pair lookups, no extra joins. Given pairs are compared
+by the users' lists instead, the shorter one leading.
 """
 
 from __future__ import annotations
@@ -16,17 +17,30 @@ from pyspark.sql import functions as F
 
 from kinrank.operators.pairs import HotItems, corated
 from kinrank.operators.stats import Prepared
+from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
 
 NEIGHBOR = "neighbor_id"
 
 
+# Users of up to so many ratings are compared as whole lists.
+LIST = 1024
+
+
 def pair_stats(prep: Prepared, hot: HotItems | None = None, left_users: DataFrame | None = None,
-               directed: bool = False) -> DataFrame:
+               directed: bool = False, wanted: DataFrame | None = None) -> DataFrame:
     """``u, v, n_common, cos, jac`` for co-rated pairs (``u < v`` unless
-    ``directed``)."""
-    p = corated(prep.w.select(USER, ITEM, "w", "n_user"), ["w", "n_user"], hot=hot, left_users=left_users,
-                directed=directed)
+    ``directed``). With ``wanted`` (distinct ``u, v`` in the same sense) only
+    these pairs are made: rows of other users never enter the join, and other
+    pairs of theirs leave before the aggregation."""
+    rows = prep.w.select(USER, ITEM, "w", "n_user")
+    right_users = None
+    if wanted is not None:
+        left_users = wanted.select(F.col("u").alias(USER)).distinct()
+        right_users = wanted.select(F.col("v").alias(USER)).distinct()
+    p = corated(rows, ["w", "n_user"], hot=hot, left_users=left_users, right_users=right_users, directed=directed)
+    if wanted is not None:
+        p = p.join(wanted.select("u", "v"), ["u", "v"], "left_semi")
     return _stats(p.groupBy("u", "v"))
 
 
@@ -38,27 +52,72 @@ def _stats(grouped) -> DataFrame:
                       (F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))).alias("jac"))
 
 
-def pair_items(prep: Prepared, pairs: DataFrame) -> DataFrame:
-    """One row for each given pair ``u, v`` and common item, with both users'
-    weights: the pair meets its first user's rows by user and then looks up
-    ``(v, item)``, a unique key, so no item's raters are multiplied."""
-    first = prep.w.select(F.col(USER).alias("u"), ITEM, F.col("w").alias("w_u"), F.col("n_user").alias("n_user_u"))
-    second = prep.w.select(F.col(USER).alias("v"), ITEM, F.col("w").alias("w_v"), F.col("n_user").alias("n_user_v"))
-    return pairs.select("u", "v").distinct().join(first, "u").join(second, ["v", ITEM])
-
-
-def similarity_of(prep: Prepared, pairs: DataFrame) -> DataFrame:
+def user_lists(prep: Prepared, most: int = LIST) -> DataFrame:
+    """``user_id, items, ws``: the sorted items of each user with at most
+    ``most`` ratings, and their weights in that order."""
+    rows = prep.w.filter(F.col("n_user") <= most)
+    both = F.array_sort(F.collect_list(F.struct(F.col(ITEM).alias("i"), F.col("w").alias("w"))))
+    lists = rows.groupBy(USER).agg(both.alias("_l"))
+    return lists.select(USER, F.transform("_l", lambda x: x["i"]).alias("items"),
+                        F.transform("_l", lambda x: x["w"]).alias("ws"))
+
+
+def _led(prep: Prepared, pairs: DataFrame) -> DataFrame:
+    """Distinct given pairs of known users with their counts, and which of the
+    two has the shorter list (``lead``) and the longer one (``other``)."""
+    n = prep.ustats.select(F.col(USER).alias("_id"), F.col("n").alias("_n"))
+    p = (pairs.select("u", "v").distinct()
+         .join(n.select(F.col("_id").alias("u"), F.col("_n").alias("n_u")), "u")
+         .join(n.select(F.col("_id").alias("v"), F.col("_n").alias("n_v")), "v"))
+    first = (F.col("n_u") < F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") <= F.col("v")))
+    return p.select("u", "v", "n_u", "n_v", F.when(first, F.col("u")).otherwise(F.col("v")).alias("lead"),
+                    F.when(first, F.col("v")).otherwise(F.col("u")).alias("other"),
+                    F.greatest("n_u", "n_v").alias("_longer"))
+
+
+def _intersected(prep: Prepared, led: DataFrame, most: int) -> DataFrame:
+    """Pairs of users with lists: the shorter list goes to the longer one, one
+    row a pair, with ``common``, the items of both, and all four lists."""
+    lists = user_lists(prep, most)
+    short = lists.select(F.col(USER).alias("lead"), F.col("items").alias("_i"), F.col("ws").alias("_w"))
+    long = lists.select(F.col(USER).alias("other"), F.col("items").alias("_j"), F.col("ws").alias("_x"))
+    return (led.filter(F.col("_longer") <= most).join(short, "lead").join(long, "other")
+            .withColumn("common", F.array_intersect("_i", "_j")))
+
+
+def _looked_up(prep: Prepared, led: DataFrame, most: int) -> DataFrame:
+    """Pairs with a longer list: one row for each item of the shorter list,
+    looked up by the unique key ``(other, item)``."""
+    first = prep.w.select(F.col(USER).alias("lead"), ITEM, F.col("w").alias("w_u"))
+    second = prep.w.select(F.col(USER).alias("other"), ITEM, F.col("w").alias("w_v"))
+    return led.filter(F.col("_longer") > most).join(first, "lead").join(second, ["other", ITEM])
+
+
+def similarity_of(prep: Prepared, pairs: DataFrame, most: int = LIST) -> DataFrame:
     """``u, v, n_common, cos, jac`` for each given pair (distinct); zeros
-    where the users share no item or one of them is unknown."""
-    found = _stats(pair_items(prep, pairs).groupBy("u", "v"))
+    where the users share no item or one of them is unknown. Lists of up to
+    ``most`` items are intersected whole, so no more rows than pairs arise;
+    longer ones are looked up item by item of the shorter list."""
+    led = materialize(_led(prep, pairs), "led-pairs")
+    dot = F.aggregate("common", F.lit(0.0), lambda acc, x: acc + F.element_at("_w", F.array_position("_i", x).cast("int"))
+                      * F.element_at("_x", F.array_position("_j", x).cast("int")))
+    by_list = _intersected(prep, led, most).select("u", "v", F.size("common").cast("bigint").alias("n_common"),
+                                                   dot.alias("cos"), "n_u", "n_v")
+    by_item = (_looked_up(prep, led, most).groupBy("u", "v")
+               .agg(F.count(F.lit(1)).alias("n_common"), F.sum(F.col("w_u") * F.col("w_v")).alias("cos"),
+                    F.max("n_u").alias("n_u"), F.max("n_v").alias("n_v")))
+    found = by_list.unionByName(by_item)
+    jac = F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))
     return (pairs.select("u", "v").distinct().join(found, ["u", "v"], "left")
             .select("u", "v", *[F.coalesce(c, F.lit(z)).alias(c)
-                                for c, z in (("n_common", 0), ("cos", 0.0), ("jac", 0.0))]))
+                                for c, z in (("n_common", 0), ("cos", 0.0))], F.coalesce(jac, F.lit(0.0)).alias("jac")))
 
 
-def common_items_of(prep: Prepared, pairs: DataFrame) -> DataFrame:
+def common_items_of(prep: Prepared, pairs: DataFrame, most: int = LIST) -> DataFrame:
     """``u, v, item_id``: the items that both users of each given pair rated."""
-    return pair_items(prep, pairs).select("u", "v", ITEM)
+    led = materialize(_led(prep, pairs), "led-pairs")
+    by_list = _intersected(prep, led, most).select("u", "v", F.explode("common").alias(ITEM))
+    return by_list.unionByName(_looked_up(prep, led, most).select("u", "v", ITEM))
 
 
 def common_items(prep: Prepared, hot: HotItems | None = None) -> DataFrame:

@@ -93,6 +93,14 @@ class Prepared:
         self.g = global_scalar(train)
         self._idev = None
 
+    @classmethod
+    def of(cls, ustats: DataFrame, w: DataFrame, item_dev: DataFrame | None = None) -> Prepared:
+        """From tables that are there already."""
+        prep = cls.__new__(cls)
+        prep.ustats, prep.w, prep.dev, prep.train = ustats, w, w, w.select(USER, ITEM, RATING)
+        prep.g, prep._idev = global_scalar(prep.train), item_dev
+        return prep
+
     @property
     def item_dev(self) -> DataFrame:
         if self._idev is None:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.functions.formulas import out, rank_key
+from kinrank.operators import bitmaps as bm
 from kinrank.operators import evaluate as ev
 from kinrank.operators import neighbors as nbm
 from kinrank.operators import predict as pr
@@ -22,8 +23,11 @@ from kinrank.operators import sets as st
 from kinrank.operators import similarity as sim
 from kinrank.operators import stats as ss
 from kinrank.operators.pairs import HotItems, raters_of
+from kinrank.operators.pruned import knn_pruned
+from kinrank.operators.state import RatingState
 from kinrank.session import materialize, scratch_path
 from kinrank.sources import fixtures as fx
+from kinrank.sources import layout as ly
 from kinrank.sources import readers as rd
 from kinrank.sources.schema import ITEM, RATING, USER
 
@@ -35,6 +39,7 @@ N_BUCKETS = 10         # approximate kNN: buckets
 REPLICATION = 2        # approximate kNN: buckets per user
 SWEEP_KS = [10, 30, 50, 100, 200, 300, 400, 800, 943]
 LIST_CHUNK = 1000      # members per row of a grouped list
+GRID = [(10, 1), (10, 2), (10, 4), (10, 8), (5, 2), (20, 2)]  # (buckets, buckets per user) of the recall report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,6 +160,43 @@ def q_neighbor_weights_of_pairs(spark, d):
     return nbm.neighbor_weights(nbm.knn(c.prep, K, c.hot), _candidates(c)).select("u", "v", out("weight").alias("weight"))
 
 
+def q_item_set_sizes(spark, d):
+    """Every user with the next user id: sizes of the union and intersection
+    of their item sets (a next id without ratings has an empty set)."""
+    c = Ctx(spark, d, heavy=True)
+    pairs = c.prep.ustats.select(F.col(USER).alias("u"), (F.col(USER) + 1).alias("v"))
+    return bm.set_sizes_of(c.train, pairs)
+
+
+def q_append_personal(spark, d):
+    """Item deviations after the personal ratings are appended to all others."""
+    c = Ctx(spark, d, heavy=True)
+    state = RatingState.of(c.ratings).append(fx.personal(spark, d))
+    return state.item_deviations().select(ITEM, "n", out("avg_dev").alias("avg_dev"))
+
+
+def q_append_ratings(spark, d):
+    """Baseline predictions for the pairs after the test ratings of every other
+    user are appended to train."""
+    c = Ctx(spark, d, heavy=True)
+    state = RatingState.of(c.train).append(c.test.filter(F.col(USER) % 2 == 0))
+    return _preds(pr.predict_baseline(state.prepared(), c.pairs()))
+
+
+def q_layout_by_user(spark, d):
+    """Test rows with their user's train average, both tables laid out by user."""
+    c = Ctx(spark, d, heavy=True)
+    train, test = (ly.write_bucketed(t, n, USER) for t, n in ((c.train, "train"), (c.test, "test")))
+    return test.join(ss.user_stats(train), USER).select(USER, ITEM, RATING, "n", out("user_avg").alias("user_avg"))
+
+
+def q_layout_by_item(spark, d):
+    """Test rows with their item's train average, both tables laid out by item."""
+    c = Ctx(spark, d, heavy=True)
+    train, test = (ly.write_bucketed(t, n, ITEM) for t, n in ((c.train, "train"), (c.test, "test")))
+    return test.join(ss.item_stats(train), ITEM).select(USER, ITEM, RATING, "n", out("item_avg").alias("item_avg"))
+
+
 def q_restrict_users(spark, d):
     c = Ctx(spark, d)
     return st.restrict_users(c.train, c.test)
@@ -216,6 +258,27 @@ def q_approx_knn_neighbors(spark, d):
     return _nb_out(nbm.approx_knn(c.prep, K, N_BUCKETS, REPLICATION, c.hot))
 
 
+def q_knn_neighbors_pruned(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    return _nb_out(knn_pruned(c.prep, K, c.hot))
+
+
+def q_bucket_knn_neighbors(spark, d):
+    c = Ctx(spark, d, heavy=True)
+    nb = nbm.bucket_knn(c.prep, K, N_BUCKETS, REPLICATION, c.hot)
+    return nb.select("bucket", USER, "pos", sim.NEIGHBOR, out("sim").alias("sim"))
+
+
+def q_approx_knn_recall(spark, d):
+    """How much of exact kNN the approximate form finds, by its setting."""
+    c = Ctx(spark, d, heavy=True)
+    stats = materialize(sim.pair_stats(c.prep, c.hot).select("u", "v", "cos"), "pair-stats")
+    exact = materialize(nbm.knn(c.prep, K, c.hot, stats=stats), "exact")
+    found = nbm.approx_knn_grid(c.prep, K, GRID, stats)
+    got = nbm.neighbor_overlap(exact, found, ["n_buckets", "replication"])
+    return got.select("n_buckets", "replication", "n_exact", "n_found", out("recall").alias("recall"))
+
+
 def q_weighted_deviation_knn(spark, d):
     c = Ctx(spark, d, heavy=True)
     p = c.pairs()
@@ -254,6 +317,7 @@ PREDICTORS = ["global", "user_avg", "item_avg", "baseline", "uniform", "cosine",
               "knn", "approx_knn"]
 
 
+PLAIN = ["global", "user_avg", "item_avg", "baseline"]  # no pairs of users
 HEAVY = {"cosine", "jaccard", "knn", "approx_knn"}
 
 
@@ -333,6 +397,14 @@ def q_recommend_top_n_baseline(spark, d):
     return top.select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED))
 
 
+def _ranked_query(kind: str) -> Query:
+    def q(spark, d):
+        c = Ctx(spark, d, heavy=True)
+        return rc.recommend_ranked(c.prep, kind, N_REC).select(USER, "rank", ITEM, out(pr.PRED).alias(pr.PRED))
+    q.__name__ = f"q_recommend_top_n_{kind}_all"
+    return q
+
+
 def q_recommend_with_titles(spark, d):
     top = _personal_top(spark, d)
     return (top.join(fx.titles(spark, d), ITEM, "left")
@@ -380,6 +452,27 @@ def q_metrics_report(spark, d):
     return reduce(DataFrame.unionByName, parts).select("section", "metric", out("value").alias("value"))
 
 
+def q_answers_report(spark, d):
+    """The answers file: averages, MAEs and predictions of the plain
+    predictors, written nested by section and read back by its schema."""
+    c = Ctx(spark, d, heavy=True)
+    p = c.prep
+    probe = spark.createDataFrame([(1, 1)], f"{USER} bigint, {ITEM} bigint")
+    both = (c.test.select(USER, ITEM, RATING, F.lit(False).alias("_probe"))
+            .unionByName(probe.select(USER, ITEM, F.lit(None).cast("double").alias(RATING), F.lit(True).alias("_probe"))))
+    parts = [ev.report([
+        ("averages", "global_avg", ss.global_average(c.train), "avg_rating"),
+        ("averages", "user_1_avg", p.ustats.filter(F.col(USER) == 1), "user_avg"),
+        ("averages", "item_1_avg", ss.item_stats(c.train).filter(F.col(ITEM) == 1), "item_avg"),
+        ("averages", "item_1_avg_dev", p.item_dev.filter(F.col(ITEM) == 1), "avg_dev")])]
+    parts += [ev.mae_and_probe(_predictor(kind)(c, both), "_probe", kind) for kind in PLAIN]
+    metrics = ["global_avg", "user_1_avg", "item_1_avg", "item_1_avg_dev", *PLAIN]
+    path = scratch_path(spark, "answers")
+    ev.write_answers(reduce(DataFrame.unionByName, parts), path, metrics)
+    return ev.flat_answers(ev.read_answers(spark, path, metrics), metrics).select(
+        "section", "metric", out("value").alias("value"))
+
+
 # ---------------------------------------------------------------- readers
 def q_read_ratings(spark, d):
     c = Ctx(spark, d)
@@ -445,6 +538,16 @@ def registry() -> dict[str, Query]:
         "recommend_top_n_baseline": q_recommend_top_n_baseline,
         "recommend_with_titles": q_recommend_with_titles,
         "metrics_report": q_metrics_report,
+        "answers_report": q_answers_report,
+        "knn_neighbors_pruned": q_knn_neighbors_pruned,
+        "bucket_knn_neighbors": q_bucket_knn_neighbors,
+        "approx_knn_recall": q_approx_knn_recall,
+        "item_set_sizes": q_item_set_sizes,
+        "append_personal": q_append_personal,
+        "append_ratings": q_append_ratings,
+        "layout_by_user": q_layout_by_user,
+        "layout_by_item": q_layout_by_item,
+        **{f"recommend_top_n_{kind}_all": _ranked_query(kind) for kind in PLAIN},
         "read_ratings": q_read_ratings,
         "read_personal": q_read_personal,
         "read_titles": q_read_titles,

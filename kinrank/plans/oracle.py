@@ -8,7 +8,7 @@ candidate lists), independently of how the Spark operators are laid out.
 
 from __future__ import annotations
 
-from kinrank.plans.catalog import (K, K_REC, LIST_CHUNK, N_BUCKETS, N_REC, PREDICTORS,
+from kinrank.plans.catalog import (GRID, K, K_REC, LIST_CHUNK, N_BUCKETS, N_REC, PLAIN, PREDICTORS,
                                    REPLICATION, SWEEP_KS)
 
 R6 = 6
@@ -389,6 +389,78 @@ def oracle_sql() -> dict[str, str]:
     q["metrics_report"] = _sql(
         f"SELECT section, metric, round(value, {R6}) AS value FROM ({' UNION ALL '.join(parts)}) r",
         needs, extra)
+    # the plain predictors' answers
+    plain = [x for x in parts if "kNN" not in x and any(f"'{m}'" in x for m in (
+        "global_avg", "user_1_avg", "item_1_avg", "item_1_avg_dev", *PLAIN))]
+    q["answers_report"] = _sql(
+        f"SELECT section, metric, round(value, {R6}) AS value FROM ({' UNION ALL '.join(plain)}) r",
+        ["train", "ua", "ia", "idev", *[predictor(kind, src)[0] for kind in PLAIN for src in ("test", "probe")]], extra)
+    q["knn_neighbors_pruned"] = q["knn_neighbors"]
+
+    def ranked(group: str) -> dict:
+        """Positions inside groups (columns ``group`` and user) of ``gdir``."""
+        return {
+            "gnz": (f"SELECT *, round(sim, 9) AS sr FROM gdir WHERE round(sim, 9) <> 0", ["gdir"]),
+            "grk": (f"SELECT *, row_number() OVER (PARTITION BY {group}, user_id, sr > 0 ORDER BY sr DESC, neighbor_id DESC) "
+                    f"AS rn, count(*) FILTER (WHERE sr < 0) OVER (PARTITION BY {group}, user_id) AS nneg FROM gnz", ["gnz"]),
+            "gpos": (f"SELECT * FROM (SELECT *, CASE WHEN sr > 0 THEN rn ELSE (SELECT n FROM nusers) - 1 - nneg + rn END "
+                     f"AS pos FROM grk) x WHERE pos <= {K}", ["grk", "nusers"]),
+        }
+    inside = {"gpair": ("SELECT x.bucket, p.u, p.v, p.cos FROM pst p JOIN ub x ON x.user_id = p.u "
+                        "JOIN ub y ON y.user_id = p.v AND y.bucket = x.bucket", ["pst", "ub"]),
+              "gdir": ("SELECT bucket, u AS user_id, v AS neighbor_id, cos AS sim FROM gpair "
+                       "UNION ALL SELECT bucket, v, u, cos FROM gpair", ["gpair"]), **ranked("bucket")}
+    q["bucket_knn_neighbors"] = _sql(
+        f"SELECT CAST(bucket AS INTEGER) AS bucket, user_id, CAST(pos AS BIGINT) AS pos, neighbor_id, "
+        f"round(sim, {R6}) AS sim FROM gpos", ["gpos"], inside)
+    settings = ", ".join(f"({g}, {n}, {r})" for g, (n, r) in enumerate(GRID))
+    over = {"grid": (f"SELECT * FROM (VALUES {settings}) t(g, n_buckets, replication)", []),
+            "gh": (f"SELECT g.*, u.user_id, p.bucket, {bhash('u.user_id', 'p.bucket')} AS h FROM ua u, grid g, "
+                   f"(SELECT range AS bucket FROM range(0, {max(n for n, _ in GRID)})) p WHERE p.bucket < g.n_buckets",
+                   ["ua", "grid"]),
+            "gub": ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g, user_id ORDER BY h, bucket) AS rn FROM gh) x "
+                    "WHERE rn <= replication", ["gh"]),
+            "gsees": ("SELECT DISTINCT x.g, x.user_id AS u, y.user_id AS v FROM gub x JOIN gub y "
+                      "ON x.g = y.g AND x.bucket = y.bucket AND x.user_id < y.user_id", ["gub"]),
+            "gpair": ("SELECT s.g, p.u, p.v, p.cos FROM pst p JOIN gsees s ON s.u = p.u AND s.v = p.v", ["pst", "gsees"]),
+            "gdir": ("SELECT g, u AS user_id, v AS neighbor_id, cos AS sim FROM gpair "
+                     "UNION ALL SELECT g, v, u, cos FROM gpair", ["gpair"]), **ranked("g")}
+    q["approx_knn_recall"] = _sql(
+        f"SELECT g.n_buckets, g.replication, (SELECT count(*) FROM knn) AS n_exact, count(k.user_id) AS n_found, "
+        f"round(count(k.user_id) / (SELECT count(*) FROM knn), {R6}) AS recall FROM grid g JOIN gpos p ON p.g = g.g "
+        f"LEFT JOIN knn k ON k.user_id = p.user_id AND k.neighbor_id = p.neighbor_id GROUP BY 1, 2",
+        ["grid", "gpos", "knn"], over)
+    q["item_set_sizes"] = _sql(
+        "SELECT a.user_id AS u, a.user_id + 1 AS v, len(list_distinct(list_concat(a.items, coalesce(b.items, [])))) AS n_union, "
+        "len(list_intersect(a.items, coalesce(b.items, []))) AS n_common FROM lists a LEFT JOIN lists b "
+        "ON b.user_id = a.user_id + 1", ["lists"],
+        {"lists": ("SELECT user_id, list(item_id) AS items FROM train GROUP BY user_id", ["train"])})
+    q["append_personal"] = _sql(f"SELECT item_id, n, round(avg_dev, {R6}) AS avg_dev FROM idev", ["idev"],
+                                override=PERSONAL)
+    name, ctes = predictor("baseline", "pairs")
+    q["append_ratings"] = _sql(
+        f"SELECT user_id, item_id, round(prediction, {R6}) AS prediction FROM {name}", [name], ctes,
+        {"train": ("SELECT * FROM train_split UNION ALL SELECT * FROM test WHERE user_id % 2 = 0", ["train_split", "test"])})
+    q["layout_by_user"] = _sql(f"SELECT t.user_id, t.item_id, t.rating, u.n, round(u.user_avg, {R6}) AS user_avg "
+                               "FROM test t JOIN ua u ON u.user_id = t.user_id", ["test", "ua"])
+    q["layout_by_item"] = _sql(f"SELECT t.user_id, t.item_id, t.rating, i.n, round(i.item_avg, {R6}) AS item_avg "
+                               "FROM test t JOIN ia i ON i.item_id = t.item_id", ["test", "ia"])
+    # everybody's top n, every unrated item ranked; equal at nine decimals of
+    # what the prediction depends on means equal
+    unrated = {"cands": ("SELECT u.user_id, i.item_id FROM ua u, (SELECT DISTINCT item_id FROM train) i "
+                         "WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = i.item_id)",
+                         ["ua", "train"])}
+    keys = {"global": "0.0", "user_avg": "0.0", "item_avg": "i.item_avg",
+            "baseline": "CASE WHEN u.user_avg >= 5 THEN least(d.avg_dev, 0.0) WHEN u.user_avg <= 1 "
+                        "THEN greatest(d.avg_dev, 0.0) ELSE d.avg_dev END"}
+    for kind, key in keys.items():
+        name, ctes = predictor(kind, "cands")
+        q[f"recommend_top_n_{kind}_all"] = _sql(
+            f"SELECT user_id, CAST(rank AS BIGINT) AS rank, item_id, round(prediction, {R6}) AS prediction FROM ("
+            f"SELECT p.*, row_number() OVER (PARTITION BY p.user_id ORDER BY round({key}, 9) DESC, p.item_id) AS rank "
+            f"FROM {name} p JOIN ua u ON u.user_id = p.user_id JOIN ia i ON i.item_id = p.item_id "
+            f"JOIN idev d ON d.item_id = p.item_id) x WHERE rank <= {N_REC}",
+            [name, "ua", "ia", "idev"], {**ctes, **unrated})
     q["read_ratings"] = _sql("SELECT user_id, item_id, rating FROM ratings", ["ratings"])
     q["read_personal"] = _sql("SELECT user_id, item_id, rating FROM personal", ["personal"])
     return q
