@@ -123,7 +123,7 @@ def item_order(items: DataFrame, key: Column) -> DataFrame:
 
 
 def first_unseen(users: DataFrame, seen: DataFrame, index: DataFrame, n: int,
-                 chunk: int = 256, per_copy: int = 10_000) -> DataFrame:
+                 chunk: int = 32, per_copy: int = 10_000) -> DataFrame:
     """``user_id, item_id``: for each user the first ``n`` items of ``index``
     (``item_id, _rank`` from 1, see ``item_order``) outside its ``seen`` rows.
 

@@ -63,16 +63,16 @@ def user_lists(prep: Prepared, most: int = LIST) -> DataFrame:
 
 
 def _led(prep: Prepared, pairs: DataFrame) -> DataFrame:
-    """Distinct given pairs of known users with their counts, and which of the
+    """Distinct given pairs with their counts (null: unknown), and which of the
     two has the shorter list (``lead``) and the longer one (``other``)."""
     n = prep.ustats.select(F.col(USER).alias("_id"), F.col("n").alias("_n"))
     p = (pairs.select("u", "v").distinct()
-         .join(n.select(F.col("_id").alias("u"), F.col("_n").alias("n_u")), "u")
-         .join(n.select(F.col("_id").alias("v"), F.col("_n").alias("n_v")), "v"))
+         .join(n.select(F.col("_id").alias("u"), F.col("_n").alias("n_u")), "u", "left")
+         .join(n.select(F.col("_id").alias("v"), F.col("_n").alias("n_v")), "v", "left"))
     first = (F.col("n_u") < F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") <= F.col("v")))
     return p.select("u", "v", "n_u", "n_v", F.when(first, F.col("u")).otherwise(F.col("v")).alias("lead"),
                     F.when(first, F.col("v")).otherwise(F.col("u")).alias("other"),
-                    F.greatest("n_u", "n_v").alias("_longer"))
+                    F.when(F.col("n_u").isNotNull() & F.col("n_v").isNotNull(), F.greatest("n_u", "n_v")).alias("_longer"))
 
 
 def _intersected(prep: Prepared, led: DataFrame, most: int) -> DataFrame:
@@ -103,14 +103,14 @@ def similarity_of(prep: Prepared, pairs: DataFrame, most: int = LIST) -> DataFra
                       * F.element_at("_x", F.array_position("_j", x).cast("int")))
     by_list = _intersected(prep, led, most).select("u", "v", F.size("common").cast("bigint").alias("n_common"),
                                                    dot.alias("cos"), "n_u", "n_v")
-    by_item = (_looked_up(prep, led, most).groupBy("u", "v")
-               .agg(F.count(F.lit(1)).alias("n_common"), F.sum(F.col("w_u") * F.col("w_v")).alias("cos"),
-                    F.max("n_u").alias("n_u"), F.max("n_v").alias("n_v")))
-    found = by_list.unionByName(by_item)
+    sums = (_looked_up(prep, led, most).groupBy("u", "v")
+            .agg(F.count(F.lit(1)).alias("n_common"), F.sum(F.col("w_u") * F.col("w_v")).alias("cos")))
+    rest = led.filter(F.col("_longer").isNull() | (F.col("_longer") > most))
+    by_item = rest.join(sums, ["u", "v"], "left").select(
+        "u", "v", F.coalesce("n_common", F.lit(0)).alias("n_common"), F.coalesce("cos", F.lit(0.0)).alias("cos"),
+        "n_u", "n_v")
     jac = F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))
-    return (pairs.select("u", "v").distinct().join(found, ["u", "v"], "left")
-            .select("u", "v", *[F.coalesce(c, F.lit(z)).alias(c)
-                                for c, z in (("n_common", 0), ("cos", 0.0))], F.coalesce(jac, F.lit(0.0)).alias("jac")))
+    return by_list.unionByName(by_item).select("u", "v", "n_common", "cos", F.coalesce(jac, F.lit(0.0)).alias("jac"))
 
 
 def common_items_of(prep: Prepared, pairs: DataFrame, most: int = LIST) -> DataFrame:

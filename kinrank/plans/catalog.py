@@ -39,7 +39,7 @@ N_BUCKETS = 10         # approximate kNN: buckets
 REPLICATION = 2        # approximate kNN: buckets per user
 SWEEP_KS = [10, 30, 50, 100, 200, 300, 400, 800, 943]
 LIST_CHUNK = 1000      # members per row of a grouped list
-GRID = [(10, 1), (10, 2), (10, 4), (10, 8), (5, 2), (20, 2)]  # (buckets, buckets per user) of the recall report
+GRID = [(10, 1), (10, 2), (10, 4), (20, 2)]  # (buckets, buckets per user) of the recall report
 
 Query = Callable[[SparkSession, str], DataFrame]
 

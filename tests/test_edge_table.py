@@ -233,9 +233,10 @@ def test_uniform_equals_baseline(prep, pairs):
 
 
 def test_unrated_items(spark, table):
-    got = sorted((r.user_id, r.item_id) for r in rc.unrated_items(table, [2, 99]).collect())
     want = [(2, i) for i in ITEMS if i != 1] + [(99, i) for i in ITEMS]
-    assert got == want
+    for block in (1000, 1):  # blocks of users
+        assert sorted((r.user_id, r.item_id) for r in rc.unrated_items(table, [2, 99], block).collect()) == want
+    assert rc.unrated_items(table, []).count() == 0
 
 
 def test_predictions_in_rating_range(prep, pairs):
@@ -266,7 +267,8 @@ def test_first_unseen(spark, n, chunk):
     rows = [(u, i) for u, s in seen.items() for i in s]
     got = rc.first_unseen(spark.createDataFrame([(u,) for u in seen], "user_id bigint"),
                           spark.createDataFrame(rows, "user_id bigint, item_id bigint"),
-                          spark.createDataFrame([(i,) for i in items], "item_id bigint"), n, chunk=chunk, spread=3)
+                          rc.item_order(spark.createDataFrame([(i,) for i in items], "item_id bigint"), F.lit(0)),
+                          n, chunk=chunk, per_copy=3)
     want = sorted((u, i) for u, s in seen.items() for i in [x for x in items if x not in s][:n])
     assert sorted((r.user_id, r.item_id) for r in got.collect()) == want
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from kinrank.functions import ranking
-from kinrank.operators import neighbors, pairs, recommend
+from kinrank.operators import neighbors, pairs, predict, pruned, recommend, similarity, state
 from kinrank.plans import catalog
 from kinrank.functions.formulas import rank_key
 from kinrank.operators import similarity as sim
@@ -29,7 +29,7 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
-MODULES = [catalog, neighbors, pairs, recommend, ranking]
+MODULES = [catalog, neighbors, pairs, predict, pruned, recommend, similarity, state, ranking]
 
 
 @pytest.fixture
