@@ -18,7 +18,6 @@ BLOCK_BYTES = 2 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd: every power has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -27,19 +26,25 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_powers = {"n": 0}
+# A second family of hashes, independent of the first one: where both agree,
+# 128 bits agree.
+_BASES = [_BASE, 0xC2B2AE3D27D4EB4F]
+_BYTES = [_BYTE, np.random.default_rng(19).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)]
+_powers = [{"n": 0}, {"n": 0}]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers["n"] < n:
+def powers(n: int, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    table = _powers[family]
+    if table["n"] < n:
         m = max(n, BLOCK_BYTES + 1)
-        base, inv = np.full(m, _BASE, dtype=np.uint64), np.full(m, _INVERSE, dtype=np.uint64)
+        odd = _BASES[family]
+        base, inv = np.full(m, odd, dtype=np.uint64), np.full(m, pow(odd, -1, 1 << 64), dtype=np.uint64)
         base[0] = inv[0] = 1
         kept = {"p": np.cumprod(base), "i": np.cumprod(inv), "n": m}
         if m > 4 * BLOCK_BYTES:  # a very long text's tables are not kept
             return kept["p"], kept["i"]
-        _powers.update(kept)
-    return _powers["p"], _powers["i"]
+        table.update(kept)
+    return table["p"], table["i"]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -104,17 +109,17 @@ def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES
         i = j
 
 
-def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
     """Hash of each byte span, equal for equal bytes wherever they stand."""
-    p, inv = powers(len(data) + 1)
+    p, inv = powers(len(data) + 1, family)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * p[:len(data)], out=total[1:])
+    np.cumsum(_BYTES[family][data] * p[:len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * inv[starts])
 
 
-def windows_hash(items: np.ndarray, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+def windows_hash(items: np.ndarray, starts: np.ndarray, length: int | np.ndarray, family: int = 0) -> np.ndarray:
     """Hash of the ``length`` items from each start."""
-    p, inv = powers(len(items) + 1)
+    p, inv = powers(len(items) + 1, family)
     total = np.zeros(len(items) + 1, dtype=np.uint64)
     np.cumsum(items * p[:len(items)], out=total[1:])
     return mix((total[starts + length] - total[starts]) * inv[starts] + _U(0x5851F42D4C957F2D))

@@ -1,14 +1,18 @@
 """Substring deduplication by compaction of a token de Bruijn graph.
 
 Edges are the windows of ``K`` consecutive words (an edge joins its first and
-its last K-1 words). Edges are counted over all documents; those found twice
-or more are the repeated ones. Where a document runs through consecutive
-repeated edges of one multiplicity, they are compacted to a path. Each slice
-of documents sends its distinct paths with their numbers, and a Spark
-aggregate and join tells how often each whole path occurs: a path is
-nonbranching when every occurrence of its edges lies on it. The paths go back
-to the slices that have them, where the words at each source coordinate are
-hashed again and held against the paths before a word is removed.
+its last K-1 words). Edges are counted over all documents by a hash. Where a
+document runs through consecutive edges of one multiplicity above one, they
+are compacted to a path. Each slice of documents sends its distinct paths,
+named by an independent hash of their words, with their numbers, and a Spark
+aggregate and join tells how often each whole path occurs:
+
+* A path is nonbranching when it occurs as often as its edges do: every
+  occurrence of an edge lies on a copy of the path. Two independent hashes
+  agree there, and the path's words go wherever it stands.
+* The edges of other paths also lie on paths of other words (or share a hash
+  with other words by chance). They are counted once more, by the independent
+  hash, and go one by one where they are found again.
 
 Places themselves are never sent: near copies break a path wherever any of
 them differs, so places grow with the square of a group, but distinct paths
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,28 +49,55 @@ def _slices(docs: DataFrame, id_col: str, text_col: str, slice_bytes: int):
     return X.sliced(src, total, slice_bytes), max(1, -(-total // (WORD_BYTES * X.BUCKET_HASHES)))
 
 
-def _runs(t: pa.Table, back: pa.Table, k: int):
+class _Runs:
     """A slice's paths in place: its texts and words, and of each path the
-    first word, the edges, their multiplicity and the hash of its words."""
-    block, starts, ends, off, words, at, h = _edges(t.column("text"), k)
-    keys, place = np.unique(h, return_inverse=True)
-    n = X.answers(back, len(keys))[place]
-    some = n > 1
-    at, n = at[some], n[some].astype(np.int64)
-    doc = A.text_of(off, at)
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
-    first = np.flatnonzero(new)
-    edges = np.diff(np.append(first, len(at)))
-    start = at[first]
-    return block, starts, ends, off, start, edges, n[first], A.windows_hash(words, start, edges + k - 1)
+    first word (``start``), the ``edges``, their multiplicity (``many``) and
+    the independent hash of its words (``content``)."""
+
+    def __init__(self, t: pa.Table, back: pa.Table, k: int):
+        self.k = k
+        self.block, self.starts, self.ends, self.off, _, at, h = _edges(t.column("text"), k)
+        keys, place = np.unique(h, return_inverse=True)
+        n = X.answers(back, len(keys))[place]
+        some = n > 1
+        at, n = at[some], n[some].astype(np.int64)
+        doc = A.text_of(self.off, at)
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (n[1:] != n[:-1])
+        first = np.flatnonzero(new)
+        self.edges = np.diff(np.append(first, len(at)))
+        self.start, self.many = at[first], n[first]
+        self.words = A.spans_hash(self.block.data, self.starts, self.ends, 1) if len(first) else np.zeros(0, np.uint64)
+        self.content = A.windows_hash(self.words, self.start, self.edges + k - 1, 1) if len(first) else self.words
+
+    def decided(self, facts: pa.Table) -> np.ndarray:
+        """Which paths are nonbranching, from the slice's joined paths."""
+        name = facts.column("content").to_numpy()
+        order = np.argsort(name, kind="stable")
+        name, yes = name[order], facts.column("nonbranching").to_numpy(zero_copy_only=False).astype(bool)[order]
+        mine = self.content.view(np.int64)
+        if not len(mine):
+            return np.zeros(0, bool)
+        at = np.searchsorted(name, mine)
+        if not len(name) or (name[np.minimum(at, len(name) - 1)] != mine).any():
+            raise ValueError("a path of this slice is not among its joined paths")
+        # paths of one content and other lengths (by chance) are all open
+        last = np.searchsorted(name, mine, side="right")
+        return yes[at] & (last - at == 1)
+
+    def single(self, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first words, independent hashes) of the edges of open paths."""
+        n = self.edges[open_]
+        at = np.repeat(self.start[open_] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return at, A.windows_hash(self.words, at, self.k, 1) if len(at) else np.zeros(0, np.uint64)
 
 
 def paths(sliced: DataFrame, buckets: int, k: int = K) -> tuple[DataFrame, DataFrame]:
     """Compacted repeated paths of each slice, and the counts of its edges.
 
-    Paths: ``s, content`` (hash of the words), ``edges, multiplicity`` (of
-    each edge), ``n`` (here), ``copies`` (in all slices), ``nonbranching``.
+    Paths: ``s, content`` (independent hash of the words), ``edges,
+    multiplicity`` (of each edge), ``n`` (here), ``copies`` (in all slices),
+    ``nonbranching``.
     """
     def build(t: pa.Table):
         _, _, _, _, _, _, h = _edges(t.column("text"), k)
@@ -73,13 +105,15 @@ def paths(sliced: DataFrame, buckets: int, k: int = K) -> tuple[DataFrame, DataF
         return keys, [n]
 
     def here(t: pa.Table, back: pa.Table) -> pa.Table:
-        *_, edges, many, content = _runs(t, back, k) if t.num_rows else [np.zeros(0, np.int64)] * 3
-        content, first, n = np.unique(content.view(np.int64), return_index=True, return_counts=True)
-        return pa.Table.from_arrays(
-            [pa.array(np.full(len(n), t.column("s")[0].as_py() if t.num_rows else 0), pa.int32()),
-             *(pa.array(x, pa.int64()) for x in (content, edges[first], many[first], n))],
-            names=["s", "content", "edges", "multiplicity", "n"])
-
+        if not t.num_rows:
+            return pa.Table.from_arrays([pa.array([], pa.int32()), *[pa.array([], pa.int64())] * 4], names=names)
+        r = _Runs(t, back, k)
+        both = np.stack([r.content.view(np.int64), r.edges, r.many], axis=1)
+        both, n = np.unique(both, axis=0, return_counts=True)
+        return pa.Table.from_arrays([pa.array(np.full(len(n), t.column("s")[0].as_py()), pa.int32()),
+                                     *(pa.array(x, pa.int64()) for x in (*both.T, n))], names=names)
+
+    names = ["s", "content", "edges", "multiplicity", "n"]
     back = X.ask(sliced.groupBy("s"), buckets, build, [np.uint32], lambda keys, p: X.total_of_runs(keys, p[0]))
     # dealt once by path; a path has one row of each slice at most
     found = (sliced.groupBy("s").cogroup(back.groupBy("s"))
@@ -103,28 +137,43 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Defined cases: a null or empty text has no words; rows that share an id
     share a slice but are texts of their own; equal rows of ``k`` words or
     more repeat each other and lose these words in both; a null id is kept; an
-    empty table gives an empty table. A text under ``k`` words stays.
+    empty table gives an empty table. A text under ``k`` words stays. A very
+    long text is one slice's and read whole there.
     """
     sliced, buckets = _slices(docs, id_col, text_col, slice_bytes)
     compact, back = paths(sliced, buckets, k)
-    told = (back.withColumn("content", F.lit(None).cast("long")).withColumn("copies", F.lit(None).cast("long"))
-            .unionByName(compact.select("s", "content", "copies"), allowMissingColumns=True))
+    told = (back.withColumn("pass", F.lit(1)).unionByName(
+        compact.select("s", "content", "nonbranching"), allowMissingColumns=True))
+
+    def known(t: pa.Table, told: pa.Table) -> tuple[_Runs, np.ndarray]:
+        runs = _Runs(t, told.filter(pc.equal(told.column("pass"), 1)), k)
+        return runs, runs.decided(told.filter(told.column("content").is_valid()))
+
+    def open_edges(t: pa.Table, told: pa.Table):
+        if not t.num_rows:
+            return np.zeros(0, np.uint64), [np.zeros(0, np.uint32)]
+        runs, done = known(t, told)
+        keys, n = np.unique(runs.single(~done)[1], return_counts=True)
+        return keys, [n]
+
+    # a bucket gets all edges at most
+    again = X.ask(sliced.groupBy("s").cogroup(told.groupBy("s")), buckets, open_edges, [np.uint32],
+                  lambda keys, p: X.total_of_runs(keys, p[0]), pair=True)
+    told = told.unionByName(again.withColumn("pass", F.lit(2)), allowMissingColumns=True)
 
     def remove(t: pa.Table, told: pa.Table) -> pa.Table:
         if not t.num_rows:
             return t.select(["id", "rest", "text"]).rename_columns(["id", "rest", "kept_text"]).append_column(
                 "n_words", pa.array([], pa.int64())).append_column("n_removed", pa.array([], pa.int64()))
-        facts = told.filter(told.column("copies").is_valid())
-        block, starts, ends, off, at, edges, many, content = _runs(
-            t, told.filter(told.column("bucket").is_valid()), k)
-        known = np.sort(facts.column("content").to_numpy())
-        here = content.view(np.int64)
-        if len(here) and not np.isin(here, known).all():
-            raise ValueError("the words at a path's source coordinates are not the path's")
-        keep = ~A.covered(at, at + edges + k - 1, off[-1])
-        text = (A.join_words if squash else A.cut_words)(block, starts, ends, off, keep)
-        return pa.Table.from_arrays([t.column("id"), t.column("rest"), text, pa.array(np.diff(off), pa.int64()),
-                                     pa.array(A.sums(~keep, off), pa.int64())],
+        r, done = known(t, told)
+        at, h = r.single(~done)
+        keys, place = np.unique(h, return_inverse=True)
+        at = at[X.answers(told.filter(pc.equal(told.column("pass"), 2)), len(keys))[place] > 1]
+        start = np.concatenate([r.start[done], at])
+        keep = ~A.covered(start, np.concatenate([r.start[done] + r.edges[done] + k - 1, at + k]), r.off[-1])
+        text = (A.join_words if squash else A.cut_words)(r.block, r.starts, r.ends, r.off, keep)
+        return pa.Table.from_arrays([t.column("id"), t.column("rest"), text, pa.array(np.diff(r.off), pa.int64()),
+                                     pa.array(A.sums(~keep, r.off), pa.int64())],
                                     names=["id", "rest", "kept_text", "n_words", "n_removed"])
 
     kinds = dict(sliced.dtypes)

@@ -115,7 +115,8 @@ def host_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def q_host_rules(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return host_rules(docs).select(F.col("id").alias("doc_id"), *_COLUMNS, "base_failed", "kept")
+    rate = F.floor(F.col("host_rate") * 1e6 + 0.5) / 1e6  # engines add floats in other orders
+    return host_rules(docs).select(F.col("id").alias("doc_id"), *_COLUMNS, "base_failed", rate.alias("host_rate"), "kept")
 
 
 SQL = r"""
@@ -144,6 +145,6 @@ p AS (SELECT avg(failed / n) AS m, avg((failed / n) * (failed / n)) - avg(failed
 s AS (SELECT m, CASE WHEN v > 1e-12 AND m * (1 - m) / v - 1 > 0 THEN m * (1 - m) / v - 1 ELSE 1.0 END AS s FROM p),
 r AS (SELECT source, ((failed + m * s) / (n + s))::DOUBLE AS host_rate FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND host_rate <= 0.6 AS kept
+       floor(host_rate * 1e6 + 0.5) / 1e6 AS host_rate, NOT base_failed AND host_rate <= 0.6 AS kept
 FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
 """

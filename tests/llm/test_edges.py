@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -144,6 +145,58 @@ def test_suffixes(edges, monkeypatch, length, gram, chunk):
                for r in got.collect()) == expect(rows, brute.suffixes(rows, length))
 
 
+def test_suffixes_of_rows_without_ids(spark):
+    """Half of the ids are null, some repeated: the same rows as in the order
+    of id and text hash, and no slice holds them all."""
+    rng = random.Random(8)
+    parts = ["".join(rng.choice("abcdef ") for _ in range(150)) for _ in range(12)]
+    rows = [(None if n % 2 else n // 6, f"{n} " + rng.choice(parts) + rng.choice(parts)) for n in range(240)]
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, spark_hash(r[1])))
+    got = suffixes.repeated_bytes(frame(spark, rows), slice_bytes=4000).collect()
+    assert bag((r["rest"]["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == expect(
+        order, brute.suffixes(order, 100))
+    src = exchange.sliced(suffixes.pack(frame(spark, rows)), sum(len(t) for _, t in rows), 4000)
+    sizes = [r["count"] for r in src.filter("id is null").groupBy("s").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 40
+
+
+@pytest.mark.parametrize("bits", [2, 8])
+def test_a_chance_hash_is_caught(spark, edges, monkeypatch, bits):
+    """Edges that share a hash by chance are told apart by the independent
+    one, as whole paths or one by one."""
+    real, calls = debruijn.A.windows_hash, []
+
+    def poor(items, starts, length, family=0):
+        calls.append(family)
+        h = real(items, starts, length, family)
+        return h & np.uint64((1 << bits) - 1) if family == 0 else h
+    monkeypatch.setattr(debruijn.A, "windows_hash", poor)
+    docs = [(i, t) for i, t in ROWS]
+    table = pa.table({"id": pa.array([i for i, _ in docs], pa.int64()), "text": [t or "" for _, t in docs],
+                      "s": pa.array([0] * len(docs), pa.int32())})
+    k = 5
+    _, _, _, _, _, _, h = debruijn._edges(table.column("text"), k)
+    keys, n = np.unique(h, return_counts=True)
+    back = pa.table({"s": pa.array([0], pa.int32()), "bucket": pa.array([0], pa.int32()),
+                     "answer": pa.array([exchange.squeeze(n.astype(np.uint32))], pa.binary())})
+    r = debruijn._Runs(table, back, k)
+    names, first, copies = np.unique(np.stack([r.content.view(np.int64), r.edges], axis=1), axis=0, return_index=True,
+                                     return_counts=True)
+    facts = pa.table({"content": names[:, 0], "nonbranching": copies == r.many[first]})
+    done = r.decided(facts)
+    at, single = r.single(~done)
+    same = np.unique(single, return_inverse=True, return_counts=True)
+    at = at[same[2][same[1]] > 1]
+    gone = debruijn.A.covered(np.concatenate([r.start[done], at]),
+                              np.concatenate([r.start[done] + r.edges[done] + k - 1, at + k]), r.off[-1])
+    want = [w for _, w, _ in brute.substrings(ROWS, k)]
+    assert debruijn.A.sums(gone, r.off).tolist() == want and set(calls) == {0, 1}
+    # paths decide: with all of them called nonbranching the poor hash takes too much
+    trusted = r.decided(pa.table({"content": names[:, 0], "nonbranching": [True] * len(names)}))
+    everything = debruijn.A.covered(r.start[trusted], (r.start + r.edges + k - 1)[trusted], r.off[-1])
+    assert everything.sum() > gone.sum()
+
+
 def test_pack(edges, nothing):
     tok = Tokenizer.from_file(BYTE_BPE)
     rows = packing.harmonic_pack(edges, BYTE_BPE, capacity=256, floor=16).collect()

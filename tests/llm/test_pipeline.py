@@ -57,10 +57,34 @@ def test_language_keeps_clean_documents(chain):
     if which == "documents":
         assert all(not any(c.isalpha() for c in t or "") for t in gone)
     else:
-        assert {t for t in gone if t and any(c.isalpha() for c in t)} <= {"日本語 テキスト " * 20, "one", "null id"}
+        assert {t for t in gone if t and any(c.isalpha() for c in t)} <= {"日本語 テキスト " * 20, "one", "null id", "x " * 200}
         assert not any(t is None or not any(c.isalpha() for c in t) for _, t in kept)
 
 
+def junk(rng, n):
+    """Texts of ``n`` characters in no learned language."""
+    finnish = "ja on ei se että hän mutta oli niin kuin joka mitä tämä ovat kun vain myös jos sitä minä sinä kaikki".split()
+    yield "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
+    yield " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randrange(3, 9))) for _ in range(n))[:n]
+    yield " ".join(rng.choice(finnish) for _ in range(n))[:n]
+    yield "".join(rng.choice("日本語のテキストをここに書く") for _ in range(n))
+    yield "".join(rng.choice("ABCDEFabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+
+
+def test_language_rejects_junk_and_keeps_clean_documents(spark):
+    """Junk in a learned script and unlearned languages go, labelled clean
+    documents stay, in one stage over both."""
+    sf, rng = "/root/testdata/sf0.01", random.Random(1)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    bad = [(10 ** 9 + i, t) for i, t in enumerate(t for n in (80, 160, 320, 1000, 4000) for _ in range(12) for t in junk(rng, n))]
+    more = spark.createDataFrame([(i, t, None, "junk", len(t)) for i, t in bad], docs.schema)
+    kept = {r["doc_id"] for r in cp.language_id(spark, docs.unionByName(more), sf).select("doc_id").collect()}
+    assert not kept & {i for i, _ in bad}
+    clean = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").collect()}
+    words = {r["doc_id"] for r in docs.filter("text rlike '[^\\\\s]'").collect()}
+    assert len((clean & words) - kept) <= 0.002 * len(clean & words)
+
+
 def test_lines(chain):
     _, out = chain
     before, after = out["line_dedup"]
