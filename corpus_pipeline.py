@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from kinrank.llm import debruijn, jaccard, langid, lines, packing
 from kinrank.llm.common import table, unpack, written
 
-MIN_SCORE = 0.05      # texts that no language reaches this score for are rejected
+# Texts that no language reaches this score for are rejected (figures in the
+# README). Under SHORT characters a text has few n-grams, and the score tells
+# only other scripts apart.
+MIN_SCORE, SHORT, MIN_SHORT = 0.27, 40, 0.12
 LINE_DOCUMENTS = 10   # lines found in so many documents go
 WORDS, PERCENT = 5, 80
 WINDOW = 35
@@ -30,20 +33,23 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a known language go: a null text, one without a
-    letter, or one that no learned language scores ``MIN_SCORE`` for. Learns
-    from a bounded sample of the rows whose ``lang`` is given; where none is,
-    nothing can be judged and only texts without a letter go."""
+    letter, or one that no learned language scores ``MIN_SCORE`` for
+    (``MIN_SHORT`` under ``SHORT`` characters). Learns from a bounded sample of
+    the rows whose ``lang`` is given; where none is, nothing can be judged and
+    only texts without a letter go."""
     model = langid.train(docs)
     if model is None:
         return docs.filter(F.col("text").rlike("\\p{L}"))
     kept = langid.identify(docs.withColumn(KEY, F.col("text")), model)
-    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    least = F.when(F.length(f"rest.{KEY}") < SHORT, MIN_SHORT).otherwise(MIN_SCORE)
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)
     return unpack(kept.filter(known), docs, text=f"rest.{KEY}")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ``LINE_DOCUMENTS`` documents go from all of them; every
-    document stays."""
+    document stays. A null text is one empty line; rows without an id count by
+    their texts; an empty table stays empty."""
     return _measured(unpack(lines.line_dedup(docs, min_docs=LINE_DOCUMENTS), docs, text="kept_text"))
 
 
@@ -63,13 +69,16 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows of ``WINDOW`` words that start anywhere else too go;
-    every document stays."""
+    every document stays. A null or empty text stays empty, repeated rows lose
+    their windows in each, an empty table stays empty."""
     kept = debruijn.substring_dedup(docs, k=WINDOW, squash=False)
     return _measured(unpack(kept, docs, text="kept_text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens at most."""
+    """Pieces of all documents in sequences of 2048 tokens at most. A null or
+    empty text is its end token alone; repeated rows and null ids are packed
+    one by one; an empty table gives no pieces."""
     pieces = packing.harmonic_pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumnRenamed("doc", "doc_id")
 
