@@ -58,15 +58,32 @@ def top_similarities(sims: DataFrame, k: int, by: tuple[str, ...] = (USER,)) ->
     return materialize(ranked_top(sims, k, by), "top-similarities")
 
 
-def place(top: DataFrame, n_users: Column, k: int, counts, by: tuple[str, ...] = (USER,)) -> DataFrame:
+def low_users(prep: Prepared, k: int, hot: HotItems | None = None, users: DataFrame | None = None) -> DataFrame:
+    """``user_id`` of those (of ``users``, if given) whose list of ``k`` may
+    reach a negative similarity. The first negative stands at ``N -
+    n_negative`` at the earliest, and no user has more co-raters than the
+    other ratings of their items: all others need no negatives."""
+    n = hot.counts if hot is not None else prep.train.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n"))
+    rows = prep.train.select(USER, ITEM)
+    if users is not None:
+        rows = rows.join(users.select(USER), USER, "left_semi")
+    met = rows.join(n.select(ITEM, "_n"), ITEM).groupBy(USER).agg(F.sum(F.col("_n") - 1).alias("_met"))
+    return met.filter(F.col("_met") >= prep.n_users() - k).select(USER)
+
+
+def place(top: DataFrame, n_users: Column, k: int, counts, by: tuple[str, ...] = (USER,),
+          low: DataFrame | None = None) -> DataFrame:
     """``by, pos, neighbor_id, sim`` for ``pos <= k`` from the top rows.
 
     Positives come first, so for them ``pos = rn``. A negative is among the
     top ``k`` only when its group has fewer than ``k`` positives; the zeros
     stand before it: ``pos = rn + N - 1 - n_nonzero(u)``. ``counts(groups)``
-    gives ``by, _nnz`` and is asked for those groups alone.
+    gives ``by, _nnz`` and is asked for those groups alone, and only for the
+    users in ``low`` (see ``low_users``) if it is given.
     """
     down = top.filter(F.col("_sr") < 0)
+    if low is not None:
+        down = down.join(low, USER, "left_semi")
     up = top.filter(F.col("_sr") > 0).select(*by, F.col("_rn").cast("bigint").alias("pos"), NEIGHBOR, "sim")
     if down.isEmpty():  # a look at the written top rows; usually nobody keeps a negative
         return up
@@ -93,7 +110,10 @@ def knn(prep: Prepared, k: int, hot: HotItems | None = None,
         again = directed(stats, "cos").join(some, USER, "left_semi") if stats is not None else _of_users(
             prep, hot, some)
         return again.filter(rank_key(F.col("sim")) != 0).groupBy(USER).agg(F.count(F.lit(1)).alias("_nnz"))
-    return place(top_similarities(sims, k), prep.n_users(), k, counts)
+    low = materialize(low_users(prep, k, hot, users), "low-users")
+    if low.isEmpty():  # no list reaches a negative: they are not ranked
+        return place(top_similarities(sims.filter(rank_key(F.col("sim")) > 0), k), prep.n_users(), k, counts, low=low)
+    return place(top_similarities(sims, k), prep.n_users(), k, counts, low=low)
 
 
 def _of_users(prep: Prepared, hot: HotItems | None, users: DataFrame) -> DataFrame:

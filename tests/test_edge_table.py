@@ -334,3 +334,24 @@ def test_report_sink_and_user_restriction(spark, table, prep):
     got = sorted((r.user_id, r.item_id) for r in st.restrict_users(table, users).collect())
     assert got == sorted((u, i) for u, i, _ in TRAIN if u in (3, 7))
     assert st.for_item(st.for_user(table, 3), 2).collect()[0].rating == 5.0
+
+
+@pytest.mark.parametrize("k", [1, 3, 5, 7])
+def test_low_users_bound_the_lists_with_negatives(prep, brute, k):
+    low = {r.user_id for r in nbm.low_users(prep, k).collect()}
+    met = {u: sum(len(brute.by_item[i]) - 1 for i in brute.by_user[u]) for u in USERS}
+    assert low == {u for u in USERS if met[u] >= len(USERS) - k}
+    assert {u for u in USERS if any(round(s, 9) < 0 for _, s in brute.ranked(u)[:k])} <= low
+
+
+@pytest.mark.parametrize("k", [2, 9, 10, 11])
+def test_knn_with_and_without_reachable_negatives(spark, k):
+    """Twelve users in pairs of opposite tastes: a list reaches its negative
+    at k = 11, so up to k = 9 no user is low and negatives are not ranked."""
+    rows = [(u, i, float(1 + 4 * ((u + i) % 2))) for u in range(12) for i in (2 * (u // 2), 2 * (u // 2) + 1)]
+    prep, brute = Prepared(spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")), Brute(rows)
+    assert (nbm.low_users(prep, k).count() == 0) == (k < 10)
+    got = {(r.user_id, r.neighbor_id): (r.pos, round(r.sim, 9)) for r in nbm.knn(prep, k, HotItems(prep.train)).collect()}
+    want = {(u, v): (n + 1, round(s, 9)) for u in range(12) for n, (v, s) in enumerate(brute.ranked(u)[:k])
+            if round(s, 9) != 0}
+    assert got == want and bool(want) == (k == 11)
