@@ -64,7 +64,7 @@ def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def ask(groups, buckets: int, build: Callable, payload: list, answer: Callable,
-        pair: bool = False) -> DataFrame:
+        pair: bool = False, checked: bool = False) -> DataFrame:
     """Answers for the hashes of every slice: ``s, bucket, answer``.
 
     ``groups`` is a grouping by ``s``, or with ``pair`` a co-grouping of two
@@ -72,6 +72,10 @@ def ask(groups, buckets: int, build: Callable, payload: list, answer: Callable,
     distinct uint64 hashes and the arrays of ``payload`` types beside them;
     ``answer(keys, payloads)`` gets a bucket's hashes in order (equal ones
     together, by slice) with their payloads and gives a uint32 for each.
+
+    With ``checked`` the first payload is a second hash (uint32), and hashes are
+    equal where both are: a slice's pairs are distinct (``distinct``), and
+    ``answer`` gets numbers of the equal pairs as keys, without that payload.
     """
     names = [f"p{i}" for i in range(len(payload))]
 
@@ -92,9 +96,14 @@ def ask(groups, buckets: int, build: Callable, payload: list, answer: Callable,
         keys = np.concatenate(some)
         extra = [np.concatenate([unsqueeze(b, t) for b in table.column(n).to_pylist()])
                  for n, t in zip(names, payload, strict=True)]
-        order = np.argsort(keys, kind="stable")
+        if checked:
+            order, new = _pairs_in_order(keys, extra[0])
+            got = answer(np.cumsum(new), [x[order] for x in extra[1:]])
+        else:
+            order = np.argsort(keys, kind="stable")
+            got = answer(keys[order], [x[order] for x in extra])
         out = np.empty(len(keys), dtype=np.uint32)
-        out[order] = answer(keys[order], [x[order] for x in extra])
+        out[order] = got
         ends = np.cumsum(sizes)
         return pa.Table.from_arrays(
             [table.column("s"), table.column("bucket"),
@@ -106,6 +115,30 @@ def ask(groups, buckets: int, build: Callable, payload: list, answer: Callable,
     return sent.groupBy("bucket").applyInArrow(meet, "s int, bucket int, answer binary")
 
 
+def _pairs_in_order(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of the pairs, and flags of the first of each."""
+    order = np.argsort(keys, kind="stable")
+
+    def changes(x):
+        x = x[order]
+        return np.concatenate([np.ones(min(len(x), 1), dtype=bool), x[1:] != x[:-1]])
+    other, differ = changes(keys), changes(checks)
+    if (differ & ~other).any():  # one hash of several contents: by chance
+        order = np.lexsort((checks, keys))
+        other, differ = changes(keys), changes(checks)
+    return order, other | differ
+
+
+def distinct(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs in order: keys, checks, the first place of each pair, the
+    pair at each place, number of places."""
+    order, new = _pairs_in_order(keys, checks)
+    at = np.flatnonzero(new)
+    of = np.empty(len(keys), dtype=np.int64)
+    of[order] = np.cumsum(new) - 1
+    return keys[order[at]], checks[order[at]], order[at], of, np.diff(np.append(at, len(keys)))
+
+
 def ordered(table: pa.Table) -> pa.Table:
     """A slice's documents in an order that does not hang on their arrival."""
     return table.take(pc.sort_indices(table, sort_keys=[("id", "ascending"), ("text", "ascending")]))

@@ -5,10 +5,12 @@ brute force, with small slices, blocks and chunks so that all seams are met."""
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -161,6 +163,61 @@ def test_suffixes_of_rows_without_ids(spark):
     assert len(sizes) > 8 and max(sizes) < 40
 
 
+@pytest.mark.parametrize("bits, length, gram", [(0, 100, 20), (3, 10, 3), (6, 100, 20)])
+def test_windows_of_one_hash_by_chance(monkeypatch, bits, length, gram):
+    """Runs and windows that share the first hash are told apart by the second."""
+    real, few = suffixes.Runs._hashed, np.uint64((1 << bits) - 1)
+
+    def poor(self, starts, ends, family):
+        h = real(self, starts, ends, family)
+        return h & few if family == 0 else h
+
+    class Poor(suffixes.Runs):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.whole = self.whole & few
+            self.anchor = self.anchor & few
+    monkeypatch.setattr(suffixes.Runs, "_hashed", poor)
+    monkeypatch.setattr(suffixes, "Runs", Poor)
+    rows = sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    t = pa.table({"id": pa.array([i for i, _ in rows], pa.int64()), "order": pa.array([0] * len(rows), pa.int64()),
+                  "text": [x or "" for _, x in rows]})
+
+    def work(*answers):
+        back = pa.table({"pass": pa.array(range(1, len(answers) + 1), pa.int32()),
+                         "bucket": pa.array([0] * len(answers), pa.int32()),
+                         "answer": pa.array([exchange.squeeze(np.asarray(a, np.uint32)) for a in answers], pa.binary())})
+        return suffixes.Passes(t, back, length, gram)
+    one = work().first()[1][0]
+    keys, (checks, n, *_) = work(one).second()
+    assert len(np.unique(keys)) < len(keys) and len(keys) == len(np.unique(np.stack([keys, checks]), axis=1)[0])
+    two = n << 1 | 1
+    three = np.ones(len(work(one, two).third()[0]))
+    done = work(one, two, three)
+    assert suffixes.A.sums(done.removed(), done.runs.block.off).tolist() == [
+        gone for _, gone, _, _ in brute.suffixes(rows, length)]
+
+
+def test_checked_hashes(spark):
+    """Pairs of hashes meet as pairs, in a slice and in a bucket."""
+    rng = random.Random(2)
+    rows = [(s, rng.choice([1, 2, 1 << 63, (1 << 64) - 1]), rng.randrange(4)) for s in range(5) for _ in range(8)]
+    table = spark.createDataFrame([(s, str(k), c) for s, k, c in rows], "s int, k string, c int")
+
+    def build(t):
+        keys = np.array([int(x) for x in t.column("k").to_pylist()], np.uint64)
+        keys, checks, _, _, n = exchange.distinct(keys, t.column("c").to_numpy().astype(np.uint32))
+        return keys, [checks, n]
+    total = Counter((k, c) for _, k, c in rows)
+    for buckets in (1, 3):
+        got = exchange.ask(table.groupBy("s"), buckets, build, [np.uint32, np.uint32],
+                           lambda keys, p: exchange.total_of_runs(keys, p[0]), checked=True).toArrow()
+        for s in range(5):
+            mine = sorted({(k, c) for i, k, c in rows if i == s})
+            back = got.filter(pc.equal(got.column("s"), s))
+            assert exchange.answers(back, len(mine)).tolist() == [total[x] for x in mine]
+
+
 @pytest.mark.parametrize("bits", [2, 8])
 def test_a_chance_hash_is_caught(spark, edges, monkeypatch, bits):
     """Edges that share a hash by chance are told apart by the independent
