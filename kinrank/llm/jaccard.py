@@ -1,7 +1,8 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip).
 
 A document's set holds the hashes of its runs of ``words`` words. Documents
-with the same set are one class, and only classes are compared.
+with the same set (the same 128 bits made of its hashes) are one class, and
+only classes are compared.
 
 1. How many classes have each shingle is counted exactly (``exchange.ask``).
 2. Two linked sets share one of the rarest shingles of each (the prefix that
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.llm import arrays as A
@@ -46,7 +47,7 @@ _U = np.uint64
 
 class Sets:
     """Shingle sets of texts: sorted distinct hashes ``h`` with offsets ``off``,
-    sizes ``n`` and one number ``key`` for each whole set."""
+    sizes ``n`` and two numbers for each whole set, ``key`` and ``second``."""
 
     def __init__(self, texts: pa.ChunkedArray | pa.Array, words: int):
         block = A.block_of(texts)
@@ -68,14 +69,22 @@ class Sets:
                 (np.concatenate([np.zeros(1, _U), np.cumsum(A.mix(self.h ^ _U(k)), dtype=_U)])
                  for k in (0x2545F4914F6CDD1D, 0x6A09E667F3BCC909)))
         self.key = A.mix(A.mix(a) + b * _U(0x9E3779B97F4A7C15)).view(np.int64)
-
-    def chosen(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(one text for each of these sets, flags of its shingles)."""
-        found, first = np.unique(self.key, return_index=True)
-        texts = first[np.isin(found, keys) & (self.n[first] > 0)]
+        self.second = A.mix(b).view(np.int64)
+
+    def chosen(self, sets: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(one text for each of these sets ``c, d, u``, in the order of the
+        texts, the sets' ``u``, flags of the texts' shingles)."""
+        c, d, u = (sets.column(x).drop_null().to_numpy() for x in ("c", "d", "u"))
+        keys, seconds, first, _, _ = X.distinct(self.key, self.second)
+        of = X.distinct(np.concatenate([keys, c]), np.concatenate([seconds, d]))[3]
+        which = np.full(len(of), -1)
+        which[of[len(keys):]] = np.arange(len(c))
+        which = which[of[:len(keys)]]
+        order = np.argsort(first)
+        order = order[(which[order] >= 0) & (self.n[first[order]] > 0)]
         flag = np.zeros(len(self.n), dtype=bool)
-        flag[texts] = True
-        return texts, flag[self.doc]
+        flag[first[order]] = True
+        return first[order], u[which[order]], flag[self.doc]
 
 
 def least_overlap(n, percent: int):
@@ -136,6 +145,14 @@ def linked(h: np.ndarray, off: np.ndarray, left: np.ndarray, right: np.ndarray,
                 yield i, right[got]
 
 
+def _numbered(classes: DataFrame) -> DataFrame:
+    """Classes ``c, d, ...`` with a number of their own, ``u``: ``c``, but for
+    those that share it by chance with a smaller ``d``, which get a hash of
+    both numbers."""
+    own = F.col("d") == F.min("d").over(Window.partitionBy("c"))
+    return classes.withColumn("u", F.when(own, F.col("c")).otherwise(F.xxhash64("c", "d")))
+
+
 def _families(pre: DataFrame) -> DataFrame:
     """``c, family``: classes joined by shingles of their prefixes."""
     posting = pre.select("c", F.explode("tokens").alias("t"))
@@ -244,19 +261,23 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 part = batch.slice(i, j - i)
                 sets = Sets(part.column("text"), words)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("rest"), part.column("s"),
-                                                  pa.array(sets.n, pa.int64()), pa.array(sets.key, pa.int64())],
-                                                 names=["id", "rest", "s", "n", "c"])
-
-    rows = written(src.mapInArrow(signed, f"id {kinds['id']}, rest {kinds['rest']}, s int, n bigint, c bigint"), "sets")
-    classes = rows.filter("n > 0").groupBy("c").agg(F.min("s").alias("s"), F.count("*").alias("members"),
-                                                    F.min("id").alias("least"))
-    chosen = classes.select("s", "c")
+                                                  pa.array(sets.n, pa.int64()), pa.array(sets.key, pa.int64()),
+                                                  pa.array(sets.second, pa.int64())],
+                                                 names=["id", "rest", "s", "n", "c", "d"])
+
+    rows = written(src.mapInArrow(signed, f"id {kinds['id']}, rest {kinds['rest']}, s int, n bigint, c bigint, d bigint"),
+                   "sets")
+    sets = rows.filter("n > 0").groupBy("c", "d").agg(F.min("s").alias("s"), F.count("*").alias("members"),
+                                                      F.min("id").alias("least"))
+    named = written(_numbered(sets), "classes")
+    chosen = named.select("s", "c", "d", "u")
+    classes = named.select(F.col("u").alias("c"), "members", "least")
 
     def build(t: pa.Table, reps: pa.Table):
         sets = Sets(t.column("text"), words) if t.num_rows else None
         if sets is None or not reps.num_rows:
             return np.zeros(0, _U), [np.zeros(0, np.uint32)]
-        _, flag = sets.chosen(reps.column("c").drop_null().to_numpy())
+        _, _, flag = sets.chosen(reps)
         keys, n = np.unique(sets.h[flag], return_counts=True)
         return keys, [n]
 
@@ -264,17 +285,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         out = []
         if t.num_rows and back.num_rows:
             sets = Sets(t.column("text"), words)
-            texts, flag = sets.chosen(back.column("c").drop_null().to_numpy())
+            texts, numbers, flag = sets.chosen(back)
             h, doc = sets.h[flag], sets.doc[flag]
             keys, place = np.unique(h, return_inverse=True)
             n = X.answers(back.filter(back.column("bucket").is_valid()), len(keys))[place]
             order = np.lexsort((h, n, doc))
-            off = np.searchsorted(doc, np.append(texts[np.argsort(texts)], len(sets.n)))
-            for k, i in enumerate(np.sort(texts)):
+            off = np.searchsorted(doc, np.append(texts, len(sets.n)))
+            for k, i in enumerate(texts):
                 mine = order[off[k]:off[k + 1]][:sets.n[i] - least_overlap(int(sets.n[i]), percent) + 1]
                 shared = mine[n[mine] > 1]
                 if len(shared):
-                    out.append((int(sets.key[i]), int(sets.n[i]), h[shared].view(np.int64),
+                    out.append((int(numbers[k]), int(sets.n[i]), h[shared].view(np.int64),
                                 X.squeeze_sorted(sets.h[sets.off[i]:sets.off[i + 1]])))
         c, size, tokens, packed = zip(*out, strict=True) if out else ([], [], [], [])
         return pa.Table.from_arrays([pa.array(c, pa.int64()), pa.array(size, pa.int64()),
@@ -297,9 +318,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = (groups.join(least, "root").select(F.col("node").alias("c"), "root", "component")
              .join(met.groupBy("c").agg(F.sum("links").alias("links")), "c"))
     per_class = (classes.join(found, "c", "left")
-                 .select("c", F.coalesce("component", "least").alias("component"), F.coalesce("root", "c").alias("group"),
+                 .select(F.col("c").alias("u"), F.coalesce("component", "least").alias("component"), F.coalesce("root", "c").alias("group"),
                          (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("links")))
-    return (rows.join(per_class, "c", "left")
+    per_class = named.select("c", "d", "u").join(per_class, "u")
+    return (rows.join(per_class, ["c", "d"], "left")
             .select("id", "rest", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"), "group"))

@@ -77,6 +77,23 @@ def test_jaccard_of_a_large_family(spark):
     assert found == expect(rows, brute.jaccard(rows, 2, 75))
 
 
+def test_sets_of_one_key_by_chance(spark):
+    """Sets that share the first number are classes of their own."""
+    texts = ["a b c", "d e f", "d e f", "g h i j", "", "k l"]
+    sets = jaccard.Sets(pa.array(texts), 2)
+    assert sets.second[1] == sets.second[2] and len(set(sets.second.tolist())) == 5
+    sets.key[:] = 7
+    rows = [(7, int(d)) for d in sorted(set(sets.second[sets.n > 0].tolist()))]
+    named = jaccard._numbered(spark.createDataFrame([*rows, (8, 1)], "c bigint, d bigint")).collect()
+    assert len({r["u"] for r in named}) == 5 and {r["u"] for r in named if r["c"] == 8} == {8}
+    assert [r["d"] for r in named if r["u"] == 7] == [rows[0][1]]
+    number = {r["d"]: r["u"] for r in named if r["c"] == 7 and r["d"] != sets.second[0]}
+    wanted = pa.table({"c": [7] * 3, "d": list(number), "u": list(number.values())})
+    at, u, flag = sets.chosen(wanted)
+    assert at.tolist() == [1, 3, 5] and u.tolist() == [number[int(d)] for d in sets.second[at]]
+    assert sorted(set(sets.doc[flag].tolist())) == [1, 3, 5]
+
+
 def test_jaccard_of_nothing(nothing):
     assert jaccard.jaccard_join(nothing).collect() == []
 
