@@ -64,7 +64,7 @@ def low_users(prep: Prepared, k: int, hot: HotItems | None = None, users: DataFr
     n_negative`` at the earliest, and no user has more co-raters than the
     other ratings of their items: all others need no negatives."""
     n = hot.counts if hot is not None else prep.train.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n"))
-    rows = prep.train.select(USER, ITEM)
+    rows = prep.w.select(USER, ITEM)  # the written rows: a literal user in a union would lose the semi-join's key
     if users is not None:
         rows = rows.join(users.select(USER), USER, "left_semi")
     met = rows.join(n.select(ITEM, "_n"), ITEM).groupBy(USER).agg(F.sum(F.col("_n") - 1).alias("_met"))
