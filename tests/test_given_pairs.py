@@ -57,3 +57,13 @@ def test_low_users_of_a_literal_user_keep_their_join_key(spark):
     low = low_users(prep, 300, HotItems(prep.train), spark.createDataFrame([(-1,)], "user_id bigint"))
     assert "NestedLoop" not in low._jdf.queryExecution().executedPlan().toString()
     assert [r[0] for r in low.collect()] == [-1]
+
+
+def test_a_missing_rating_leaves_the_cosine_unknown_either_way(spark):
+    ratings = spark.createDataFrame(RATINGS + [(1, 20, None), (2, 20, 3.0)],
+                                    "user_id bigint, item_id bigint, rating double")
+    prep = Prepared(ratings)
+    given = spark.createDataFrame(GIVEN, "u bigint, v bigint")
+    want = _rows(sim.similarity_of(prep, given))
+    assert any(r[:2] == (1, 2) and r[3] is None for r in want)
+    assert _rows(sim.similarity_of(prep, given, hot=HotItems(prep.train))) == want
