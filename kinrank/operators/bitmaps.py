@@ -1,9 +1,10 @@
 """Union and intersection of users' item sets by bitmaps.
 
-Items are numbered densely and a user's items become bits, in bitmaps of a
-fixed size for each range of numbers. A pair's bitmaps of one range are or-ed
-by an aggregate: the union's bits are counted, and what both sides have beyond
-it is the intersection.
+Items are numbered densely and a user's items become bits of 64-bit words, one
+for each range of numbers in which the user has items: a word a user and item at
+most, however many items there are. A pair's words of one range are or-ed by an
+aggregate: the union's bits are counted, and what both sides have beyond it is
+the intersection.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ from pyspark.sql import functions as F
 from kinrank.functions.ranking import dense_index
 from kinrank.sources.schema import ITEM, USER
 
+WORD = 64  # bits
+
 
 def item_bitmaps(ratings: DataFrame) -> DataFrame:
-    """``user_id, range, bits``: one bitmap for each range of item numbers in
+    """``user_id, range, bits``: one word for each range of item numbers in
     which the user has items."""
     index = dense_index(ratings.select(ITEM), ITEM, "_bit")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_bit") % WORD).cast("int"))
     return (ratings.select(USER, ITEM).join(index, ITEM)
-            .groupBy(USER, F.bitmap_bucket_number("_bit").alias("range"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("bits")))
+            .groupBy(USER, F.floor(F.col("_bit") / WORD).alias("range")).agg(F.bit_or(bit).alias("bits")))
 
 
 def set_sizes_of(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -31,7 +34,7 @@ def set_sizes_of(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
     bitmaps = item_bitmaps(ratings)
     sides = given.withColumn(USER, F.explode(F.array("u", "v")))
     each = (sides.join(bitmaps, USER).groupBy("u", "v", "range")
-            .agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("_any"), F.sum(F.bitmap_count("bits")).alias("_both")))
+            .agg(F.bit_count(F.bit_or("bits")).alias("_any"), F.sum(F.bit_count("bits")).alias("_both")))
     sizes = each.groupBy("u", "v").agg(F.sum("_any").alias("_any"), F.sum("_both").alias("_both"))
     return given.join(sizes, ["u", "v"], "left").select(
         "u", "v", F.coalesce("_any", F.lit(0)).alias("n_union"),
