@@ -115,7 +115,9 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, agree: int = AGREE) -> D
     reps = prints.select("fingerprint").filter(F.col("fingerprint").isNotNull()).distinct()
     keyed = reps.select(_part(F.col("fingerprint"), 0).alias("x"), _part(F.col("fingerprint"), 1).alias("y"),
                         F.explode(keys).alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    # a merge join: the size that Spark estimates knows nothing of the explode,
+    # and what it would broadcast for small are rows for every table
+    a, b = keyed.alias("a"), keyed.hint("merge").alias("b")
     bits = sum(F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in "xy")
     once = (F.col("a.x") < F.col("b.x")) | ((F.col("a.x") == F.col("b.x")) & (F.col("a.y") < F.col("b.y")))
     one, two = (F.concat(*[F.lpad(F.lower(F.hex(f"{side}.{c}")), 16, "0") for c in "xy"]) for side in "ab")
@@ -133,7 +135,8 @@ def near_counts(prints: DataFrame, radius: int = RADIUS, agree: int = AGREE) ->
     pairs = written(near_pairs(classes, radius, agree), "pairs")
     other = (pairs.select(F.col("a").alias("to"), F.col("b").alias("fingerprint"))
              .unionByName(pairs.select(F.col("b").alias("to"), F.col("a").alias("fingerprint")))
-             .join(classes, "fingerprint").select(F.col("to").alias("fingerprint"), F.col("members").alias("n")))
+             .join(classes.hint("merge"), "fingerprint")
+             .select(F.col("to").alias("fingerprint"), F.col("members").alias("n")))
     return (classes.select("fingerprint", (F.col("members") - 1).alias("n")).filter("n > 0").unionByName(other)
             .groupBy("fingerprint").agg(F.sum("n").alias("n_near")))
 
@@ -248,11 +251,12 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hexed = ["edited_sha256", "fingerprint", "edited_fingerprint"]
     kept = written(found.select(*[F.unhex(c).alias(c) if c in hexed else F.col(c) for c in found.columns]), "prints")
     kept = kept.select(*[F.lower(F.hex(c)).alias(c) if c in hexed else F.col(c) for c in found.columns])
-    # a hot class's documents are dealt over SALTS copies of its count
+    # a hot class's documents are dealt over SALTS copies of its count; joined by
+    # merging, as the copies are not in the size by which Spark would broadcast them
     near = (written(near_counts(kept.select("fingerprint"), radius, agree), "near")
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = kept.withColumn("salt", F.pmod(F.xxhash64("id", "edited_sha256"), F.lit(SALTS)).cast("int"))
-    return (salted.join(near, ["fingerprint", "salt"], "left")
+    return (salted.join(near.hint("merge"), ["fingerprint", "salt"], "left")
             .select(*found.columns, F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")))
 
 
