@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinrank.operators import neighbors as nbm
+from kinrank.operators import predict as pr
 from kinrank.operators import similarity as sim
 from kinrank.operators.pairs import HotItems, corated, partners
 from kinrank.operators.stats import Prepared
@@ -85,3 +86,32 @@ def test_no_pair_row_is_shuffled(case, monkeypatch):
     plans = plans_of(monkeypatch, nbm)
     nbm.knn(prep, 3, hot)
     assert "posexplode(_ids" in plans["top-similarities"]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_lists_give_the_same_bucket_neighbours(case, monkeypatch, k):
+    prep, hot = case
+    for longest in (1024, 2):
+        monkeypatch.setattr(sim, "LIST", longest)
+        compared(monkeypatch, lambda: nbm.bucket_knn(prep, k, 4, 2, hot))
+    compared(monkeypatch, lambda: nbm.approx_knn(prep, k, 4, 2, hot))
+
+
+def test_neighbours_are_asked_by_lists(spark, case, monkeypatch):
+    """One row for each user and neighbour, cut at LIST items, for the same predictions."""
+    prep, hot = case
+    given = spark.createDataFrame([*[(u, i) for u, i, _ in SPARSE[::3]], *[(u * 1000 - 5000, i) for u in range(20)
+                                  for i in range(0, 60, 3)], (7, 3), (None, 3), (-5000, None), (-5000, 3), (-5000, 3)],
+                                  "user_id bigint, item_id bigint")
+    monkeypatch.setattr(pr, "neighbours_first", lambda *_: True)
+    for most in (1024, 2):
+        monkeypatch.setattr(pr, "LIST", most)
+        compared(monkeypatch, lambda: pr.predict_knn(prep, given, 3, hot=hot))
+    raters = prep.dev.select("item_id", F.col("user_id").alias("neighbor_id"), "dev")
+    nb = nbm.knn(prep, 3, hot).select("user_id", "neighbor_id", "sim")
+    want = given.join(nb, "user_id").join(raters, ["neighbor_id", "item_id"]).select("user_id", "item_id", "sim", "dev")
+    assert rows_of(pr.asked(given, nb, raters, 3)) == rows_of(want) != []
+    plan = pr.asked(given, nb, raters, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(neighbor_id" in plan and "hashpartitioning(neighbor_id, item_id" not in plan
+    monkeypatch.setattr(pr, "MOST_ASKING", 0)
+    assert not pr.listable(prep, nb)
