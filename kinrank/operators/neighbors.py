@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.functions.formulas import rank_key
-from kinrank.operators.pairs import DEFAULT_BLOCK, HotItems, corated, partners
+from kinrank.operators.pairs import DEFAULT_BLOCK, HotItems, Shared, corated, partners
 from kinrank.operators.similarity import NEIGHBOR, directed, id_type, long_users, mostly_once, pair_stats, short_list
 from kinrank.operators.stats import Prepared
 from kinrank.session import materialize
@@ -206,10 +206,13 @@ def bucket_arrays(users: DataFrame, n_buckets: int, replication: int) -> DataFra
     """``user_id, bks``: each user's ``replication`` distinct buckets out of
     ``n_buckets``, those with the smallest hash (ties by bucket id). A per-row
     expression whose size does not depend on ``n_buckets``; no shuffle."""
+    return users.select(USER, _buckets(n_buckets, replication).alias("bks"))
+
+
+def _buckets(n_buckets: int, replication: int) -> Column:
     cands = F.transform(F.sequence(F.lit(0), F.lit(n_buckets - 1)),
                         lambda b: F.struct(bucket_hash(F.col(USER), b).alias("h"), b.alias("b")))
-    chosen = F.slice(F.array_sort(cands), 1, replication)
-    return users.select(USER, F.transform(chosen, lambda s: s["b"]).alias("bks"))
+    return F.transform(F.slice(F.array_sort(cands), 1, replication), lambda s: s["b"])
 
 
 def user_buckets(users: DataFrame, n_buckets: int, replication: int) -> DataFrame:
@@ -348,14 +351,52 @@ def with_settings(pairs: DataFrame, grid: list[tuple[int, int]]) -> DataFrame:
     return pairs.select(*cols, F.array_remove(seen, -1).alias("_seen"))
 
 
+WORD = 62  # marks in a number
+
+
+def bucket_marks(users: DataFrame, grid: list[tuple[int, int]]) -> Shared:
+    """Each user's buckets under every setting of ``grid`` as marks, made once
+    a user: a pair that carries what both share needs no hash of its own."""
+    groups, bits, at = [], [], 0
+    for n, r in grid:
+        where = [divmod(at + b, WORD) for b in range(n)]
+        at += n
+        groups.append({f"_w{w}": sum(1 << i for x, i in where if x == w) for w in sorted({w for w, _ in where})})
+        bits.append((where, r))
+    words = [f"_w{w}" for w in range(-(-at // WORD))]
+    rows = users.select(USER)
+    for g, (n, r) in enumerate(grid):
+        rows = rows.withColumn(f"_b{g}", _buckets(n, r))
+
+    def word(name: str) -> Column:
+        out = F.lit(0).cast("bigint")
+        for g, (where, _) in enumerate(bits):
+            for b, (w, i) in enumerate(where):
+                if f"_w{w}" == name:
+                    out = out.bitwiseOR(F.when(F.array_contains(f"_b{g}", b), F.lit(1 << i).cast("bigint"))
+                                        .otherwise(F.lit(0).cast("bigint")))
+        return out
+    return Shared(rows.select(USER, *[word(w).alias(w) for w in words]), words, groups)
+
+
 def approx_knn_grid(prep: Prepared, k: int, grid: list[tuple[int, int]], stats: DataFrame,
                     hot: HotItems | None = None) -> DataFrame:
     """``n_buckets, replication, user_id, pos, neighbor_id, sim``: approximate
     kNN for every (buckets, replication) of ``grid`` from one written table of
     all pairs. A similarity does not depend on the buckets, so a setting only
-    says which pairs it sees; a pair is ranked once for each that sees it. A
-    user's buckets follow from its id: they are not joined to the pairs."""
-    def sims_of(pairs: DataFrame) -> DataFrame:
+    says which pairs it sees; a pair is ranked once for each that sees it. The
+    settings are in ``stats`` as ``_seen`` (``bucket_marks``); without it a
+    user's buckets follow from its id, and are not joined to the pairs."""
+    marked = "_seen" in stats.columns
+    kept = ["u", "v", "cos", *(["_seen"] if marked else [])]
+
+    def sims_of(pairs: DataFrame, tasks: int | None = None) -> DataFrame:
+        if marked:  # a pair is shuffled once, its settings are told apart in the user's partition
+            of = F.array_compact(F.array(*[F.when(F.col("_seen").bitwiseAND(F.lit(1 << g)) != 0, F.lit(g))
+                                           for g in range(len(grid))]))
+            some = directed(pairs.filter(F.col("_seen") != 0), "cos", "_seen").filter(rank_key(F.col("sim")) != 0)
+            some = some.repartition(tasks, USER) if tasks else some
+            return some.select(F.explode(of).alias("_g"), "sim", USER, NEIGHBOR)
         pairs = with_settings(pairs.select("u", "v", "cos"), grid).select("u", "v", "cos", F.explode("_seen").alias("_g"))
         both = F.array(F.struct(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR)),
                        F.struct(F.col("v").alias(USER), F.col("u").alias(NEIGHBOR)))
@@ -364,8 +405,9 @@ def approx_knn_grid(prep: Prepared, k: int, grid: list[tuple[int, int]], stats:
     def counts(some: DataFrame) -> DataFrame:
         again = sims_of(stats).join(some, ["_g", USER], "left_semi").filter(rank_key(F.col("sim")) != 0)
         return again.groupBy("_g", USER).agg(F.count(F.lit(1)).alias("_nnz"))
-    pairs, low = _reaching(prep, stats.select("u", "v", "cos", F.col("cos").alias("sim")), k, hot)
+    pairs, low = _reaching(prep, stats.select(*kept, F.col("cos").alias("sim")), k, hot)
     tasks = ranking_tasks(prep, hot, hot.pairs * sum(min(1.0, r * r / n) for n, r in grid) if hot else None)
-    got = place(top_similarities(sims_of(pairs), k, ("_g", USER), tasks), prep.n_users(), k, counts, ("_g", USER), low)
+    top = top_similarities(sims_of(pairs, tasks), k, ("_g", USER), None if marked else tasks)
+    got = place(top, prep.n_users(), k, counts, ("_g", USER), low)
     n, r = (F.element_at(F.array(*[F.lit(x) for x in xs]), F.col("_g") + 1) for xs in zip(*grid, strict=True))
     return got.select(n.alias("n_buckets"), r.alias("replication"), USER, "pos", NEIGHBOR, "sim")

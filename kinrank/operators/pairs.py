@@ -23,6 +23,9 @@ raters: co-rated user pairs, and the raters that a pair to predict meets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +124,27 @@ def corated(rows: DataFrame, payload: list[str], hot: HotItems | None = None,
     return salted_join(left, right, [ITEM], "u", "v", hot, cond, hot.partitions if hot else None)
 
 
+class Shared:
+    """Marks of users as bits of a few numbers: ``rows`` (``user_id`` and the
+    columns ``words``) and, for each group of marks, its bits by word. Two users
+    share a group if they have one of its marks in common."""
+
+    def __init__(self, rows: DataFrame, words: list[str], groups: list[dict[str, int]]):
+        self.rows, self.words, self.groups = rows, words, groups
+
+    def of(self, one: Callable[[str], Column], other: Callable[[str], Column]) -> Column:
+        """The groups that two users share, group ``g`` as bit ``g``."""
+        bits = None
+        for g, words in enumerate(self.groups):
+            met = reduce(Column.__or__, [one(w).bitwiseAND(other(w)).bitwiseAND(F.lit(m).cast("bigint")) != 0
+                                         for w, m in words.items()])
+            bit = F.when(met, F.lit(1 << g).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            bits = bit if bits is None else bits.bitwiseOR(bit)
+        return bits.cast("tinyint" if len(self.groups) < 8 else "int" if len(self.groups) < 32 else "bigint")
+
+
 def partners(rows: DataFrame, mine: list[str], theirs: list[str], hot: HotItems, ids: str = "bigint",
-             both: bool = False, owner: Column | None = None) -> DataFrame:
+             both: bool = False, owner: Column | None = None, shared: Shared | None = None) -> DataFrame:
     """Co-rated pairs as by ``corated``, in partitions by ``u``: ``u, v,
     item_id``, ``<col>_u`` of the columns ``mine`` and ``<col>_v`` of
     ``theirs``; ``u < v``, or ``u != v`` if ``both``.
@@ -136,33 +158,40 @@ def partners(rows: DataFrame, mine: list[str], theirs: list[str], hot: HotItems,
     """
     tasks = hot.tasks(hot.pairs * (2 if both else 1))
     own = F.lit(True) if owner is None else F.coalesce(owner, F.lit(False))
-    member = F.struct(F.col(USER), *[F.col(c) for c in dict.fromkeys([*mine, *theirs])], own.alias("_own"))
+    member = F.struct(F.col(USER), *[F.col(c) for c in dict.fromkeys([*mine, *theirs, *(shared.words if shared else [])])], own.alias("_own"))
     rows = rows.filter(F.col(USER).isNotNull() & F.col(ITEM).isNotNull()).withColumn("_m", member).select(USER, ITEM, "_m")
 
     def lists(rows: DataFrame, *key: str) -> DataFrame:
         made = rows.groupBy(ITEM, *key).agg(F.array_sort(F.collect_list("_m")).alias("_l"))
         return made.select(ITEM, *key, "_l", F.col(f"_l.{USER}").cast(f"array<{ids}>").alias("_ids"),
-                           *[F.col(f"_l.{c}").alias(f"_{c}") for c in theirs])
+                           *[F.col(f"_l.{c}").alias(f"_{c}") for c in theirs],
+                           *([F.transform("_l", lambda m: F.struct(*[m[w].alias(w) for w in shared.words])).alias("_marks")]
+                             if shared else []))
+    marks = ["_marks"] if shared else []
+    seen = [F.transform("_marks", lambda m: shared.of(lambda w: m[w], lambda w: F.col(f"_m.{w}"))).alias("_seen")] if shared else []
     arrays = ["_ids", *[f"_{c}" for c in theirs]]
 
     def sent(met: DataFrame, after: Column | None = None) -> DataFrame:
-        cut = [F.col(a) if after is None else F.slice(a, after, F.size("_ids")).alias(a) for a in arrays]
+        cut = [F.col(a) if after is None else F.slice(a, after, F.size("_ids")).alias(a) for a in [*arrays, *marks]]
         met = met.filter(F.size("_ids") > 1) if both and not hot.n else met  # a rater alone meets nobody
         return met.filter(F.col("_m._own")).select(F.col(f"_m.{USER}").alias("u"), ITEM,
-                                                   *[F.col(f"_m.{c}").alias(f"{c}_u") for c in mine], *cut)
+                                                   *[F.col(f"_m.{c}").alias(f"{c}_u") for c in mine], "_m", *cut).select(
+            "u", ITEM, *[f"{c}_u" for c in mine], *arrays, *seen)
     side = F.broadcast(hot.table) if hot.broadcastable else hot.table
     cold = rows if hot.n == 0 else rows.join(side, ITEM, "left_anti")
     cold = lists(cold.repartition(hot.tasks(hot.pairs / LIST_TASKS), ITEM))
-    out = sent(cold.select(ITEM, *arrays, F.posexplode("_l").alias("_p", "_m")), None if both else F.col("_p") + 2)
+    out = sent(cold.select(ITEM, *arrays, *marks, F.posexplode("_l").alias("_p", "_m")), None if both else F.col("_p") + 2)
     if hot.n:
         many = rows.join(side, ITEM)
         left = _blocks(many.filter(F.col("_m._own")), USER, "_lb", "_rb")
         right = lists(_blocks(many, USER, "_rb", "_lb"), "_lb", "_rb").drop("_l")
         out = out.unionByName(sent(left.join(right, [ITEM, "_lb", "_rb"])))
     out = out.repartition(tasks, "u")
-    pairs = out.select("u", ITEM, *[f"{c}_u" for c in mine], *arrays[1:], F.posexplode("_ids").alias("_p", "_v"))
+    pairs = out.select("u", ITEM, *[f"{c}_u" for c in mine], *arrays[1:],
+                       *(["_seen"] if shared else []), F.posexplode("_ids").alias("_p", "_v"))
     pairs = pairs.select("u", F.col("_v").cast("bigint").alias("v"), ITEM, *[f"{c}_u" for c in mine],
-                         *[F.get(f"_{c}", F.col("_p")).alias(f"{c}_v") for c in theirs])
+                         *[F.get(f"_{c}", F.col("_p")).alias(f"{c}_v") for c in theirs],
+                         *([F.get("_seen", F.col("_p")).alias("_seen")] if shared else []))
     return pairs.filter(F.col("v") != F.col("u") if both else F.col("v") > F.col("u"))
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.operators.pairs import HotItems, corated, partners
+from kinrank.operators.pairs import HotItems, Shared, corated, partners
 from kinrank.operators.stats import Prepared
 from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, USER
@@ -31,25 +31,42 @@ SPARSE = 4
 
 
 def pair_stats(prep: Prepared, hot: HotItems | None = None, left_users: DataFrame | None = None,
-               directed: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+               directed: bool = False, wanted: DataFrame | None = None, shared: Shared | None = None) -> DataFrame:
     """``u, v, n_common, cos, jac`` for co-rated pairs (``u < v`` unless
     ``directed``). With ``wanted`` (distinct ``u, v`` in the same sense) only
     these pairs are made: rows of other users never enter the join, and other
-    pairs of theirs leave before the aggregation."""
+    pairs of theirs leave before the aggregation. With ``shared`` all pairs
+    have ``_seen`` too, the groups that both users share (``Shared.of``)."""
     if wanted is None and left_users is None and not directed and mostly_once(prep, hot):
-        return _listed_stats(prep, hot)
+        return _listed_stats(prep, hot, shared=shared)
+    if shared is not None:
+        return _seen(prep, _pair_rows(prep, hot), shared)
     return _stats(_pair_rows(prep, hot, left_users, directed, wanted).groupBy("u", "v"))
 
 
-def _listed_stats(prep: Prepared, hot: HotItems, strict: bool = False) -> DataFrame:
+def _seen(prep: Prepared, pairs: DataFrame, shared: Shared, strict: bool = False) -> DataFrame:
+    """``_stats`` of pair rows with ``_seen``, looked up once a pair."""
+    out = _stats(pairs.groupBy("u", "v"), strict)
+    for side in "uv":
+        out = out.join(shared.rows.select(F.col(USER).alias(side), *[F.col(w).alias(f"{w}_{side}") for w in shared.words]), side)
+    return out.select("u", "v", "n_common", "cos", "jac",
+                      shared.of(lambda w: F.col(f"{w}_u"), lambda w: F.col(f"{w}_v")).alias("_seen"))
+
+
+def _listed_stats(prep: Prepared, hot: HotItems, strict: bool = False, shared: Shared | None = None) -> DataFrame:
     """``pair_stats`` of all pairs by lists (``partners``), u in one partition;
     pairs of a ``u`` with a long list by pair rows."""
     long = long_users(prep)
-    p = partners(prep.w, ["w", "n_user"], ["w", "n_user"], hot, id_type(prep), owner=short_list(long))
-    p = p.select("u", "v", (F.col("w_u") * F.col("w_v")).alias("_x"), "n_user_u", "n_user_v")
-    out = _stats(p.groupBy("u", "v"), strict)
+    rows = prep.w.select(USER, ITEM, "w", "n_user")
+    if shared is not None:
+        rows = rows.join(shared.rows, USER)
+    p = partners(rows, ["w", "n_user"], ["w", "n_user"], hot, id_type(prep), owner=short_list(long), shared=shared)
+    more = [] if shared is None else ["_seen"]
+    p = p.select("u", "v", (F.col("w_u") * F.col("w_v")).alias("_x"), "n_user_u", "n_user_v", *more)
+    out = _stats(p.groupBy("u", "v", *more), strict, more)
     if long is not None:
-        out = out.unionByName(_stats(_pair_rows(prep, hot, long).groupBy("u", "v"), strict))
+        pairs = _pair_rows(prep, hot, long)
+        out = out.unionByName(_stats(pairs.groupBy("u", "v"), strict) if shared is None else _seen(prep, pairs, shared, strict))
     return out
 
 
@@ -98,13 +115,14 @@ def mostly_once(prep: Prepared, hot: HotItems | None) -> bool:
     return SPARSE * hot.pairs < n * (n - 1) / 2
 
 
-def _stats(grouped, strict: bool = False) -> DataFrame:
+def _stats(grouped, strict: bool = False, more: list[str] | None = None) -> DataFrame:
     """With ``strict`` the cosine is null if a shared item's weight is, as by lists."""
     dot = F.when(F.count("_x") == F.count(F.lit(1)), F.sum("_x")) if strict else F.sum("_x")
     agg = grouped.agg(F.count(F.lit(1)).alias("n_common"), dot.alias("cos"),
                       F.max("n_user_u").alias("n_u"), F.max("n_user_v").alias("n_v"))
     return agg.select("u", "v", "n_common", "cos",
-                      (F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))).alias("jac"))
+                      (F.col("n_common") / (F.col("n_u") + F.col("n_v") - F.col("n_common"))).alias("jac"),
+                      *(more or []))
 
 
 def user_lists(prep: Prepared, most: int = LIST) -> DataFrame:
@@ -236,11 +254,11 @@ def jaccard_similarity(prep: Prepared, hot: HotItems | None = None) -> DataFrame
     return pair_stats(prep, hot).select("u", "v", F.col("jac").alias("sim"))
 
 
-def directed(sims: DataFrame, sim_col: str = "sim") -> DataFrame:
-    """``user_id, neighbor_id, sim`` in both directions from a ``u < v``
+def directed(sims: DataFrame, sim_col: str = "sim", *more: str) -> DataFrame:
+    """``user_id, neighbor_id, sim`` (and the columns ``more``) in both directions from a ``u < v``
     table. The two branches share the aggregate's shuffle (exchange reuse)."""
-    a = sims.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col(sim_col).alias("sim"))
-    b = sims.select(F.col("v").alias(USER), F.col("u").alias(NEIGHBOR), F.col(sim_col).alias("sim"))
+    a = sims.select(F.col("u").alias(USER), F.col("v").alias(NEIGHBOR), F.col(sim_col).alias("sim"), *more)
+    b = sims.select(F.col("v").alias(USER), F.col("u").alias(NEIGHBOR), F.col(sim_col).alias("sim"), *more)
     return a.unionByName(b)
 
 

@@ -273,7 +273,8 @@ def q_bucket_knn_neighbors(spark, d):
 def q_approx_knn_recall(spark, d):
     """How much of exact kNN the approximate form finds, by its setting."""
     c = Ctx(spark, d, heavy=True)
-    stats = materialize(sim.pair_stats(c.prep, c.hot).select("u", "v", "cos"), "pair-stats")
+    marks = nbm.bucket_marks(c.prep.ustats, GRID)
+    stats = materialize(sim.pair_stats(c.prep, c.hot, shared=marks).select("u", "v", "cos", "_seen"), "pair-stats")
     exact = materialize(nbm.knn(c.prep, K, c.hot, stats=stats), "exact")
     found = nbm.approx_knn_grid(c.prep, K, GRID, stats, c.hot)
     got = nbm.neighbor_overlap(exact, found, ["n_buckets", "replication"])

@@ -115,3 +115,26 @@ def test_neighbours_are_asked_by_lists(spark, case, monkeypatch):
     assert "hashpartitioning(neighbor_id" in plan and "hashpartitioning(neighbor_id, item_id" not in plan
     monkeypatch.setattr(pr, "MOST_ASKING", 0)
     assert not pr.listable(prep, nb)
+
+
+GRID = [(1, 1), (4, 2), (5, 1), (70, 9)]  # over 62 marks: more than one number
+
+
+def test_marks_tell_the_settings_of_a_pair(spark, case, monkeypatch):
+    """What two users' marks share is what their hashed buckets share, by lists
+    and by pair rows, and the grid needs no hash for each pair."""
+    prep, hot = case
+    marks = nbm.bucket_marks(prep.ustats, GRID)
+    assert len(marks.words) == 2
+    every = nbm.with_settings(sim.pair_stats(prep).select("u", "v", "cos"), GRID)
+    want = {(r["u"], r["v"]): sum(1 << g for g in r["_seen"]) for r in every.collect()}
+    for sparse, longest in ((10 ** 6, 1024), (0, 1024), (0, 2)):
+        monkeypatch.setattr(sim, "SPARSE", sparse)
+        monkeypatch.setattr(sim, "LIST", longest)
+        got = sim.pair_stats(prep, hot, shared=marks)
+        assert {(r["u"], r["v"]): r["_seen"] for r in got.collect()} == want
+    stats = sim.pair_stats(prep).select("u", "v", "cos").localCheckpoint()
+    rows = rows_of(nbm.approx_knn_grid(prep, 2, GRID, stats, hot))
+    monkeypatch.setattr(nbm, "with_settings", None)
+    marked = sim.pair_stats(prep, hot, shared=marks).select("u", "v", "cos", "_seen").localCheckpoint()
+    assert rows_of(nbm.approx_knn_grid(prep, 2, GRID, marked, hot)) == rows
