@@ -154,9 +154,22 @@ def partners(rows: DataFrame, mine: list[str], theirs: list[str], hot: HotItems,
     and payload, not a row. ``ids``: the type that holds all user ids.
     ``owner``: which rows get lists; a user's pairs meet in one task, so users
     of very many ratings go another way. Lists of hot items are cut into the
-    blocks of ``salted_join``.
+    blocks of ``salted_join``. ``shared``: adds ``_seen``, of both users' marks.
     """
     tasks = hot.tasks(hot.pairs * (2 if both else 1))
+    out = partner_lists(rows, mine, theirs, hot, ids, both, owner, shared).repartition(tasks, "u")
+    pairs = out.select("u", ITEM, *[f"{c}_u" for c in mine], *[f"_{c}" for c in theirs],
+                       *(["_seen"] if shared else []), F.posexplode("_ids").alias("_p", "_v"))
+    pairs = pairs.select("u", F.col("_v").cast("bigint").alias("v"), ITEM, *[f"{c}_u" for c in mine],
+                         *[F.get(f"_{c}", F.col("_p")).alias(f"{c}_v") for c in theirs],
+                         *([F.get("_seen", F.col("_p")).alias("_seen")] if shared else []))
+    return pairs.filter(F.col("v") != F.col("u") if both else F.col("v") > F.col("u"))
+
+
+def partner_lists(rows: DataFrame, mine: list[str], theirs: list[str], hot: HotItems, ids: str = "bigint",
+                  both: bool = False, owner: Column | None = None, shared: Shared | None = None) -> DataFrame:
+    """The rows that ``partners`` shuffles: ``u, item_id, <col>_u``, the users
+    ``_ids`` and their ``_<col>`` as arrays."""
     own = F.lit(True) if owner is None else F.coalesce(owner, F.lit(False))
     member = F.struct(F.col(USER), *[F.col(c) for c in dict.fromkeys([*mine, *theirs, *(shared.words if shared else [])])], own.alias("_own"))
     rows = rows.filter(F.col(USER).isNotNull() & F.col(ITEM).isNotNull()).withColumn("_m", member).select(USER, ITEM, "_m")
@@ -186,13 +199,7 @@ def partners(rows: DataFrame, mine: list[str], theirs: list[str], hot: HotItems,
         left = _blocks(many.filter(F.col("_m._own")), USER, "_lb", "_rb")
         right = lists(_blocks(many, USER, "_rb", "_lb"), "_lb", "_rb").drop("_l")
         out = out.unionByName(sent(left.join(right, [ITEM, "_lb", "_rb"])))
-    out = out.repartition(tasks, "u")
-    pairs = out.select("u", ITEM, *[f"{c}_u" for c in mine], *arrays[1:],
-                       *(["_seen"] if shared else []), F.posexplode("_ids").alias("_p", "_v"))
-    pairs = pairs.select("u", F.col("_v").cast("bigint").alias("v"), ITEM, *[f"{c}_u" for c in mine],
-                         *[F.get(f"_{c}", F.col("_p")).alias(f"{c}_v") for c in theirs],
-                         *([F.get("_seen", F.col("_p")).alias("_seen")] if shared else []))
-    return pairs.filter(F.col("v") != F.col("u") if both else F.col("v") > F.col("u"))
+    return out
 
 
 def raters_of(pairs: DataFrame, raters: DataFrame, rater: str, hot: HotItems | None) -> DataFrame:

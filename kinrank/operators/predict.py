@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from kinrank.functions.formulas import RANK_DIGITS, predict_from, round_half_up, safe_ratio
 from kinrank.operators.neighbors import approx_knn, knn
-from kinrank.operators.pairs import HotItems, raters_of
-from kinrank.operators.similarity import LIST, NEIGHBOR, long_users, mostly_once, pair_stats, self_similarity
+from kinrank.operators.pairs import LIST_TASKS, HotItems, partner_lists, raters_of
+from kinrank.operators.similarity import LIST, NEIGHBOR, id_type, long_users, mostly_once, pair_stats, self_similarity
 from kinrank.operators.stats import Prepared, item_stats
 from kinrank.session import materialize
 from kinrank.sources.schema import ITEM, RATING, USER
@@ -162,7 +162,8 @@ def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
     semi-join before its aggregation. The candidates are written once, for the
     semi-join and for the join with the similarities, both keyed by ``(u, v)``.
     Where a pair is met about once (``mostly_once``) there is nothing to reduce:
-    candidates and pair rows each go once into partitions by pair work.
+    candidates and pairs go once into partitions by pair work, as lists where
+    no item is hot and no user has a long list (``met_by_lists``).
     ``stats``: a written table of all pairs, where others need it too. The
     diagonal (a user rating the item itself) joins the per-user
     self-similarity.
@@ -174,6 +175,11 @@ def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
     raters = prep.dev.select(ITEM, F.col(USER).alias(NEIGHBOR), "dev")
     diag = some(self_similarity(prep, kind)).select(USER, "sim")
     once = mostly_once(prep, hot)
+    own = (pairs.select(USER, ITEM).join(prep.dev.select(USER, ITEM, "dev"), [USER, ITEM])
+           .join(diag, USER).select(USER, ITEM, "sim", "dev"))
+    if once and stats is None and hot.n == 0 and long_users(prep) is None:
+        other = some(met_by_lists(prep, pairs, kind, hot))
+        return _ratio(other.unionByName(own).groupBy(USER, ITEM).agg(*_sums()), USER, ITEM)
     met = raters_of(pairs.select(USER, ITEM), raters, NEIGHBOR, hot)
     cand = met.select(F.least(USER, NEIGHBOR).alias("u"), F.greatest(USER, NEIGHBOR).alias("v"), ITEM, "dev",
                       (F.col(USER) < F.col(NEIGHBOR)).alias("_first"))
@@ -190,11 +196,51 @@ def weighted_deviation_full(prep: Prepared, pairs: DataFrame, kind: str,
     sims = some(stats.select("u", "v", F.col(col).alias("sim")))
     other = cand.join(sims, ["u", "v"]).select(F.when(F.col("_first"), F.col("u")).otherwise(F.col("v")).alias(USER),
                                                ITEM, "sim", "dev")
-    own = (pairs.select(USER, ITEM).join(prep.dev.select(USER, ITEM, "dev"), [USER, ITEM])
-           .join(diag, USER).select(USER, ITEM, "sim", "dev"))
     return _ratio(other.unionByName(own).groupBy(USER, ITEM).agg(*_sums()), USER, ITEM)
 
 
+def met_by_lists(prep: Prepared, pairs: DataFrame, kind: str, hot: HotItems) -> DataFrame:
+    """``user_id, item_id, sim, dev`` of each pair with each other rater of its
+    item. The smaller user of two owns what both have in common: the lists of
+    co-raters (``partner_lists``), of raters of a wanted item, and of users who
+    want an item that it rated. All meet in the owner's partition, where a
+    window over the two users adds up the similarity."""
+    span, ids = prep.span(), id_type(prep)
+    fact = "w" if kind == "cosine" else "n_user"
+    own = partner_lists(prep.w, [fact], [fact], hot, ids).select(
+        "u", F.lit(None).cast("bigint").alias(ITEM), F.lit(0).cast("tinyint").alias("_kind"),
+        F.col(f"{fact}_u").cast("double").alias("_mine"), "_ids", F.col(f"_{fact}").cast("array<double>").alias("_theirs"))
+    tasks = hot.tasks(hot.pairs / LIST_TASKS)
+    known = F.col(ITEM).isNotNull() & F.col(USER).between(F.lit(span["low"]), F.lit(span["high"]))
+    wanted = pairs.filter(known).select(USER, ITEM).repartition(tasks, ITEM)
+    raters = prep.dev.filter(known).select(USER, ITEM, "dev").repartition(tasks, ITEM)
+    lists = raters.groupBy(ITEM).agg(F.array_sort(F.collect_list(F.struct(USER, "dev"))).alias("_l")).select(
+        ITEM, F.col(f"_l.{USER}").cast(f"array<{ids}>").alias("_ids"), F.col("_l.dev").alias("_theirs"))
+    part = F.floor(F.row_number().over(Window.partitionBy(ITEM).orderBy(USER)) / hot.block)
+    asking = (wanted.withColumn("_part", part).groupBy(ITEM, "_part").agg(F.array_sort(F.collect_list(USER)).alias("_l"))
+              .select(ITEM, F.col("_l").cast(f"array<{ids}>").alias("_ids"), F.lit(None).cast("array<double>").alias("_theirs")))
+
+    def later(left: DataFrame, right: DataFrame, number: int, mine) -> DataFrame:
+        met = left.join(right, ITEM).withColumn("_n", F.size(F.filter("_ids", lambda x: x <= F.col(USER))))
+        cut = [F.slice(c, F.col("_n") + 1, F.size("_ids")).alias(c) for c in ("_ids", "_theirs")]
+        return met.filter(F.col("_n") < F.size("_ids")).select(
+            F.col(USER).alias("u"), ITEM, F.lit(number).cast("tinyint").alias("_kind"), mine.alias("_mine"), *cut)
+    every = (own.unionByName(later(wanted, lists, 1, F.lit(None).cast("double")))
+             .unionByName(later(raters, asking, 2, F.col("dev")))).repartition(hot.tasks(2 * hot.pairs), "u")
+    rows = every.select("u", ITEM, "_kind", "_mine", "_theirs", F.posexplode("_ids").alias("_p", "v"))
+    rows = rows.withColumn("_theirs", F.get("_theirs", F.col("_p"))).filter(F.col("v") > F.col("u"))
+    two, co = Window.partitionBy("u", "v"), F.col("_kind") == 0
+    if kind == "cosine":
+        sim = F.sum(F.when(co, F.col("_mine") * F.col("_theirs"))).over(two)
+    else:
+        common = F.sum(F.when(co, 1)).over(two)
+        sim = common / (F.max(F.when(co, F.col("_mine"))).over(two) + F.max(F.when(co, F.col("_theirs"))).over(two) - common)
+    first = F.col("_kind") == 1
+    return rows.withColumn("sim", sim).filter(~co).select(
+        F.when(first, F.col("u")).otherwise(F.col("v").cast("bigint")).alias(USER), ITEM, "sim",
+        F.when(first, F.col("_theirs")).otherwise(F.col("_mine")).alias("dev"))
+
+
 def predict_cosine(prep: Prepared, pairs: DataFrame, hot: HotItems | None = None,
                    stats: DataFrame | None = None) -> DataFrame:
     return finish(prep, pairs, weighted_deviation_full(prep, pairs, "cosine", hot, stats))

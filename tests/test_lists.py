@@ -138,3 +138,21 @@ def test_marks_tell_the_settings_of_a_pair(spark, case, monkeypatch):
     monkeypatch.setattr(nbm, "with_settings", None)
     marked = sim.pair_stats(prep, hot, shared=marks).select("u", "v", "cos", "_seen").localCheckpoint()
     assert rows_of(nbm.approx_knn_grid(prep, 2, GRID, marked, hot)) == rows
+
+
+@pytest.mark.parametrize("kind", ["cosine", "jaccard"])
+def test_full_predictions_by_lists(spark, case, monkeypatch, kind):
+    """Raters and wanted pairs meet in the smaller user's partition."""
+    prep, hot = case
+    given = spark.createDataFrame([*[(u, i) for u, i, _ in SPARSE[::3]], *[(u * 1000 - 5000, i) for u in range(20)
+                                  for i in range(0, 60, 3)], (7, 3), (None, 3), (-5000, None), (-5000, 3), (-5000, 3),
+                                  (-(1 << 60), 3), (1 << 60, 3)], "user_id bigint, item_id bigint")
+    lists = []
+    real = pr.met_by_lists
+    monkeypatch.setattr(pr, "met_by_lists", lambda *a: lists.append(real(*a)) or lists[-1])
+    predict = {"cosine": pr.predict_cosine, "jaccard": pr.predict_jaccard}[kind]
+    compared(monkeypatch, lambda: predict(prep, given, hot))
+    assert len(lists) == (1 if hot.n == 0 else 0)
+    for made in lists:  # no candidate is shuffled as a row
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("posexplode(_ids")[0]
