@@ -156,3 +156,21 @@ def test_full_predictions_by_lists(spark, case, monkeypatch, kind):
     for made in lists:  # no candidate is shuffled as a row
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan.split("posexplode(_ids")[0]
+
+
+def test_given_pairs_meet_the_lists(spark, case, monkeypatch):
+    prep, hot = case
+    ids = sorted({u for u, _, _ in SPARSE if u is not None})
+    given = spark.createDataFrame([(u, v) for u in ids[::2] for v in ids[::3]] + [(ids[0], None), (None, ids[1]), (7, ids[0]),
+                                  (ids[0], -(1 << 60)), (ids[0], ids[1]), (ids[0], ids[1])], "u bigint, v bigint")
+    monkeypatch.setattr(sim, "_split", lambda prep, pairs, hot: (pairs.distinct(), None) if hot is None else (
+        pairs.distinct().filter(F.col("u").eqNullSafe(F.col("v"))), pairs.distinct().filter(~F.col("u").eqNullSafe(F.col("v")))))
+    lists, found = [], []
+    real = sim._common_by_partner_lists
+    monkeypatch.setattr(sim, "_common_by_partner_lists", lambda *a: lists.append(real(*a)) or lists[-1])
+    for sparse, longest in ((10 ** 6, 1024), (0, 1024), (0, 2)):
+        monkeypatch.setattr(sim, "SPARSE", sparse)
+        monkeypatch.setattr(sim, "LIST", longest)
+        found.append([rows_of(f(prep, given, hot=hot)) for f in (sim.common_items_of, sim.similarity_of)])
+    assert found[0][0] and found[0] == found[1] == found[2]
+    assert len(lists) == 1 and "Exchange" not in lists[0]._jdf.queryExecution().executedPlan().toString().split("explode(_ids")[0]
